@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from . import exact_dedup
+from . import exact_dedup, packing
 
 
 def queries() -> dict:
     return {
         "op4_exact_dedup": exact_dedup.query,
+        "op8_best_fit_packing": packing.query,
     }
 
 

@@ -24,19 +24,22 @@ from pyspark.sql import functions as F
 
 from .common import shuffle_partitions, without_white
 
-_SHIFT = F.lit(str(2**65))
-_TOP = str(2**63)
+_SHIFT, _TOP = 2**65, 2**63
+
+
+def _whole(x: int) -> Column:
+    return F.lit(str(x)).cast("decimal(20,0)")
 
 
 def _rank(n_chars: Column, doc_id: Column) -> Column:
     """Most code points first, then the smallest doc_id, then null: one decimal, so that hash aggregation takes it."""
-    order = F.coalesce(F.lit(_TOP).cast("decimal(20,0)") - doc_id.cast("decimal(20,0)"), F.lit(0).cast("decimal(20,0)"))
-    return (n_chars.cast("decimal(12,0)") * _SHIFT.cast("decimal(20,0)") + order).cast("decimal(38,0)")
+    order = F.coalesce(_whole(_TOP) - doc_id.cast("decimal(20,0)"), _whole(0))
+    return (n_chars.cast("decimal(12,0)") * _whole(_SHIFT) + order).cast("decimal(38,0)")
 
 
 def _winner(rank: Column) -> Column:
-    order = rank % _SHIFT.cast("decimal(20,0)")
-    return F.when(order > 0, F.lit(_TOP).cast("decimal(20,0)") - order).cast("long")
+    order = rank % _whole(_SHIFT)
+    return F.when(order > 0, _whole(_TOP) - order).cast("long")
 
 
 def exact_groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", salts: int | None = None) -> DataFrame:
