@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, packing, quality_classifier
+from . import exact_dedup, packing, quality_classifier, quality_rules
 
 
 def queries() -> dict:
     return {
+        "op1_quality_rules": quality_rules.query,
         "op2_quality_classifier": quality_classifier.query,
         "op4_exact_dedup": exact_dedup.query,
         "op8_best_fit_packing": packing.query,
