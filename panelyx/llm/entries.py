@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, packing, quality_classifier, quality_rules
+from . import exact_dedup, html_extraction, packing, quality_classifier, quality_rules
 
 
 def queries() -> dict:
@@ -11,6 +11,7 @@ def queries() -> dict:
         "op2_quality_classifier": quality_classifier.query,
         "op4_exact_dedup": exact_dedup.query,
         "op8_best_fit_packing": packing.query,
+        "op9_html_extraction": html_extraction.query,
     }
 
 
