@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, html_extraction, packing, quality_classifier, quality_rules
+from . import exact_dedup, html_extraction, near_dedup, packing, quality_classifier, quality_rules
 
 
 def queries() -> dict:
     return {
         "op1_quality_rules": quality_rules.query,
         "op2_quality_classifier": quality_classifier.query,
+        "op3_hyperminhash_near_dedup": near_dedup.query,
         "op4_exact_dedup": exact_dedup.query,
         "op8_best_fit_packing": packing.query,
         "op9_html_extraction": html_extraction.query,
