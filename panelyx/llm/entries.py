@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, html_extraction, near_dedup, packing, quality_classifier, quality_rules
+from . import exact_dedup, html_extraction, near_dedup, packing, quality_classifier, quality_rules, substring_dedup
 
 
 def queries() -> dict:
@@ -13,10 +13,12 @@ def queries() -> dict:
         "op4_exact_dedup": exact_dedup.query,
         "op8_best_fit_packing": packing.query,
         "op9_html_extraction": html_extraction.query,
+        "op10_fm_index_substring_dedup": substring_dedup.query,
     }
 
 
 def oracle_sql() -> dict[str, str]:
     return {
         "op4_exact_dedup": exact_dedup.ORACLE_SQL,
+        "op10_fm_index_substring_dedup": substring_dedup.ORACLE_SQL,
     }
