@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, html_extraction, license_scan, lm_scoring, near_dedup, packing, quality_classifier, quality_rules, substring_dedup
+from . import exact_dedup, html_extraction, license_scan, lm_scoring, mixing, near_dedup, packing, quality_classifier, quality_rules, substring_dedup
 
 
 def queries() -> dict:
@@ -11,6 +11,7 @@ def queries() -> dict:
         "op2_quality_classifier": quality_classifier.query,
         "op3_hyperminhash_near_dedup": near_dedup.query,
         "op4_exact_dedup": exact_dedup.query,
+        "op5_soft_mixing": mixing.query,
         "op6_license_scan": license_scan.query,
         "op7_recurrent_lm": lm_scoring.query,
         "op8_best_fit_packing": packing.query,
