@@ -1,0 +1,6 @@
+"""Queries of the panel library over the driver's tables, and their SQL."""
+
+from . import bar_queries, fact_queries, panel_queries, table_queries  # noqa: F401  (they register themselves)
+from .registry import ORACLES, QUERIES
+
+__all__ = ["ORACLES", "QUERIES"]
