@@ -17,6 +17,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import cut
 from .license_texts import KNOWN
 
 #: Spellings that count as equal in licence texts, in canonical (lower-case) form.
@@ -35,16 +36,17 @@ COPYRIGHT = r"^[^\p{L}\p{N}]*(copyright|©|\(c\)|all rights reserved)([^\n]*[0-9
 BETWEEN = r"[^\p{L}\p{N}]+"
 
 
-def canonical_line(line: Column) -> Column:
-    out = F.lower(line)
-    notice = out.rlike(COPYRIGHT)
-    for a, b in EQUIVALENT:
-        out = F.replace(out, F.lit(a), F.lit(b))
-    return F.when(notice, F.lit("")).otherwise(F.trim(F.regexp_replace(out, BETWEEN, " ")))
+def canonical_line(spelled: Column) -> Column:
+    """Canonical form of a line in lower case and with equal spellings."""
+    return F.when(spelled.rlike(COPYRIGHT), F.lit("")).otherwise(F.trim(F.regexp_replace(spelled, BETWEEN, " ")))
 
 
 def canonical_lines(text: Column) -> Column:
-    return F.transform(F.split(F.coalesce(text.cast("string"), F.lit("")), "\n"), canonical_line)
+    """Spellings are made equal in the whole text at once; the rest is done line by line."""
+    out = F.lower(F.coalesce(text.cast("string"), F.lit("")))
+    for a, b in EQUIVALENT:
+        out = F.replace(out, F.lit(a), F.lit(b))
+    return F.transform(F.split(out, "\n"), canonical_line)
 
 
 def whole(lines: Column) -> Column:
@@ -62,11 +64,12 @@ def scan(docs: DataFrame, known: Iterable[tuple[str, str]] = tuple(KNOWN)) -> Da
     """doc_id, text_digest, text_license (null: none), n_license_lines, licenses (of text and lines, sorted, by comma) of every row of docs."""
     held = F.broadcast(known_digests(docs.sparkSession, known))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), canonical_lines(F.col("text")).alias("lines"))
-    texts = rows.select("doc_id", F.sha2(whole(F.col("lines")), 256).alias("text_digest"))
+    # digests alone are written, so that texts are read and made canonical once for both lookups
+    rows = cut(rows.select("doc_id", F.sha2(whole(F.col("lines")), 256).alias("text_digest"), F.transform("lines", lambda x: F.unhex(F.sha2(x, 256))).alias("line_digests")))
+    texts = rows.select("doc_id", "text_digest")
     lines = (
-        rows.select("doc_id", F.sha2(whole(F.col("lines")), 256).alias("text_digest"), F.posexplode("lines").alias("at", "line"))
-        .select("doc_id", "text_digest", "at", F.sha2("line", 256).alias("digest"))
-        .join(held, "digest")
+        rows.select("doc_id", "text_digest", F.posexplode("line_digests").alias("at", "line"))
+        .join(F.broadcast(known_digests(docs.sparkSession, known).select(F.unhex("digest").alias("line"), "license")), "line")
         .groupBy("doc_id", "text_digest")
         .agg(F.count_distinct("at").alias("n"), F.collect_set("license").alias("found"))
         .select(F.col("doc_id").alias("d"), F.col("text_digest").alias("t"), "n", "found")
@@ -84,11 +87,11 @@ def query(spark, sf_dir: str) -> DataFrame:
 
 def oracle_sql(known: Iterable[tuple[str, str]] = tuple(KNOWN)) -> str:
     quoted = lambda x: "'" + x.replace("'", "''") + "'"
-    spelled = "x"
+    spelled = "lower(coalesce(text, ''))"
     for a, b in EQUIVALENT:
         spelled = f"replace({spelled}, {quoted(a)}, {quoted(b)})"
-    line = f"CASE WHEN regexp_matches(x, {quoted(COPYRIGHT)}) THEN '' ELSE trim(regexp_replace({spelled}, {quoted(BETWEEN)}, ' ', 'g')) END"
-    lines = f"list_transform(list_transform(string_split(coalesce(text, ''), chr(10)), lambda y: lower(y)), lambda x: {line})"
+    line = f"CASE WHEN regexp_matches(x, {quoted(COPYRIGHT)}) THEN '' ELSE trim(regexp_replace(x, {quoted(BETWEEN)}, ' ', 'g')) END"
+    lines = f"list_transform(string_split({spelled}, chr(10)), lambda x: {line})"
     joined = "array_to_string(list_filter(lines, lambda x: x <> ''), ' ')"
     values = ", ".join(f"({quoted(a)}, {quoted(b)})" for a, b in known)
     return f"""
