@@ -2,8 +2,8 @@
 
 Documents become token ids, an end id follows, and only documents longer than a sequence are cut. Pieces are then
 packed: every partition runs best-fit decreasing over its own pieces, and dual feasible functions give a lower
-bound that certifies its number of sequences. What is not certified, and the least-filled sequence of every
-partition, is exchanged: those pieces are dealt anew to fewer partitions and packed again, until one partition is
+bound that certifies its number of sequences. What is not certified, and the loosely filled sequences of
+every partition, are exchanged: those pieces are dealt anew to fewer partitions and packed again, until one partition is
 left or the total meets the bound for the whole table. Every partition holds at most ``part_rows`` pieces on
 average, so no task grows with the input; lengths of the whole table reach the driver as a histogram of at most
 ``capacity`` rows.
@@ -177,7 +177,7 @@ def best_fit_decreasing(sizes: np.ndarray, capacity: int) -> tuple[np.ndarray, n
 
 
 def _packer(names: list[str], capacity: int, at: int, last: bool):
-    """Packs one partition; marks what is to be exchanged: all of it if the bound leaves a gap, else the least-filled sequence."""
+    """Packs one partition; marks what is to be exchanged: all of it if the bound leaves a gap, else its loosely filled sequences."""
 
     def packed(pdf: pd.DataFrame) -> pd.DataFrame:
         part = int(pdf["__part"].iloc[0])
@@ -187,7 +187,8 @@ def _packer(names: list[str], capacity: int, at: int, last: bool):
         again = np.zeros(len(pdf), bool)
         if not last:
             certified = len(fills) == lower_bound(*np.unique(sizes, return_counts=True), capacity)
-            again = bins == fills.argmin() if certified else ~again
+            loose = (fills < capacity - capacity // 64) | (np.arange(len(fills)) == fills.argmin())
+            again = loose[bins] if certified else ~again
         return pdf[names].assign(sequence_id=(at << 56) + (part << 28) + bins, offset=offsets, again=again, opens=(offsets == 0).astype(np.int32))
 
     return packed
