@@ -96,3 +96,27 @@ def capacity(holdings: DataFrame, amount: str = "amount", weight: str = "w", *,
         F.sum(amount).alias("total"), F.try_divide(F.sum(F.col(weight) * F.col(amount)), F.sum(weight)).alias("mean_amount"),
         F.min(amount).alias("min_amount"), F.max(amount).alias("max_amount"), F.min(weight).alias("min_weight"), F.max(weight).alias("max_weight"), (share * F.sum(amount)).alias("capacity"),
     )
+
+
+def rolling_max_drawdown(nav: DataFrame, by: str, window: int, order: str = "ix", value: str = "nav") -> DataFrame:
+    """nav with mdd: the deepest fall inside the last ``window`` rows, NULL before there are so many."""
+    w = Window.partitionBy(by).orderBy(order).rowsBetween(-(window - 1), 0)
+    fall = F.aggregate(
+        F.collect_list(value).over(w), F.struct(F.lit(0.0).alias("top"), F.lit(0.0).alias("low")),
+        lambda s, x: F.struct(F.greatest(s["top"], x).alias("top"), F.least(s["low"], x / F.greatest(s["top"], x) - 1).alias("low")),
+    )
+    return nav.withColumn("mdd", F.when(F.count(value).over(w) == window, fall["low"]))
+
+
+def excess(portfolio: DataFrame, benchmark: DataFrame, by: str = "one", order: str = "ix") -> DataFrame:
+    """Both with order and ret: excess return (1 + p) / (1 + b) - 1 and its cumulated value."""
+    rows = portfolio.join(benchmark.select(order, F.col("ret").alias("base")), order, "left").withColumn("excess", (1 + F.col("ret")) / (1 + F.coalesce("base", F.lit(0.0))) - 1)
+    return rows.withColumn("nav", F.product(1 + F.col("excess")).over(Window.partitionBy(by).orderBy(order)))
+
+
+def rebalance_dates(days: DataFrame, every: int | str) -> DataFrame:
+    """Dates of a calendar: each n-th, or the ends of weeks ('W'), months ('M') and quarters ('Q')."""
+    if isinstance(every, int):
+        return days.filter(F.col("ix") % every == 0)
+    flag = {"W": F.col("is_week_end") == 1, "M": F.col("is_month_end") == 1, "Q": (F.col("is_month_end") == 1) & (F.month("td") % 3 == 0)}[every]
+    return days.filter(flag)

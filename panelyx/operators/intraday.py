@@ -180,3 +180,47 @@ def crowd_out(p: DataFrame) -> DataFrame:
     other = calm.select("td", "bar", F.col("tk").alias("tk2"), F.col("amount").alias("amount2"))
     pairs = calm.join(other, ["td", "bar"]).filter("tk <> tk2").groupBy("td", "tk", "tk2").agg(correlation("amount", "amount2").alias("c"))
     return pairs.groupBy(*KEY).agg(F.avg("c").alias("crowd_corr"))
+
+
+def climb(p: DataFrame) -> DataFrame:
+    """bvol: squared variation of the 20 prices of five bars; covariance of ret / bvol with bvol, over all bars and over the extreme ones."""
+    five = _day(*KEY).orderBy("bar").rowsBetween(-4, 0)
+    prices = ["open", "high", "low", "close"]
+    s1 = sum(F.sum(c).over(five) for c in prices)
+    s2 = sum(F.sum(F.col(c) * F.col(c)).over(five) for c in prices)
+    mean = s1 / 20
+    bvol = F.when(F.count("close").over(five) == 5, F.greatest(s2 / 20 - mean * mean, F.lit(0.0)) / (mean * mean))
+    p = p.withColumn("bvol", bvol).withColumn("ratio", F.try_divide(F.col("ret"), F.col("bvol")))
+    w = _day(*KEY)
+    p = p.withColumn("extreme", F.col("bvol") >= F.avg("bvol").over(w) + F.stddev_pop("bvol").over(w))
+    return p.groupBy(*KEY).agg(F.covar_pop("ratio", "bvol").alias("cov_ret_bvol"), F.covar_pop(F.when(F.col("extreme"), F.col("ratio")), F.when(F.col("extreme"), F.col("bvol"))).alias("cov_ret_bvol_extreme"))
+
+
+def lag_regression(p: DataFrame, lags: int = 5) -> DataFrame:
+    """Regression of ret on the volume changes of this bar and the ``lags`` before, with intercept, per day and entity.
+
+    A group is one entity's day of bars, so it is small whatever the table's size.
+    """
+    import numpy as np
+    import pandas as pd
+
+    w = _day(*KEY).orderBy("bar")
+    p = p.withColumn("dv", F.col("volume") - F.lag("volume").over(w))
+    p = p.select(*KEY, "ret", *(F.lag("dv", i).over(w).alias(f"x{i}") for i in range(lags + 1))).dropna()
+    kinds = dict(p.dtypes)
+
+    def fitted(pdf: pd.DataFrame) -> pd.DataFrame:
+        x = np.column_stack([*(pdf[f"x{i}"] for i in range(lags + 1)), np.ones(len(pdf))])
+        y, (n, k) = pdf["ret"].to_numpy(), x.shape
+        row = {c: pdf[c].iloc[0] for c in KEY} | {"t_std": None, "intercept_t": None, "f_value": None}
+        if n > k:
+            beta, *_ = np.linalg.lstsq(x, y, rcond=None)
+            error = y - x @ beta
+            mse = float(error @ error) / (n - k)
+            spread = np.sqrt(np.maximum(mse * np.diag(np.linalg.pinv(x.T @ x)), 1e-300))
+            t = beta / spread
+            explained = float(((x @ beta - y.mean()) ** 2).sum())
+            row |= {"t_std": float(t[:-1].std()), "intercept_t": float(t[-1]), "f_value": explained / (k - 1) / mse if mse > 0 else None}
+        return pd.DataFrame([row])
+
+    return p.groupBy(*KEY).applyInPandas(fitted, f"td {kinds['td']}, tk {kinds['tk']}, t_std double, intercept_t double, f_value double")
