@@ -118,12 +118,13 @@ def fit(docs: DataFrame, labels: DataFrame, *, sample_rows: int = SAMPLE_ROWS, w
 
 
 def _with_posteriors(docs: DataFrame, model: Classifier, *keep: str) -> DataFrame:
-    """keep, __tokens and __p0 ... of every row."""
+    """keep, __tokens, __p0 ... and __number of every row."""
     rows = described(docs, *keep).select(*keep, "__tokens", model.logs().alias("__logs"))
     rows = rows.select(*keep, "__tokens", "__logs", F.array_max("__logs").alias("__max"))
     rows = rows.select(*keep, "__tokens", F.transform("__logs", lambda x: F.exp(x - F.col("__max"))).alias("__e"))
     rows = rows.select(*keep, "__tokens", "__e", F.aggregate("__e", F.lit(0.0), lambda s, x: s + x).alias("__sum"))
-    return rows.select(*keep, "__tokens", *((F.element_at("__e", k + 1) / F.col("__sum")).alias(f"__p{k}") for k in range(len(DOMAINS))))
+    # the row number is not deterministic for the optimiser: later filters stay above and do not repeat all this
+    return rows.select(*keep, "__tokens", *((F.element_at("__e", k + 1) / F.col("__sum")).alias(f"__p{k}") for k in range(len(DOMAINS))), F.monotonically_increasing_id().alias("__number"))
 
 
 @dataclass
@@ -141,7 +142,7 @@ class Steps:
         return out
 
 
-def solve(rows: DataFrame, weights: Mapping[str, float], *, total_tokens: float | None = None, max_steps: int = 40, tolerance: float = 1e-4) -> Steps:
+def solve(rows: DataFrame, weights: Mapping[str, float], *, total_tokens: float | None = None, max_steps: int = 30, tolerance: float = 1e-4) -> Steps:
     """rows: __tokens and __p0 ...; one aggregation for each step."""
     share = [float(weights.get(name, 0.0)) for name in DOMAINS]
     share = [x / (sum(share) or 1.0) for x in share]
@@ -155,7 +156,12 @@ def solve(rows: DataFrame, weights: Mapping[str, float], *, total_tokens: float
     main = max(range(len(share)), key=lambda k: share[k])
     total = total_tokens if total_tokens is not None else mass[main] / share[main] if share[main] else 0.0
     steps.targets = [x * total for x in share]
-    while len(steps.gradients) < max_steps and max(abs(s - t) for s, t in zip(steps.totals, steps.targets, strict=True)) > tolerance * max(total, 1.0):
+    apart = lambda a, b: max(abs(x - y) for x, y in zip(a, b, strict=True))
+    before: list[float] = []
+    while len(steps.gradients) < max_steps and apart(steps.totals, steps.targets) > tolerance * max(total, 1.0):
+        if before and apart(before, steps.totals) < 0.1 * tolerance * max(total, 1.0):
+            break  # the targets cannot be met more closely
+        before = steps.totals
         steps.gradients.append([(s - t) / m if m > 0 else 0.0 for s, t, m in zip(steps.totals, steps.targets, mass, strict=True)])
         steps.totals = sums()
     return steps
@@ -181,7 +187,7 @@ def mix(docs: DataFrame, labels: DataFrame, *, weights: Mapping[str, float] = WE
     steps = solve(cut(_with_posteriors(docs, model)), weights, total_tokens=total_tokens)
     own = F.struct(*(F.col(c) for c in docs.columns)).alias("__row")
     rows = _with_posteriors(docs.select(own, F.col("doc_id").cast("long").alias("doc_id"), "text"), model, "__row", "doc_id")
-    taken = rows.withColumn("__n", _copies(steps.rate(), seed)).filter("__n > 0")
+    taken = rows.withColumn("__n", _copies(steps.rate(), seed)).filter("__n > 0 and __number >= 0")
     return taken.select("__row", F.explode(F.sequence(F.lit(1), F.col("__n"))).alias("__k")).select("__row.*")
 
 

@@ -4,15 +4,17 @@ A window is 13 consecutive words. A word goes when a window that covers it also
 id. Shards are cut by content, not by document: every window belongs to its smallest 5-word hash (its minimiser), so
 equal windows always meet in one shard and no document has to be held against the whole corpus.
 
-1. Documents with equal word sequences collapse to the one with the smallest id (the others lose every word).
-2. Minimisers that two different texts hold are found by a combining aggregation; all other windows are unique.
-3. Documents that hold such minimisers give their runs of windows with one minimiser as segments. (Windows of a
-   minimiser with very many holders are dealt one by one, by their own hash, so that no shard runs hot.) Equal
-   segments combine before and in the shuffle, and keep the smallest id that holds them.
-4. Each shard builds an FM-index of its distinct segments: suffix order to a depth of 16, Burrows-Wheeler transform,
+1. Minimisers that two different texts hold are found by a combining aggregation; windows of all others are unique.
+   They are sent to the tasks as a Bloom filter of bounded size: what it holds too much only costs a few segments
+   that repeat nothing.
+2. Documents give their runs of windows with one such minimiser as segments. (Windows of a minimiser with very many
+   holders are dealt one by one, by their own hash, so that no shard runs hot.) Equal segments combine before and in
+   the shuffle, and keep the smallest id that holds them.
+3. Each shard builds an FM-index of its distinct segments: suffix order to a depth of 16, Burrows-Wheeler transform,
    wavelet matrix over packed bits. Backward search of all windows gives their intervals and so the smallest id in
    each: a window's matching statistic reaches the threshold just where its interval holds an earlier document.
-5. Every holder of a segment compares those ids with its own and marks the windows' words.
+4. Every holder of a segment compares those ids with its own; what it loses comes back as ranges of windows.
+5. A document whose whole word sequence a smaller id has loses every word.
 
 Defined results: null and empty texts have no words; texts under 13 words keep all; rows that
 share an id are one document and never remove each other's words; rows with a null id
@@ -35,9 +37,12 @@ from .common import cut, mix64, small_batches, words_of
 WINDOW, GRAM = 13, 5
 #: Minimisers with more holders than this are dealt window by window.
 HOT = 500
-#: Repeated minimisers for each shard, on average.
-SHARD = 2_500
-BROADCAST_IDS = 200_000
+#: Documents for each shard, on average.
+SHARD = 256
+#: Bits of the filter: 64 for each document (a dozen for each minimiser that repeats), between these powers of two (the larger is 32 MB).
+FILTER_BITS = (16, 28)
+#: Documents and ranges that may be broadcast; beyond either the documents are shuffled to them.
+BROADCAST_IDS, BROADCAST_RANGES = 200_000, 2_000_000
 #: Stands for a null id: after all others.
 LAST = 2**63 - 1
 
@@ -67,11 +72,12 @@ def minimisers(codes: np.ndarray, window: int = WINDOW, gram: int = GRAM) -> np.
 
 
 class FmIndex:
-    """FM-index of sequences of symbols (any 64-bit codes), for patterns of at most 16 symbols."""
+    """FM-index of sequences of words, for patterns of at most 16 words."""
 
-    def __init__(self, sequences: list[np.ndarray]):
-        flat = np.concatenate([x for s in sequences for x in (s, s[:0])])
-        self.alphabet, symbols = np.unique(flat, return_inverse=True)
+    def __init__(self, sequences: list[list[bytes]]):
+        known: dict[bytes, int] = {}
+        symbols = np.fromiter((known.setdefault(w, len(known)) for s in sequences for w in s), np.int64)
+        self.alphabet = len(known)
         lengths = np.asarray([len(s) for s in sequences])
         ends = np.cumsum(lengths + 1) - 1
         text = np.zeros(int(ends[-1]) + 1, np.int64)  # 0 ends each sequence
@@ -84,17 +90,17 @@ class FmIndex:
         for step in (1, 2, 4, 8):  # orders suffixes by 2, 4, 8 and 16 symbols
             after = np.zeros(n, np.int64)
             after[:-step] = rank[step:] + 1 if step < n else 0
-            key = rank * (n + len(self.alphabet) + 3) + after
+            key = rank * (n + self.alphabet + 3) + after
             order = np.argsort(key, kind="stable")
             rank = np.empty(n, np.int64)
             rank[order] = np.concatenate([[0], np.cumsum(np.diff(key[order]) != 0)])
         self.order = order
         bwt = text[order - 1]
-        counts = np.bincount(text, minlength=len(self.alphabet) + 1)
+        counts = np.bincount(text, minlength=self.alphabet + 1)
         self.before = np.concatenate([[0], np.cumsum(counts)])
         # wavelet matrix: a bit vector for each bit of a symbol, highest first, packed into 64-bit words with counts
         self.levels: list[tuple[np.ndarray, np.ndarray, int]] = []
-        self.bits = max(1, int(len(self.alphabet)).bit_length())
+        self.bits = max(1, self.alphabet.bit_length())
         for level in range(self.bits - 1, -1, -1):
             bit = (bwt >> level) & 1
             padded = np.zeros((n // 64 + 1) * 64, np.uint8)
@@ -103,7 +109,7 @@ class FmIndex:
             ones = np.concatenate([[0], np.cumsum(np.bitwise_count(words), dtype=np.int64)])
             self.levels.append((words, ones, n - int(bit.sum())))
             bwt = np.concatenate([bwt[bit == 0], bwt[bit == 1]])
-        self.first = self._walk(np.arange(len(self.alphabet) + 1), np.zeros(len(self.alphabet) + 1, np.int64))
+        self.first = self._walk(np.arange(self.alphabet + 1), np.zeros(self.alphabet + 1, np.int64))
 
     def _walk(self, symbols: np.ndarray, at: np.ndarray) -> np.ndarray:
         for level, (words, ones, zeros) in zip(range(self.bits - 1, -1, -1), self.levels, strict=True):
@@ -127,7 +133,7 @@ class FmIndex:
         return low, high
 
 
-def least_holders(segments: list[np.ndarray], holders: np.ndarray, window: int = WINDOW) -> list[np.ndarray]:
+def least_holders(segments: list[list[bytes]], holders: np.ndarray, window: int = WINDOW) -> list[np.ndarray]:
     """For each segment, for each of its windows: the smallest holder of any segment that contains the window."""
     index = FmIndex(segments)
     number = np.asarray([len(s) - window + 1 for s in segments])
@@ -188,11 +194,37 @@ def _copies(docs: DataFrame) -> DataFrame:
     return rows.join(firsts, "digest").filter("doc_id <> first").select("doc_id").distinct()
 
 
-def _segments(docs: DataFrame, needed: DataFrame, words_too: bool) -> DataFrame:
-    """Segments of the documents in needed: key (what deals them), doc_id, start, segment (a hash) and, if asked for, their words' codes."""
-    texts = _base(docs)
-    if needed.count() <= BROADCAST_IDS:
-        texts = texts.join(F.broadcast(needed.select("doc_id")), "doc_id", "left_semi")
+class Filter:
+    """Two Bloom filters over minimisers in one table of 64-bit words: those that repeat, and the hot ones among them."""
+
+    shifts = (0, 15, 30)
+
+    def __init__(self, bits: int):
+        self.mask = (1 << bits) - 1
+        self.repeated, self.hot = (np.zeros(max(1, 1 << bits >> 6), np.uint64) for _ in range(2))
+
+    def holds(self, table: np.ndarray, values: np.ndarray) -> np.ndarray:
+        out = np.ones(len(values), bool)
+        for s in self.shifts:
+            at = (values >> np.uint64(s)) & np.uint64(self.mask)
+            out &= (table[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1) == 1
+        return out
+
+
+def filter_of(least: DataFrame, n_docs: int, hot: int = HOT) -> Filter:
+    """least: doc_id, digest, least. Bits are set by aggregation; at most 2**bits / 64 words reach the driver."""
+    out = Filter(min(max((64 * max(n_docs, 1)).bit_length(), FILTER_BITS[0]), FILTER_BITS[1]))
+    each = least.select("digest", F.explode("least").alias("m")).groupBy("m").agg(F.min("digest").alias("a"), F.max("digest").alias("b"), F.count("*").alias("n")).filter("a <> b")
+    at = F.explode(F.array(*(F.shiftrightunsigned("m", s).bitwiseAND(F.lit(out.mask)) for s in Filter.shifts))).alias("at")
+    bit = F.expr("shiftleft(1L, cast(at & 63 as int))")
+    words = each.select(at, (F.col("n") > hot).alias("is_hot")).groupBy(F.shiftright("at", 6).alias("w")).agg(F.bit_or(bit).alias("r"), F.bit_or(F.when(F.col("is_hot"), bit).otherwise(F.lit(0).cast("long"))).alias("h")).toPandas()
+    out.repeated[words["w"].to_numpy(np.int64)] = words["r"].to_numpy(np.int64).view(np.uint64)
+    out.hot[words["w"].to_numpy(np.int64)] = words["h"].to_numpy(np.int64).view(np.uint64)
+    return out
+
+
+def _segments(docs: DataFrame, sent, words_too: bool) -> DataFrame:
+    """Segments of the documents: key (what deals them), doc_id, start, segment (a hash) and, if asked for, their words."""
     kinds = {"key": pa.int64(), "doc_id": pa.int64(), "start": pa.int32(), "segment": pa.int64(), "words": pa.binary()}
     if not words_too:
         kinds.pop("words")
@@ -200,95 +232,105 @@ def _segments(docs: DataFrame, needed: DataFrame, words_too: bool) -> DataFrame:
     def segmented(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from xxhash import xxh3_64_intdigest
 
+        known: Filter = sent.value
         for batch in batches:
             out: dict[str, list] = {k: [] for k in kinds}
-            for doc_id, text, hits, hot in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text", "hits", "hot")), strict=True):
-                codes = word_codes(words_of(text))
-                if len(codes) < WINDOW:
+            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                words = words_of(text)
+                if len(words) < WINDOW:
                     continue
-                least = minimisers(codes)
-                marks = least.view(np.int64)
-                wanted = np.isin(marks, np.asarray(hits, np.int64))
-                alone = np.isin(marks, np.asarray(hot, np.int64)) & wanted
-                breaks = np.flatnonzero(np.concatenate([[True], (np.diff(marks) != 0) | alone[1:] | alone[:-1]]))
-                for a, b in zip(breaks.tolist(), [*breaks[1:].tolist(), len(marks)], strict=True):
-                    if wanted[a]:
-                        data = codes[a : b + WINDOW - 1].tobytes()
-                        own = xxh3_64_intdigest(data) - 2**63
-                        out["key"].append(own if alone[a] else int(marks[a]))
-                        out["doc_id"].append(doc_id)
-                        out["start"].append(a)
-                        out["segment"].append(own)
-                        if words_too:
-                            out["words"].append(data)
+                least = minimisers(word_codes(words))
+                wanted = known.holds(known.repeated, least)
+                if not wanted.any():
+                    continue
+                alone = known.holds(known.hot, least) & wanted
+                breaks = np.flatnonzero(np.concatenate([[True], (least[1:] != least[:-1]) | alone[1:] | alone[:-1]]))
+                ends = np.append(breaks[1:], len(least))
+                for a, b in zip(breaks[wanted[breaks]].tolist(), ends[wanted[breaks]].tolist(), strict=True):
+                    data = b" ".join(words[a : b + WINDOW - 1])
+                    own = xxh3_64_intdigest(data) - 2**63
+                    out["key"].append(own if alone[a] else int(least[a].view(np.int64)))
+                    out["doc_id"].append(doc_id)
+                    out["start"].append(a)
+                    out["segment"].append(own)
+                    if words_too:
+                        out["words"].append(data)
             yield pa.RecordBatch.from_arrays([pa.array(out[k], kind) for k, kind in kinds.items()], names=list(kinds))
 
-    schema = "key long, doc_id long, start int, segment long" + ", words binary" * words_too
-    return texts.join(needed, "doc_id").select("doc_id", "text", "hits", "hot").mapInArrow(segmented, schema)
+    return _base(docs).mapInArrow(segmented, "key long, doc_id long, start int, segment long" + ", words binary" * words_too)
 
 
 def _searched(pdf: pd.DataFrame) -> pd.DataFrame:
-    found = least_holders([np.frombuffer(x, np.uint64) for x in pdf["words"]], pdf["doc_id"].to_numpy())
+    found = least_holders([x.split() for x in pdf["words"]], pdf["doc_id"].to_numpy())
     return pd.DataFrame({"segment": pdf["segment"], "least": [x.tolist() for x in found]})
 
 
+def _ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """doc_id, first and n of every run of windows in a place that an earlier document holds too."""
+    for batch in batches:
+        doc_ids, starts, lists = batch.column("doc_id").to_numpy(), batch.column("start").to_numpy(), batch.column("least")
+        sizes = np.diff(lists.offsets.to_numpy())
+        place = np.repeat(np.arange(len(sizes)), sizes)
+        inside = np.arange(len(place)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        held = lists.flatten().to_numpy(zero_copy_only=False) < doc_ids[place]
+        edge = np.concatenate([[True], (place[1:] != place[:-1]) | (held[1:] != held[:-1])]) if len(place) else np.empty(0, bool)
+        at = np.flatnonzero(edge)
+        n = np.diff(np.append(at, len(place)))
+        at, n = at[held[at]], n[held[at]]
+        yield pa.RecordBatch.from_arrays([pa.array(doc_ids[place[at]], pa.int64()), pa.array((starts[place[at]] + inside[at]).astype(np.int32)), pa.array(n.astype(np.int32))], names=["doc_id", "first", "n"])
+
+
 def covered_windows(docs: DataFrame) -> DataFrame:
-    """doc_id and the starts of its windows that also start in a document with a smaller id, copies of whole documents aside."""
-    small_batches(docs.sparkSession)
-    least = _minimisers(docs)
-    each = least.select("doc_id", "digest", F.explode("least").alias("m"))
-    repeated = cut(each.groupBy("m").agg(F.min("digest").alias("a"), F.max("digest").alias("b"), F.count("*").alias("n")).filter("a <> b").select("m", (F.col("n") > HOT).alias("is_hot")))
-    hits = each.select("doc_id", "m").join(repeated, "m")
-    needed = hits.groupBy("doc_id").agg(F.collect_list("m").alias("hits"), F.collect_list(F.when(F.col("is_hot"), F.col("m"))).alias("hot"))
-    needed = cut(needed.join(cut(_copies(docs)), "doc_id", "left_anti"))
-    shards = max(1, -(-repeated.count() // SHARD))
+    """doc_id and ranges (first, n) of its windows that also start in a document with a smaller id."""
+    spark = docs.sparkSession
+    small_batches(spark)
+    n_docs = docs.count()
+    sent = spark.sparkContext.broadcast(filter_of(_minimisers(docs), n_docs))
+    shards = max(1, -(-n_docs // SHARD))
     distinct = (
-        _segments(docs, needed, True).groupBy("segment", "words").agg(F.min("doc_id").alias("doc_id"), F.min("key").alias("key"))
+        _segments(docs, sent, True).groupBy("segment", "words").agg(F.min("doc_id").alias("doc_id"), F.min("key").alias("key"))
         .select(F.pmod(F.xxhash64("key"), F.lit(shards)).alias("shard"), "segment", "words", "doc_id")
     )
-    answers = cut(distinct.groupBy("shard").applyInPandas(_searched, "segment long, least array<long>"))
-    places = _segments(docs, needed, False).select("segment", "doc_id", "start").join(answers, "segment")
-    starts = F.filter(F.transform("least", lambda x, i: F.when(x < F.col("doc_id"), F.col("start") + i)), lambda x: x.isNotNull())
-    return places.select("doc_id", starts.alias("starts")).filter(F.size("starts") > 0).groupBy("doc_id").agg(F.flatten(F.collect_list("starts")).alias("starts"))
+    answers = distinct.groupBy("shard").applyInPandas(_searched, "segment long, least array<long>")
+    places = _segments(docs, sent, False).select("segment", "doc_id", "start").join(answers, "segment")
+    found = places.select("doc_id", "start", "least").mapInArrow(_ranges, "doc_id long, first int, n int")
+    return found.groupBy("doc_id").agg(F.collect_list(F.struct("first", "n")).alias("ranges"))
 
 
 def _kept(texts: DataFrame) -> DataFrame:
-    """texts: doc_id, text, starts (null: none), copy (true: nothing is left)."""
+    """texts: doc_id, text, ranges (null: none), copy (true: nothing is left)."""
 
     def done(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sizes, gone, kept = [], [], []
-            for text, starts, copy in zip(*(batch.column(c).to_pylist() for c in ("text", "starts", "copy")), strict=True):
+            for text, ranges, copy in zip(*(batch.column(c).to_pylist() for c in ("text", "ranges", "copy")), strict=True):
                 words = words_of(text)
                 left = words
                 if copy:
                     left = []
-                elif starts:
-                    starts = [x for x in starts if x + WINDOW <= len(words)]
-                    lost = np.zeros(len(words) + 1, np.int64)
-                    np.add.at(lost, np.asarray(starts), 1)
-                    np.add.at(lost, np.asarray(starts) + WINDOW, -1)
-                    left = [w for w, x in zip(words, (np.cumsum(lost)[:-1] > 0).tolist(), strict=True) if not x]
+                elif ranges:
+                    lost = bytearray(len(words))
+                    for r in ranges:
+                        first, end = r["first"], min(r["first"] + r["n"] + WINDOW - 1, len(words))
+                        lost[first:end] = b"\1" * (end - first)
+                    left = [w for w, x in zip(words, lost, strict=True) if not x]
                 sizes.append(len(words))
                 gone.append(len(words) - len(left))
                 kept.append(b" ".join(left).decode("utf-8", "surrogatepass"))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(gone, pa.int64()), pa.array(kept, pa.string())], names=["doc_id", "n_words", "n_removed", "text"])
 
-    return texts.select("doc_id", "text", "starts", "copy").mapInArrow(done, "doc_id long, n_words long, n_removed long, text string")
+    return texts.select("doc_id", "text", "ranges", "copy").mapInArrow(done, "doc_id long, n_words long, n_removed long, text string")
 
 
 def deduplicate(docs: DataFrame) -> DataFrame:
     """doc_id, n_words, n_removed and the text left (words joined by one space) of every row of docs."""
-    covered = covered_windows(docs).select("doc_id", "starts", F.lit(False).alias("copy"))
-    copies = _copies(docs).select("doc_id", F.lit(None).cast("array<int>").alias("starts"), F.lit(True).alias("copy"))
-    facts = cut(covered.unionByName(copies))
-    texts = _base(docs)
-    if facts.count() <= BROADCAST_IDS:  # by their ids alone, texts that change are picked without moving the others
-        ids = F.broadcast(facts.select("doc_id"))
-        rest = texts.join(ids, "doc_id", "left_anti").select("doc_id", "text", F.lit(None).cast("array<int>").alias("starts"), F.lit(False).alias("copy"))
-        out = _kept(texts.join(ids, "doc_id", "left_semi").join(facts, "doc_id")).unionByName(_kept(rest))
-    else:
-        out = _kept(texts.join(facts, "doc_id", "left"))
+    covered = covered_windows(docs)
+    copies = _copies(docs).select("doc_id", F.lit(True).alias("copy"))
+    facts = covered.join(copies, "doc_id", "full").select("doc_id", F.when(F.col("copy").isNull(), F.col("ranges")).alias("ranges"), F.coalesce("copy", F.lit(False)).alias("copy"))
+    facts = cut(facts)
+    size = facts.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.greatest(F.size("ranges"), F.lit(0))), F.lit(0)).alias("ranges")).first()
+    small = size["n"] <= BROADCAST_IDS and size["ranges"] <= BROADCAST_RANGES
+    out = _kept(_base(docs).join(F.broadcast(facts) if small else facts, "doc_id", "left"))
     return out.withColumn("doc_id", F.when(F.col("doc_id") != LAST, F.col("doc_id")))
 
 
