@@ -63,7 +63,7 @@ def _furniture(tag: str, attributes: str) -> bool:
 
 
 def lines_of(html: str | None) -> list[tuple[str, bool, bool]]:
-    """Text lines of a page in order, with two marks each: inside an article or main element; inside furniture."""
+    """Text lines of a page in order, with two marks each: inside an article or main element; inside furniture (never both)."""
     html = html or ""
     out: list[tuple[str, bool, bool]] = []
     open_tags: list[tuple[str, bool, bool]] = []  # tag, inside main, inside furniture
@@ -113,7 +113,9 @@ def lines_of(html: str | None) -> list[tuple[str, bool, bool]]:
             own = _furniture(tag, m[3])
             # an article may have a header of its own: its heading belongs to the text
             own = own and not (tag == "header" and main)
-            open_tags.append((tag, (main or tag in _MAIN) and not own, furniture or own))
+            # an article inside furniture is a teaser or a comment, not the page's article
+            furniture = furniture or own
+            open_tags.append((tag, (main or tag in _MAIN) and not furniture, furniture))
     flush()
     return out
 

@@ -134,6 +134,13 @@ def test_differencing_finds_furniture_without_names(spark):
     assert out[0].n_shared_lines == 3
 
 
+def test_articles_inside_furniture_are_not_the_pages_article(spark):
+    cards = "<aside><article><h3>Teaser</h3><p>of another page</p></article></aside><section class='comments'><article><p>reader says</p></article></section>"
+    rows = [(1, "http://d.com/1", f"<body><div><p>The body of the page</p><section><p>goes on</p></section></div>{cards}</body>"), (2, "http://e.com/1", f"<body><p>loose</p><article><p>The article</p>{cards}</article></body>")]
+    text = {r.page_id: r.text for r in html_extraction.extract(pages(spark, rows)).collect()}
+    assert text == {1: "The body of the page\ngoes on", 2: "The article"}
+
+
 def test_common_lines_is_a_longest_common_subsequence():
     rng = np.random.default_rng(0)
     for _ in range(100):
