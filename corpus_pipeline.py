@@ -11,6 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from panelyx.llm import exact_dedup, mixing, near_dedup, packing, quality_classifier
 from panelyx.llm.common import cut, read
 
+#: Least Jaccard index, in percent, at which documents are near copies here (85 is the contract of the op3 query alone).
+NEAR_PERCENT = 80
 #: Shares of tokens by domain after mixing; the clean documents' own tokens set the total, so that they stay.
 WEIGHTS = {"clean": 0.955, "toxic": 0.04, "low": 0.005}
 
@@ -27,7 +29,7 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One of every component of near copies stays."""
-    return near_dedup.deduplicate(docs)
+    return near_dedup.deduplicate(docs, percent=NEAR_PERCENT)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -168,3 +168,12 @@ def test_pipeline_stages(spark, sf_dir):
     out = corpus_pipeline.run(spark, sf_dir)
     assert {"doc_id", "piece", "sequence_id", "offset"} <= set(out.columns)
     assert {r.doc_id for r in out.select("doc_id").collect()} <= ids
+
+
+def test_pipeline_takes_out_near_copies_from_80_percent_on(spark, sf_dir):
+    base = [f"w{i}" for i in range(104)]
+    changed = lambda at: " ".join("new" if i in at else w for i, w in enumerate(base))
+    # 100 shingles each; k changed ones in either: Jaccard (100 - k) / (100 + k)
+    rows = [(1, " ".join(base)), (2, changed({20, 60})), (3, " ".join(f"v{i}" for i in range(104))), (4, " ".join("new" if i in (20, 60, 90) else f"v{i}" for i in range(104)))]
+    out = corpus_pipeline.near(spark, frame(spark, rows), sf_dir)
+    assert {r.doc_id for r in out.select("doc_id").collect()} == {1, 3, 4}  # 90/110 = 0.82 goes, 85/115 = 0.74 stays
