@@ -4,9 +4,11 @@ Pages are dealt by range over host and URL path, so that neighbours in the sorte
 whose paths lie nearest, and no host, however large, has to fit into one task. Each page becomes text lines (one for
 each block); lines of elements that the markup itself names as furniture (navigation, footers, asides, forms, scripts,
 adverts, notices, comments of readers) go. The lines outside the article element, furniture included, are aligned with
-those of the neighbours by longest common subsequence, and shared lines are deleted there. Lines inside an article or
-main element are never deleted by differencing, so that two copies of an article do not erase each other; on pages
-without such an element a neighbour that shares most of the text counts as a copy and is passed over.
+those of the neighbours by longest common subsequence, and shared lines are deleted there. So are the lines inside an
+article or main element, with those inside of the REACH nearest pages on either side; there a line goes only if two
+pages share it that are neither copies of the article nor of each other, so that two copies of an article do not erase
+each other and a passage quoted once stays. On pages without such an element a neighbour that shares most of the text
+counts as a copy and is passed over.
 
 Defined results: null and empty html give an empty text; a null url sorts first, as a host of its own; repeated rows
 are extracted one by one; a page that has no neighbour of its host in its range partition is judged by markup alone;
@@ -35,6 +37,8 @@ _RAW = frozenset("script style noscript template textarea iframe svg math object
 _FURNITURE = frozenset("head nav footer aside form button select dialog menu header".split())
 _ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar".split())
 _MAIN = frozenset("article main".split())
+#: Neighbours on either side of a page that lines of its article are aligned with.
+REACH = 3
 _NAMED = re.compile(
     r"(?:^|[\s_-])(?:ads?|advert\w*|adsense|banner|sponsor\w*|promo\w*|nav\w*|menu\w*|breadcrumbs?|sidebar\w*|side|footer\w*|masthead|topbar|header|"
     r"cookies?|consent|notice|gdpr|popup|modal|overlay|newsletter|subscribe|signup|login|search|share|sharing|social|related|recommend\w*|"
@@ -149,23 +153,45 @@ def common_lines(a: list[str], b: list[str]) -> set[int]:
     return shared
 
 
-def main_text(page: list[tuple[str, bool, bool]], neighbours: list[list[tuple[str, bool, bool]]], *, copy_share: float = 0.5) -> tuple[str, int]:
+def _alike(a: list[str], b: list[str], copy_share: float) -> bool:
+    """Whether two articles share more than copy_share of the shorter one's text, wherever it stands."""
+    x, y = set(a), set(b)
+    return sum(map(len, x & y)) > copy_share * min(sum(map(len, x)), sum(map(len, y)))
+
+
+def main_text(page: list[tuple[str, bool, bool]], near: list[list[tuple[str, bool, bool]]], far: list[list[tuple[str, bool, bool]]] = (), *, copy_share: float = 0.5) -> tuple[str, int]:
     """Lines left, joined by a line feed, and the number of lines that alignment deleted.
 
-    Lines outside article and main elements are aligned with those of the neighbours and go where shared. On a page
-    without such an element, a neighbour that shares more than copy_share of the free text is a copy and is passed
-    over. What alignment leaves goes too if it is furniture by its markup, or stands outside the page's article.
+    Lines outside article and main elements are aligned with those of the near neighbours and go where shared. On a
+    page without such an element, a neighbour that shares more than copy_share of the free text is a copy and is passed
+    over. Lines inside are aligned with those inside of all neighbours, near and far, and go where two of them share
+    them; a neighbour that shares more than copy_share of the article is a copy of it and is passed over, and so is one
+    that is a copy of another neighbour. What alignment leaves goes too if it is furniture by its markup, or stands
+    outside the page's article.
     """
     loose = [i for i, (_, main, _) in enumerate(page) if not main]
+    inside = [i for i, (_, main, _) in enumerate(page) if main]
     own = [page[i][0] for i in loose]
-    has_main = len(loose) < len(page)
     size = sum(len(page[i][0]) for i in loose if not page[i][2]) or 1
     gone: set[int] = set()
-    for other in neighbours:
+    for other in near:
         shared = {loose[k] for k in common_lines(own, [text for text, main, _ in other if not main])}
-        if has_main or sum(len(page[i][0]) for i in shared if not page[i][2]) <= copy_share * size:
+        if inside or sum(len(page[i][0]) for i in shared if not page[i][2]) <= copy_share * size:
             gone |= shared
-    return "\n".join(text for i, (text, main, furniture) in enumerate(page) if i not in gone and not furniture and (main or not has_main)), len(gone)
+    if inside:
+        article = [page[i][0] for i in inside]
+        size = sum(map(len, article))
+        once: set[int] = set()
+        heard: list[list[str]] = []
+        for other in (*near, *far):
+            body = [text for text, main, _ in other if main]
+            shared = {inside[k] for k in common_lines(article, body)}
+            if not shared or sum(len(page[i][0]) for i in shared) > copy_share * size or any(_alike(body, x, copy_share) for x in heard):
+                continue
+            heard.append(body)
+            gone |= shared & once
+            once |= shared
+    return "\n".join(text for i, (text, main, furniture) in enumerate(page) if i not in gone and not furniture and (main or not inside)), len(gone)
 
 
 def extract(pages: DataFrame) -> DataFrame:
@@ -184,12 +210,14 @@ def extract(pages: DataFrame) -> DataFrame:
     dealt = keyed.repartitionByRange(*order).sortWithinPartitions(*order)
 
     def differenced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        before = now = None  # (host, lines, page_id, url); only three pages are held at a time besides the batch
+        held: list[tuple] = []  # (host, lines, page_id, url); only 2 * REACH + 1 pages are held at a time besides the batch
+        at = 0  # the first page of held that is not finished
         done: list[tuple] = []
 
-        def finish(after) -> None:
-            near = [x[1] for x in (before, after) if x and x[0] == now[0]]
-            text, shared = main_text(now[1], near)
+        def finish() -> None:
+            now = held[at]
+            around = [[x[1] for x in (held[k] for k in (at - d, at + d) if 0 <= k < len(held)) if x[0] == now[0]] for d in range(1, REACH + 1)]
+            text, shared = main_text(now[1], around[0], [x for ring in around[1:] for x in ring])
             done.append((now[2], now[3], text, len(text), shared))
 
         def batch_of() -> pa.RecordBatch:
@@ -199,14 +227,19 @@ def extract(pages: DataFrame) -> DataFrame:
 
         for batch in batches:
             for page_id, link, html, host in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
-                after = (host, lines_of(html), page_id, link)
-                if now:
-                    finish(after)
-                before, now = now, after
+                held.append((host, lines_of(html), page_id, link))
+                if len(held) > at + REACH:
+                    finish()
+                    at += 1
+                if at > REACH:
+                    held.pop(0)
+                    at -= 1
             if done:
                 yield batch_of()
-        if now:
-            finish(None)
+        while at < len(held):
+            finish()
+            at += 1
+        if done:
             yield batch_of()
 
     return dealt.select("page_id", "url", "html", "host").mapInArrow(differenced, "page_id long, url string, text string, n_chars long, n_shared_lines long")

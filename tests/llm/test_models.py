@@ -141,6 +141,18 @@ def test_articles_inside_furniture_are_not_the_pages_article(spark):
     assert text == {1: "The body of the page\ngoes on", 2: "The article"}
 
 
+def test_differencing_acts_inside_articles(spark):
+    body = lambda k: f"<p>Story number {k} tells something of its own at length, {'so ' * 20 + str(k)}</p>"
+    page = lambda k, more="": f"<body><article>{body(k)}{more}<p>Read on with a subscription</p></article></body>"
+    rows = [(k, f"http://c.com/{k}", page(k)) for k in range(4)]
+    rows += [(9, "http://c.com/3", rows[3][2])]  # a copy of page 3: neither erases the other
+    quote = "<p>A passage that one other page quotes</p>"
+    rows += [(20, "http://d.com/0", page(20, quote)), (21, "http://d.com/1", page(21, quote)), (22, "http://d.com/1", page(21, quote))]
+    out = {r.page_id: r for r in html_extraction.extract(pages(spark, rows).coalesce(1)).collect()}
+    assert all(re.fullmatch(rf"Story number {3 if k == 9 else k} [^\n]*", out[k].text) and out[k].n_shared_lines == 1 for k in (0, 1, 2, 3, 9))
+    assert out[20].text.split("\n")[1:] == ["A passage that one other page quotes", "Read on with a subscription"]
+
+
 def test_common_lines_is_a_longest_common_subsequence():
     rng = np.random.default_rng(0)
     for _ in range(100):
