@@ -171,17 +171,22 @@ def train(m: Model, texts: list[np.ndarray], *, rate: float = 0.01, window: int
                     back[rows] += e @ m.word_weight[a:b]
             ends = np.cumsum([len(x[0]) for x in tape])
             dh = np.zeros_like(h)
+            inputs = np.empty((len(wanted), 3 * k), np.float32)
+            recurrent = np.empty_like(inputs)
             for (ids, before, rz, new, gates), end in zip(reversed(tape), ends[::-1], strict=True):
                 n = len(ids)
                 d, r, z = dh[:n], rz[:, :k], rz[:, k:]
                 dz = d * (before - new) * z * (1 - z)
                 dn = d * (1 - z) * (1 - new * new)
                 dr = dn * gates[:, 2 * k :] * r * (1 - r)
-                dx = np.concatenate([dr, dz, dn], axis=1)
-                dg = np.concatenate([dr, dz, dn * r], axis=1)
-                grad["recurrent"] += before.T @ dg
-                grad["gate_bias"] += dx.sum(axis=0)
-                np.add.at(grad["table"], ids, dx)
+                dx, dg = inputs[end - n : end], recurrent[end - n : end]
+                dx[:, :k], dx[:, k : 2 * k], dx[:, 2 * k :] = dr, dz, dn
+                dg[:, : 2 * k], dg[:, 2 * k :] = dx[:, : 2 * k], dn * r
                 dh[:n] = d * z + dg @ m.recurrent.T + back[end - n : end]
+            grad["recurrent"], grad["gate_bias"] = states.T @ recurrent, inputs.sum(axis=0)
+            # one sum for each word of the window
+            order = np.argsort(wanted, kind="stable")
+            words, starts = np.unique(wanted[order], return_index=True)
+            grad["table"][words] = np.add.reduceat(inputs[order], starts)
             adam.step(m, grad)
     return seen

@@ -5,10 +5,11 @@ V distinct ones. The most frequent ``head`` words, a bounded table, are sent to
 is joined with the counts, so that no vocabulary is broadcast whole and no frequent word heats a join key.
 
 Network. Its vocabulary is the ``vocabulary`` most frequent words, the end token and one class for all other words,
-whose probability is split among them in proportion to count + 1 (with one share for unseen words). Training rounds:
-each partition runs truncated backpropagation from the same weights over whole texts of its share of the training
-documents (``share`` of them, or ``least_documents`` on small inputs), and the weights are averaged by tokens, in
-two steps. So what is gathered grows with the input. Scoring carries the state through every whole document.
+whose probability is split among them in proportion to count + 1 (with one share for unseen words). The training
+documents are dealt over the rounds by a hash of row id and text, so that each of them is trained on once, at every
+size of the input (``share`` below 1 takes a part of them, ``least_documents`` at least). In a round each partition
+runs truncated backpropagation from the same weights over its whole texts, and the weights are averaged by tokens, in
+two steps. What is gathered grows with the input. Scoring carries the state through every whole document.
 
 A 64-bit hash stands for a word; END is hash 0. Defined results: null and empty texts are the end token alone; without
 training documents N and V are 0 and every token is unseen; repeated rows are scored alike; a null id is a training
@@ -130,15 +131,15 @@ def head_of(counts: DataFrame, head: int, vocabulary: int) -> Head:
     return Head(top["h"].to_numpy(np.int64), top["c"].to_numpy(np.int64), facts["n"], facts["v"], facts["e"], vocabulary)
 
 
-def trained(training: DataFrame, head: Head, *, rounds: int = 2, share: float = 0.02, least_documents: int = 1_500, hidden: int = 16) -> gru.Model:
-    """Rounds of local training on every partition's share of whole texts, averaged by tokens."""
+def trained(training: DataFrame, head: Head, *, rounds: int = 2, share: float = 1.0, least_documents: int = 0, hidden: int = 16) -> gru.Model:
+    """Rounds of local training on every partition's whole texts, averaged by tokens; every document is in one round."""
     context = training.sparkSession.sparkContext
     model = gru.Model(head.counts, hidden)
     part = min(1.0, max(share, least_documents / max(head.end, 1)))
     sent_head = context.broadcast(head)
+    place = F.pmod(F.xxhash64("doc_id", "text"), F.lit(2**20))
     for at in range(rounds):
-        low = int(part * 2**20)
-        chosen = training.filter(F.pmod(F.xxhash64("doc_id", F.lit(at)), F.lit(2**20)) < low)
+        chosen = training.filter((place * rounds >= F.lit(part) * at * 2**20) & (place * rounds < F.lit(part) * (at + 1) * 2**20))
         sent = context.broadcast(model)
 
         def learned(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:

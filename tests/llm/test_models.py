@@ -46,6 +46,24 @@ def test_lm_beats_unigrams_on_structured_text(spark):
     assert out and sum(r.score for r in out) > sum(r.base_score for r in out)
 
 
+def test_lm_trains_once_on_every_training_document(spark, monkeypatch):
+    """Whole texts of all training rows reach the network, at any number of documents."""
+    rows = [*awkward_rows(), *((200 + i, " ".join(words(3, i))) for i in range(2_000))]
+    training = lm_scoring._training(frame(spark, rows, CLASHES), 7, 2).coalesce(1)
+    head = lm_scoring.head_of(lm_scoring.token_counts(training), 500, 50)
+    seen = []
+
+    def to_pandas(self, take=type(training).toPandas):
+        out = take(self)
+        if "seen" in out.columns:
+            seen.append(int(out["seen"].iloc[0]))
+        return out
+
+    monkeypatch.setattr(type(training), "toPandas", to_pandas)
+    lm_scoring.trained(training, head)
+    assert len(seen) == 2 and min(seen) > 0 and sum(seen) == head.tokens
+
+
 def test_gru_is_a_distribution_and_gradients_are_right():
     m = gru.Model(np.array([50.0, 30, 20, 10, 5, 1]), hidden=4, classes=3)
     states = np.random.default_rng(0).normal(0, 1, (5, 4)).astype(np.float32)
