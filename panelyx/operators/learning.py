@@ -28,7 +28,8 @@ def forecast(df: DataFrame, features: list[str], label: str, first_year: int, la
         assemble = VectorAssembler(inputCols=features, outputCol="__features")
         model = GBTRegressor(featuresCol="__features", labelCol=label, maxIter=trees, maxDepth=depth, seed=seed).fit(assemble.transform(train))
         found.append(model.transform(assemble.transform(test)).select("td", "tk", F.col(label).alias("label"), "prediction"))
-    out = found[0]
-    for more in found[1:]:
+    # without test years the result is empty
+    out = df.limit(0).select("td", "tk", F.col(label).alias("label"), F.lit(0.0).alias("prediction"))
+    for more in found:
         out = out.unionByName(more)
     return out

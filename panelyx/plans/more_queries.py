@@ -20,7 +20,7 @@ def _factor(name: str):
         days = joins.calendar(weekly(spark, sf_dir))
         capital = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("tk"), (F.abs("c_acctbal") + 1).alias("cap")).join(days.select("td"))
         f = facts(spark, sf_dir)
-        return tidy(factors.compute(name, lambda item: f, days.filter("ix % 8 = 0"), capital), KEYS, ["v"], 6)
+        return tidy(factors.compute(name, lambda item: f, days, capital), KEYS, ["v"], 6)
 
     return run
 
@@ -58,7 +58,9 @@ def hidden_flower(spark, sf_dir):
 @query("tree_forecast")
 def tree_forecast(spark, sf_dir):
     p = momentum(spark, sf_dir).withColumns({"size": F.log("amount"), "heavy": F.log1p("volume"), "swing": F.col("high") / F.col("low") - 1})
-    return tidy(learning.forecast(p, ["mom", "size", "heavy", "swing"], "fwd", 2000, 2000, trees=5), KEYS, ["label", "prediction"], 6)
+    # every year that has three years of training and one of validation before it
+    first, last = p.agg(F.min(F.year("td")), F.max(F.year("td"))).first()
+    return tidy(learning.forecast(p, ["mom", "size", "heavy", "swing"], "fwd", (first or 0) + 4, last or 0, trees=5), KEYS, ["label", "prediction"], 6)
 
 
 @query("event_bars", "SELECT date_trunc('hour', ts) AS start, CAST(user_id % 10 AS INTEGER) AS tk, round(max(abs(value) + 1), 6) AS high, round(min(abs(value) + 1), 6) AS low, count(*) AS trades FROM events WHERE value IS NOT NULL GROUP BY 1, 2")

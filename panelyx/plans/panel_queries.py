@@ -302,11 +302,10 @@ def label_simple(spark, sf_dir):
 
 @query("label_similar")
 def label_similar(spark, sf_dir):
-    """On one date: labels less the median of the names whose last 60 returns correlate most."""
-    p = returns(spark, sf_dir).withColumn("y", dataset.simple_label("close", "close", 4, 1))
-    r = p.filter("ix between 241 and 300 and ret is not null").select("tk", "ix", F.col("ret").alias("r"))
-    y = p.filter("ix = 300 and y is not null").select("tk", "y")
-    return tidy(dataset.similar_labels(r, y, neighbours=30), ["tk"], ["similar_label", "near_mean", "near_std"])
+    """On every date with 60 positions of returns: labels less the median of the names whose returns correlate most."""
+    p = returns(spark, sf_dir).withColumn("y", dataset.simple_label("close", "close", 4, 1)).select("td", "tk", "ix", F.col("ret").alias("r"), "y")
+    found = dataset.rolling_similar_labels(p, length=60, neighbours=30).join(p.select("td", "ix").distinct(), "ix")
+    return tidy(found, KEYS, ["similar_label", "near_mean", "near_std"])
 
 
 @query("window_dataset", f"WITH {WEEKLY}, x AS (SELECT td, tk, list(close) OVER w AS xs, count(*) OVER w AS n FROM wk WINDOW w AS (PARTITION BY tk ORDER BY ix ROWS BETWEEN 7 PRECEDING AND CURRENT ROW)), y AS (SELECT td, tk, list_filter(xs, lambda v, i: i % 2 = 0) AS s FROM x WHERE n = 8), o AS (SELECT td, tk, s[1] / s[-1] AS first_ratio, list_sum(s) / s[-1] AS ratio_sum FROM y WHERE list_min(s) > 0) " + sql_tidy("td, tk", ["first_ratio", "ratio_sum"], "o"))
