@@ -31,8 +31,9 @@ EQUIVALENT = [
     ("whilst", "while"), ("wilful", "willful"), ("per cent", "percent"), ("copyright owner", "copyright holder"), ("http://", "https://"),
 ]
 
-#: A line that is nothing but a copyright notice: its mark first, then a year somewhere or next to nothing.
-COPYRIGHT = r"^[^\p{L}\p{N}]*(copyright|©|\(c\)|all rights reserved)([^\n]*[0-9]{4}[^\n]*|[^\n]{0,20})\z"
+#: A line that is nothing but a copyright notice: its mark first, then a year somewhere, a second
+#: mark or a placeholder right behind it, or next to nothing.
+COPYRIGHT = r"^[^\p{L}\p{N}]*((copyright|©|\(c\)|all rights reserved)([^\n]*[0-9]{4}[^\n]*|[^\n]{0,20})|(copyright\s*(©|\(c\)|[<\[{])|©\s*[<\[{])[^\n]*)\z"
 BETWEEN = r"[^\p{L}\p{N}]+"
 
 

@@ -151,3 +151,11 @@ def test_licences(spark):
     again = license_scan.scan(frame(spark, [rows[2], rows[2]])).collect()
     assert [r.n_license_lines for r in again] == [1, 1]
     assert license_scan.scan(empty(spark)).count() == 0
+
+
+def test_template_copyright_lines_go(spark):
+    title, body = MIT.split("\n", 1)
+    heads = ["Copyright (c) <year> <copyright holders>", "Copyright (C) The Authors of This Rather Long Project", "Copyright [yyyy] [name of copyright owner]", "© {year} {name of the copyright holders}"]
+    rows = [(k, f"{title}\n\n{head}\n\n{body}") for k, head in enumerate(heads)] + [(9, f"{title}\nCopyright law protects this text and its readers\n{body}")]
+    out = {r.doc_id: r.text_license for r in license_scan.scan(frame(spark, rows)).collect()}
+    assert all(out[k] == "MIT" for k in range(4)) and out[9] is None
