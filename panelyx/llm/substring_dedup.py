@@ -15,6 +15,8 @@ equal windows always meet in one shard and no document has to be held against th
    each: a window's matching statistic reaches the threshold just where its interval holds an earlier document.
 4. Every holder of a segment compares those ids with its own; what it loses comes back as ranges of windows.
 5. A document whose whole word sequence a smaller id has loses every word.
+6. A table of bits of fixed size marks the documents that lose words. All others are answered where they are read;
+   only marked ones are shuffled to their ranges. (A document marked in vain costs its shuffle and nothing else.)
 
 Defined results: null and empty texts have no words; texts under 13 words keep all; rows that
 share an id are one document and never remove each other's words; rows with a null id
@@ -41,8 +43,8 @@ HOT = 500
 SHARD = 256
 #: Bits of the filter: 64 for each document (a dozen for each minimiser that repeats), between these powers of two (the larger is 32 MB).
 FILTER_BITS = (16, 28)
-#: Documents and ranges that may be broadcast; beyond either the documents are shuffled to them.
-BROADCAST_IDS, BROADCAST_RANGES = 200_000, 2_000_000
+#: Bits of the table that marks documents which lose words (8 MB, as at most 2**20 rows), at every size of the input.
+TOUCHED_BITS = 26
 #: Stands for a null id: after all others.
 LAST = 2**63 - 1
 
@@ -322,15 +324,25 @@ def _kept(texts: DataFrame) -> DataFrame:
     return texts.select("doc_id", "text", "ranges", "copy").mapInArrow(done, "doc_id long, n_words long, n_removed long, text string")
 
 
-def deduplicate(docs: DataFrame) -> DataFrame:
+def _marked(docs: DataFrame, facts: DataFrame, bits: int) -> DataFrame:
+    """docs plus touched: true for every document of facts, and for the few others whose bit is set as well."""
+    slot = F.pmod(F.xxhash64("doc_id"), F.lit(1 << bits))
+    with_bit = lambda df: df.withColumn("__word", F.shiftright(slot, 6)).withColumn("__bit", F.expr("shiftleft(1L, cast(pmod(xxhash64(doc_id), 64) as int))"))
+    table = cut(with_bit(facts.select("doc_id")).groupBy("__word").agg(F.bit_or("__bit").alias("__set")))
+    held = with_bit(docs).join(F.broadcast(table), "__word", "left")
+    return held.withColumn("touched", F.coalesce(F.col("__set").bitwiseAND(F.col("__bit")) != 0, F.lit(False)))
+
+
+def deduplicate(docs: DataFrame, *, touched_bits: int = TOUCHED_BITS) -> DataFrame:
     """doc_id, n_words, n_removed and the text left (words joined by one space) of every row of docs."""
     covered = covered_windows(docs)
     copies = _copies(docs).select("doc_id", F.lit(True).alias("copy"))
     facts = covered.join(copies, "doc_id", "full").select("doc_id", F.when(F.col("copy").isNull(), F.col("ranges")).alias("ranges"), F.coalesce("copy", F.lit(False)).alias("copy"))
     facts = cut(facts)
-    size = facts.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.greatest(F.size("ranges"), F.lit(0))), F.lit(0)).alias("ranges")).first()
-    small = size["n"] <= BROADCAST_IDS and size["ranges"] <= BROADCAST_RANGES
-    out = _kept(_base(docs).join(F.broadcast(facts) if small else facts, "doc_id", "left"))
+    marked = _marked(_base(docs), facts, touched_bits)
+    untouched = marked.filter(~F.col("touched")).select("doc_id", "text", F.lit(None).cast(facts.schema["ranges"].dataType).alias("ranges"), F.lit(False).alias("copy"))
+    touched = marked.filter("touched").select("doc_id", "text").join(facts, "doc_id", "left")
+    out = _kept(untouched).unionByName(_kept(touched))
     return out.withColumn("doc_id", F.when(F.col("doc_id") != LAST, F.col("doc_id")))
 
 

@@ -147,6 +147,14 @@ def test_substrings_equal_brute_force(spark, rows, hot, monkeypatch):
     assert got == brute_substrings(rows)
 
 
+@pytest.mark.parametrize("bits", [6, 10])
+def test_substrings_with_a_tiny_table_of_touched_documents_and_a_tiny_filter(spark, bits, monkeypatch):
+    monkeypatch.setattr(substring_dedup, "FILTER_BITS", (6, bits))
+    rows = passages()
+    got = Counter((r.doc_id, r.n_words, r.n_removed, r.text) for r in substring_dedup.deduplicate(frame(spark, rows), touched_bits=bits).collect())
+    assert got == brute_substrings(rows)
+
+
 def test_substrings_of_an_empty_table(spark):
     assert substring_dedup.deduplicate(empty(spark)).count() == 0
 
