@@ -2,18 +2,21 @@
 
 Documents become token ids, an end id follows, and only documents longer than a sequence are cut. Pieces are then
 packed: every partition runs best-fit decreasing over its own pieces, and dual feasible functions give a lower
-bound that certifies its number of sequences. What is not certified, and the loosely filled sequences of
-every partition, are exchanged: those pieces are dealt anew to fewer partitions and packed again, until one partition is
-left or the total meets the bound for the whole table. Every partition holds at most ``part_rows`` pieces on
-average, so no task grows with the input; lengths of the whole table reach the driver as a histogram of at most
-``capacity`` rows.
+bound that certifies its number of sequences. A certified partition gives its loosely filled sequences up for
+exchange. One with a gap gives up as many of its loosest sequences as it takes for those that stay to be certified: what
+they waste is less than one sequence, so that no packing of their pieces has fewer. Pieces given up are dealt anew to
+fewer partitions and packed again, until one partition is left or the total meets the bound for the whole table. Every
+partition of the first round holds at most ``part_rows`` pieces on average, so no task grows with the input; lengths of
+the whole table reach the driver as a histogram of at most ``capacity`` rows.
 
 Defined results: null and empty texts are one piece that holds the end id; repeated rows are packed once each;
-an empty table gives an empty result; other columns are ignored.
+an empty table gives an empty result; other columns are ignored. A text that spells one of the tokenizer's special
+tokens gets that token's id, as the tokenizer gives it.
 """
 
 from __future__ import annotations
 
+import json
 import unicodedata
 import zlib
 from collections.abc import Iterator
@@ -31,11 +34,25 @@ END_ID = 1
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
+#: The pattern, and the parts of a tokenizer file, for which ids of a text are those of its parts between white space.
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+NORMALIZER = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]}
+PRE_TOKENIZER = {
+    "type": "Sequence",
+    "pretokenizers": [
+        {"type": "Split", "pattern": {"Regex": PATTERN}, "behavior": "Removed", "invert": True},
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+    ],
+}
+
+
 class WordIds(dict):
     """ids (as little-endian unsigned 32-bit bytes) of text between white space, kept in two generations of bounded size.
 
-    The tokenizer's normaliser and pattern never look across white space, so a text's ids are those of its parts.
-    Plain Latin parts go straight to the tokenizer's model; any other part goes through the tokenizer itself.
+    The normaliser and pattern above never look across white space, so a text's ids are those of its parts. Plain
+    Latin parts go straight to the tokenizer's model; any other part goes through the tokenizer itself. A text that
+    spells an added token goes through the tokenizer whole, and so does every text if the file has another normaliser
+    or pattern.
     """
 
     def __init__(self, path: str, limit: int = 250_000):
@@ -43,11 +60,18 @@ class WordIds(dict):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         self.model = self.tokenizer.model
+        with open(path, encoding="utf-8") as f:
+            file = json.load(f)
+        added = file.get("added_tokens") or []
+        self.known = (
+            file.get("normalizer") == NORMALIZER and file.get("pre_tokenizer") == PRE_TOKENIZER and file["model"].get("type") == "BPE"
+            and not file.get("truncation") and not file.get("padding") and not any(t["normalized"] or t["lstrip"] or t["rstrip"] for t in added)
+        )
+        self.added = regex.compile("|".join(regex.escape(t["content"]) for t in added)) if added else None
         self.limit, self.old, self.pre = limit, {}, {}
-        self.plain = regex.compile("[\x21-\x7e\xa1-įı-ſ]+")
-        self.pattern = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
+        self.plain = regex.compile("[\x21-\x7e\xa1-\u012f\u0131-\u017f]+")
+        self.pattern = regex.compile(PATTERN)
         # The byte alphabet of byte-level BPE: printable Latin-1 stands for itself, the others follow from U+0100.
         own = [*range(33, 127), *range(161, 173), *range(174, 256)]
         rest = [b for b in range(256) if b not in own]
@@ -81,7 +105,7 @@ class WordIds(dict):
 
     def ids(self, text: str) -> bytes:
         # str.split() also cuts at four control characters that are no white space for the tokenizer
-        if any(c in text for c in "\x1c\x1d\x1e\x1f"):
+        if not self.known or any(c in text for c in "\x1c\x1d\x1e\x1f") or self.added and self.added.search(text):
             return self.whole(text)
         return b"".join(map(self.__getitem__, text.split()))
 
@@ -176,25 +200,32 @@ def best_fit_decreasing(sizes: np.ndarray, capacity: int) -> tuple[np.ndarray, n
     return bins, offsets, np.asarray(fills, np.int64)
 
 
+def given_up(sizes: np.ndarray, fills: np.ndarray, capacity: int) -> np.ndarray:
+    """Marks the bins that a partition gives up for exchange; the sum of the sizes certifies those that stay, or all were certified."""
+    loose = fills < capacity - capacity // 64
+    loose[fills.argmin()] = True
+    if len(fills) > lower_bound(*np.unique(sizes, return_counts=True), capacity):
+        order = np.argsort(-fills, kind="stable")
+        kept = np.cumsum(capacity - fills[order]) < capacity  # fullest first, while all of them waste less than a bin
+        loose[order[~kept]] = True
+    return loose
+
+
 def _packer(names: list[str], capacity: int, at: int, last: bool):
-    """Packs one partition; marks what is to be exchanged: all of it if the bound leaves a gap, else its loosely filled sequences."""
+    """Packs one partition and marks what is to be exchanged."""
 
     def packed(pdf: pd.DataFrame) -> pd.DataFrame:
         part = int(pdf["__part"].iloc[0])
         pdf = pdf.sort_values(["length", "doc_id", "piece"], ascending=[False, True, True], kind="stable", ignore_index=True)
         sizes = pdf["length"].to_numpy()
         bins, offsets, fills = best_fit_decreasing(sizes, capacity)
-        again = np.zeros(len(pdf), bool)
-        if not last:
-            certified = len(fills) == lower_bound(*np.unique(sizes, return_counts=True), capacity)
-            loose = (fills < capacity - capacity // 64) | (np.arange(len(fills)) == fills.argmin())
-            again = loose[bins] if certified else ~again
+        again = np.zeros(len(pdf), bool) if last else given_up(sizes, fills, capacity)[bins]
         return pdf[names].assign(sequence_id=(at << 56) + (part << 28) + bins, offset=offsets, again=again, opens=(offsets == 0).astype(np.int32))
 
     return packed
 
 
-def pack(rows: DataFrame, *, capacity: int = CAPACITY, part_rows: int = 50_000, rounds: int = 6) -> DataFrame:
+def pack(rows: DataFrame, *, capacity: int = CAPACITY, part_rows: int = 10_000, rounds: int = 6) -> DataFrame:
     """rows (with a column length, at most capacity) plus sequence_id and offset."""
     names = rows.columns
     whole = cut(rows)
@@ -204,10 +235,9 @@ def pack(rows: DataFrame, *, capacity: int = CAPACITY, part_rows: int = 50_000,
     schema = f"{', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in whole.schema)}, sequence_id long, offset long, again boolean, opens int"
     done: list[DataFrame] = []
     closed, todo, at = 0, whole, 0
+    parts = max(1, -(-n // part_rows))
     while True:
-        parts = max(1, -(-n // part_rows))
         last = parts == 1 or at + 1 == rounds
-
         dealt = todo.withColumn("__part", F.pmod(F.xxhash64("doc_id", "piece", F.lit(at)), F.lit(parts)).cast("long"))
         out = cut(dealt.groupBy("__part").applyInPandas(_packer(names, capacity, at, last), schema))
         done.append(out.filter(~F.col("again")) if not last else out)
@@ -217,7 +247,8 @@ def pack(rows: DataFrame, *, capacity: int = CAPACITY, part_rows: int = 50_000,
         if not made["n"] or closed + (made["bins"] or 0) == least:  # nothing to exchange, or certified for the whole table
             done[-1] = out
             break
-        closed, n, at = closed + made["closed"], made["n"], at + 1
+        closed, at = closed + made["closed"], at + 1
+        parts = max(1, min(parts // 2, -(-made["n"] // part_rows)))  # at most twice part_rows even if all was given up
         todo = out.filter("again").select(*names)
     result = done[0]
     for more in done[1:]:

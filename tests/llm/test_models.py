@@ -101,10 +101,49 @@ def test_packing(spark, part_rows):
     assert packing.packed_documents(empty(spark)).count() == 0
 
 
+SPECIAL = ["<|endoftext|>", "a<|endoftext|>b", "x <|startoftext|>", "<|ENDOFTEXT|>", "<|endoftext", "\u00e9<|endoftext|>e\u0301 <|startoftext|><|endoftext|>"]
+
+
 def test_word_cache_gives_the_tokenizers_ids():
+    from tokenizers import Tokenizer
+
+    plain = Tokenizer.from_file(packing.tokenizer_path())
     cache = packing.WordIds(packing.tokenizer_path(), limit=3)  # a small limit turns the generations over
-    for text in ["İstanbul ΑΣ é é don't I'LL 1234 x²½", "a\x1cb c\x1f d", "日本語 テスト 한국 ﬁ ŉ ſ \xada\xa0b\x85c", "THE The the!!! ... <|endoftext|>", "", " \n "]:
-        assert cache.ids(text) == np.asarray(cache.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+    assert cache.known
+    texts = ["\u0130stanbul \u0391\u03a3 \u00e9 e\u0301 don't I'LL 1234 x\u00b2\u00bd", "a\x1cb c\x1f d", "\u65e5\u672c\u8a9e \u30c6\u30b9\u30c8 \ud55c\uad6d \ufb01 \u0149 \u017f \xada\xa0b\x85c", "THE The the!!! ...", "", " \n ", *SPECIAL]
+    rng = np.random.default_rng(3)
+    parts = [*"aB1!'\u00e9\u00df\u0130\u01c5 \n", "'ll", "<|", "|>", "endoftext", "<|endoftext|>", "<|startoftext|>", "\u0301", "\u65e5"]
+    texts += ["".join(rng.choice(parts, 12)) for _ in range(3_000)]
+    for text in texts:
+        assert cache.ids(text) == np.asarray(plain.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+
+def test_another_tokenizer_file_is_asked_itself(tmp_path):
+    import json
+
+    from tokenizers import Tokenizer
+
+    with open(packing.tokenizer_path(), encoding="utf-8") as f:
+        file = json.load(f)
+    file["normalizer"] = {"type": "NFC"}
+    path = tmp_path / "other.json"
+    path.write_text(json.dumps(file), encoding="utf-8")
+    cache = packing.WordIds(str(path))
+    assert not cache.known
+    for text in ["Upper Case  two spaces", *SPECIAL]:
+        assert cache.ids(text) == np.asarray(Tokenizer.from_file(str(path)).encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+
+def test_what_a_partition_keeps_is_certified():
+    rng = np.random.default_rng(1)
+    for _ in range(40):
+        sizes = rng.integers(20, 60, 200)
+        bins, _, fills = packing.best_fit_decreasing(sizes, 100)
+        given = packing.given_up(sizes, fills, 100)
+        bound = packing.lower_bound(*np.unique(sizes, return_counts=True), 100)
+        if len(fills) > bound:
+            kept = sizes[~given[bins]]
+            assert int((~given).sum()) == -(-int(kept.sum()) // 100)
 
 
 def test_bounds_hold():
