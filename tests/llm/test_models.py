@@ -210,15 +210,53 @@ def test_differencing_acts_inside_articles(spark):
     assert out[20].text.split("\n")[1:] == ["A passage that one other page quotes", "Read on with a subscription"]
 
 
-def test_common_lines_is_a_longest_common_subsequence():
+def test_headings_and_legal_passages_of_an_article_stay(spark):
+    rows = [(1, "http://f.com/1", "<main><div class='header'>Head</div><article><div class='legal'><p>Legal news body</p></div><div class='ad'>Buy</div><p class='notice'>Mind it</p></article></main><div class='legal'>Imprint</div>")]
+    assert html_extraction.extract(pages(spark, rows)).first().text == "Head\nLegal news body"
+
+
+@pytest.mark.parametrize("partitions", [1, 5, 40])
+def test_every_page_meets_the_same_neighbours_in_any_number_of_ranges(spark, partitions):
+    body = lambda k: f"<p>Story number {k} tells something of its own at length, {'so ' * 20 + str(k)}</p>"
+    rows = [(h * 100 + k, f"http://h{h}.com/{k:03}", f"<body><article>{body(h * 100 + k)}<p>Line {h} of {k // 4}</p></article><div>Imprint {h} {k // 2}</div></body>") for h in range(2) for k in range(40)]
+    want = {}
+    lines = {i: html_extraction.lines_of(x) for i, _, x in rows}
+    for i, _, _ in rows:
+        ring = [[lines[j] for j in (i - d, i + d) if j in lines] for d in range(1, 4)]
+        want[i] = html_extraction.main_text(lines[i], ring[0], [x for r in ring[1:] for x in r])
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    try:
+        got = {r.page_id: (r.text, r.n_shared_lines) for r in html_extraction.extract(pages(spark, rows)).collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    assert got == want
+    # without neighbours most texts are other ones
+    assert sum(html_extraction.main_text(lines[i], [])[0] != got[i][0] for i in lines) > 0.5 * len(lines)
+
+
+def test_long_and_deep_pages_take_seconds():
+    import time
+
+    start = time.time()
+    a, b = ["same"] * 60_000, ["same"] * 60_000
+    a[0], b[0], a[-1], b[-1] = "a", "b", "c", "d"
+    assert len(html_extraction.common_lines(a, b)) == 59_998
+    assert len(html_extraction.lines_of("<div>" * 30_000 + "<p>text" + "</div>" * 30_000)) == 1
+    assert len(html_extraction.lines_of("<p>" + "<div>" * 20_000 + "x</p>" * 20_000)) == 20_000
+    assert time.time() - start < 20
+
+
+@pytest.mark.parametrize("pairs", [10**6, 0])
+def test_common_lines_is_a_longest_common_subsequence(pairs):
     rng = np.random.default_rng(0)
-    for _ in range(100):
-        a, b = ([f"l{x}" for x in rng.integers(0, 5, rng.integers(0, 12))] for _ in range(2))
+    for _ in range(200):
+        a, b = ([f"l{x}" for x in rng.integers(0, 5, rng.integers(0, 14))] for _ in range(2))
         table = np.zeros((len(a) + 1, len(b) + 1), int)
         for i in range(len(a)):
             for j in range(len(b)):
                 table[i + 1, j + 1] = table[i, j] + 1 if a[i] == b[j] else max(table[i, j + 1], table[i + 1, j])
-        kept = sorted(html_extraction.common_lines(a, b))
+        kept = sorted(html_extraction.common_lines(a, b, pairs))
         assert len(kept) == table[-1, -1]
         it = iter(b)
         assert all(a[i] in it for i in kept)
