@@ -6,6 +6,8 @@ padded. The state is carried through a text from its first token to its last, wi
 
 from __future__ import annotations
 
+import heapq
+
 import numpy as np
 
 
@@ -57,9 +59,11 @@ def _gates(m: Model, ids: np.ndarray, h: np.ndarray):
     return rz, n, g
 
 
-def _log_softmax(a: np.ndarray) -> np.ndarray:
-    a = a - a.max(axis=1, keepdims=True)
-    a -= np.log(np.exp(a).sum(axis=1, keepdims=True))
+def _softmax(a: np.ndarray) -> np.ndarray:
+    """Probabilities of each row, in place. Scores are clipped to +-40, which neither overflows nor loses a probability."""
+    np.clip(a, -40, 40, out=a)
+    np.exp(a, out=a)
+    a /= a @ np.ones((a.shape[1], 1), a.dtype)
     return a
 
 
@@ -76,11 +80,11 @@ def _by_class(m: Model, targets: np.ndarray):
 def log_probability(m: Model, states: np.ndarray, targets: np.ndarray) -> np.ndarray:
     """Natural log of P(class) * P(word of class) for each row."""
     classes = m.class_of[targets]
-    out = _log_softmax(states @ m.class_weight + m.class_bias)[np.arange(len(targets)), classes]
+    out = np.log(_softmax(states @ m.class_weight + m.class_bias)[np.arange(len(targets)), classes])
     for a, b, rows in _by_class(m, targets):
         if b - a > 1:
-            scores = _log_softmax(states[rows] @ m.word_weight[a:b].T + m.word_bias[a:b])
-            out[rows] += scores[np.arange(len(rows)), targets[rows] - a]
+            found = _softmax(states[rows] @ m.word_weight[a:b].T + m.word_bias[a:b])
+            out[rows] += np.log(found[np.arange(len(rows)), targets[rows] - a])
     return out
 
 
@@ -132,61 +136,97 @@ class Adam:
             getattr(m, n)[...] -= rate * a / (np.sqrt(b) + np.float32(1e-7))
 
 
-def train(m: Model, texts: list[np.ndarray], *, rate: float = 0.01, window: int = 32, batch: int = 48) -> int:
-    """One pass of truncated backpropagation: states run through whole texts, gradients through one window. Returns the tokens seen."""
-    k = m.recurrent.shape[0]
-    adam, seen = Adam(m, rate), 0
-    by_length = sorted((t for t in texts if len(t)), key=len, reverse=True)
-    groups = [by_length[i : i + batch] for i in range(0, len(by_length), batch)]
-    for g in np.random.default_rng(1).permutation(len(groups)):
-        group = groups[g]
-        lengths = np.asarray([len(x) for x in group])
-        h = np.zeros((len(group), k), np.float32)
-        for low in range(0, lengths[0], window):
-            tape, targets = [], []
-            for t in range(low, min(low + window, lengths[0])):
-                n = int((lengths > t).sum())
-                ids = np.asarray([x[t] for x in group[:n]])
-                before = h[:n].copy()
-                rz, new, gates = _gates(m, ids, before)
-                z = rz[:, k:]
-                h[:n] = new + z * (before - new)
-                tape.append((ids, before, rz, new, gates))
-                targets.append(ids)
-            states, wanted = np.concatenate([x[1] for x in tape]), np.concatenate(targets)
-            share = np.float32(1 / len(wanted))
-            seen += len(wanted)
-            grad = {n: np.zeros_like(getattr(m, n)) for n in m.names}
-            errors = np.exp(_log_softmax(states @ m.class_weight + m.class_bias))
-            errors[np.arange(len(wanted)), m.class_of[wanted]] -= 1
-            errors *= share
-            grad["class_weight"], grad["class_bias"] = states.T @ errors, errors.sum(axis=0)
-            back = errors @ m.class_weight.T
-            for a, b, rows in _by_class(m, wanted):
-                if b - a > 1:
-                    e = np.exp(_log_softmax(states[rows] @ m.word_weight[a:b].T + m.word_bias[a:b]))
-                    e[np.arange(len(rows)), wanted[rows] - a] -= 1
-                    e *= share
-                    grad["word_weight"][a:b], grad["word_bias"][a:b] = e.T @ states[rows], e.sum(axis=0)
-                    back[rows] += e @ m.word_weight[a:b]
-            ends = np.cumsum([len(x[0]) for x in tape])
-            dh = np.zeros_like(h)
-            inputs = np.empty((len(wanted), 3 * k), np.float32)
-            recurrent = np.empty_like(inputs)
-            for (ids, before, rz, new, gates), end in zip(reversed(tape), ends[::-1], strict=True):
-                n = len(ids)
-                d, r, z = dh[:n], rz[:, :k], rz[:, k:]
-                dz = d * (before - new) * z * (1 - z)
-                dn = d * (1 - z) * (1 - new * new)
-                dr = dn * gates[:, 2 * k :] * r * (1 - r)
-                dx, dg = inputs[end - n : end], recurrent[end - n : end]
-                dx[:, :k], dx[:, k : 2 * k], dx[:, 2 * k :] = dr, dz, dn
-                dg[:, : 2 * k], dg[:, 2 * k :] = dx[:, : 2 * k], dn * r
-                dh[:n] = d * z + dg @ m.recurrent.T + back[end - n : end]
-            grad["recurrent"], grad["gate_bias"] = states.T @ recurrent, inputs.sum(axis=0)
-            # one sum for each word of the window
-            order = np.argsort(wanted, kind="stable")
-            words, starts = np.unique(wanted[order], return_index=True)
-            grad["table"][words] = np.add.reduceat(inputs[order], starts)
-            adam.step(m, grad)
-    return seen
+def lanes_of(texts: list[np.ndarray], lanes: int, stretch: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Ids and start marks by step and lane, and the number of lanes still running at each step.
+
+    Texts stand one behind the other in the lanes, each new one in the lane that is shortest; a text longer than stretch
+    takes several places. Nothing is padded but the ends of lanes.
+    """
+    pieces = sorted((t[k : k + stretch] for t in texts for k in range(0, len(t), stretch)), key=len, reverse=True)
+    held: list[list[np.ndarray]] = [[] for _ in range(min(lanes, len(pieces)))]
+    heap = [(0, i) for i in range(len(held))]
+    for piece in pieces:
+        size, i = heap[0]
+        held[i].append(piece)
+        heapq.heapreplace(heap, (size + len(piece), i))
+    sizes = sorted(heap, reverse=True)
+    ids = np.zeros((sizes[0][0] if sizes else 0, len(held)), np.int64)
+    starts = np.zeros(ids.shape, bool)
+    rng = np.random.default_rng(1)
+    for lane, (_, i) in enumerate(sizes):
+        at = 0
+        for k in rng.permutation(len(held[i])):
+            piece = held[i][k]
+            ids[at : at + len(piece), lane], starts[at, lane] = piece, True
+            at += len(piece)
+    running = np.searchsorted(-np.asarray([n for n, _ in sizes]), -np.arange(1, len(ids) + 1), "right")
+    return ids, starts, running
+
+
+def gradients(m: Model, ids: np.ndarray, starts: np.ndarray, running: np.ndarray, h: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
+    """Mean loss of a window and its gradients; h is the state before it and becomes the state after it. Gradients end at the window's start."""
+    k = h.shape[1]
+    tape, targets = [], []
+    for t, n in enumerate(running.tolist()):
+        now, fresh = ids[t, :n], starts[t, :n]
+        h[:n][fresh] = 0
+        before = h[:n].copy()
+        rz, new, gates = _gates(m, now, before)
+        z = rz[:, k:]
+        h[:n] = new + z * (before - new)
+        tape.append((before, rz, new, gates, fresh))
+        targets.append(now)
+    states, wanted = np.concatenate([x[0] for x in tape]), np.concatenate(targets)
+    share = h.dtype.type(1 / len(wanted))
+    grad = {n: np.zeros_like(getattr(m, n)) for n in m.names}
+    errors = _softmax(states @ m.class_weight + m.class_bias)
+    row, classes = np.arange(len(wanted)), m.class_of[wanted]
+    loss = float(np.log(errors[row, classes]).sum())
+    errors[row, classes] -= 1
+    errors *= share
+    grad["class_weight"], grad["class_bias"] = states.T @ errors, errors.sum(axis=0)
+    back = errors @ m.class_weight.T
+    for a, b, rows in _by_class(m, wanted):
+        if b - a > 1:
+            held, own = states[rows], wanted[rows] - a
+            e = _softmax(held @ m.word_weight[a:b].T + m.word_bias[a:b])
+            row = np.arange(len(rows))
+            loss += float(np.log(e[row, own]).sum())
+            e[row, own] -= 1
+            e *= share
+            grad["word_weight"][a:b], grad["word_bias"][a:b] = e.T @ held, e.sum(axis=0)
+            back[rows] += e @ m.word_weight[a:b]
+    dh = np.zeros_like(h)
+    inputs = np.empty((len(wanted), 3 * k), h.dtype)
+    recurrent = np.empty_like(inputs)
+    end = len(wanted)
+    for before, rz, new, gates, fresh in reversed(tape):
+        n = len(before)
+        d, r, z = dh[:n], rz[:, :k], rz[:, k:]
+        keep = d * (1 - z)
+        dx, dg = inputs[end - n : end], recurrent[end - n : end]
+        dx[:, k : 2 * k] = keep * z * (before - new)
+        dx[:, 2 * k :] = keep * (1 - new * new)
+        dx[:, :k] = dx[:, 2 * k :] * gates[:, 2 * k :] * r * (1 - r)
+        dg[:, : 2 * k] = dx[:, : 2 * k]
+        dg[:, 2 * k :] = dx[:, 2 * k :] * r
+        dh[:n] = d * z + dg @ m.recurrent.T + back[end - n : end]
+        dh[:n][fresh] = 0
+        end -= n
+    grad["recurrent"], grad["gate_bias"] = states.T @ recurrent, inputs.sum(axis=0)
+    # one sum for each word of the window
+    order = np.argsort(wanted, kind="stable")
+    words, first = np.unique(wanted[order], return_index=True)
+    grad["table"][words] = np.add.reduceat(inputs[order], first)
+    return -loss / len(wanted), grad
+
+
+def train(m: Model, texts: list[np.ndarray], *, rate: float = 0.01, window: int = 16, lanes: int = 128, stretch: int = 1_024) -> int:
+    """One pass of truncated backpropagation over whole texts: states run through each stretch of a text, gradients through one window. Returns the tokens seen."""
+    adam = Adam(m, rate)
+    ids, starts, running = lanes_of(texts, lanes, stretch)
+    h = np.zeros((ids.shape[1], m.recurrent.shape[0]), m.recurrent.dtype)
+    for low in range(0, len(ids), window):
+        part = slice(low, low + window)
+        adam.step(m, gradients(m, ids[part], starts[part], running[part], h)[1])
+    return int(running.sum())

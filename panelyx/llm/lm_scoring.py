@@ -7,9 +7,10 @@ is joined with the counts, so that no vocabulary is broadcast whole and no frequ
 Network. Its vocabulary is the ``vocabulary`` most frequent words, the end token and one class for all other words,
 whose probability is split among them in proportion to count + 1 (with one share for unseen words). The training
 documents are dealt over the rounds by a hash of row id and text, so that each of them is trained on once, at every
-size of the input (``share`` below 1 takes a part of them, ``least_documents`` at least). In a round each partition
-runs truncated backpropagation from the same weights over its whole texts, and the weights are averaged by tokens, in
-two steps. What is gathered grows with the input. Scoring carries the state through every whole document.
+size of the input. In a round each partition runs truncated backpropagation from the same weights over its whole texts
+(those over 1,024 tokens in several stretches), and the weights are averaged by tokens, in two steps. The model thus
+depends on how the documents lie in partitions, a little; the base score does not. What is gathered grows with the
+input. Scoring carries the state through every whole document, whatever its length.
 
 A 64-bit hash stands for a word; END is hash 0. Defined results: null and empty texts are the end token alone; without
 training documents N and V are 0 and every token is unseen; repeated rows are scored alike; a null id is a training
@@ -24,7 +25,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import gru
@@ -47,13 +48,6 @@ def token_codes(text: str | None) -> np.ndarray:
     return out.view(np.int64)
 
 
-def _row_key(doc_id: int | None, text: str | None) -> int:
-    """Names a row by id and text in two passes over the documents."""
-    from xxhash import xxh3_64_intdigest
-
-    return xxh3_64_intdigest((text or "").encode("utf-8", "surrogatepass"), 0 if doc_id is None else doc_id % 2**64) - 2**63
-
-
 def _base(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
@@ -131,15 +125,14 @@ def head_of(counts: DataFrame, head: int, vocabulary: int) -> Head:
     return Head(top["h"].to_numpy(np.int64), top["c"].to_numpy(np.int64), facts["n"], facts["v"], facts["e"], vocabulary)
 
 
-def trained(training: DataFrame, head: Head, *, rounds: int = 2, share: float = 1.0, least_documents: int = 0, hidden: int = 16) -> gru.Model:
+def trained(training: DataFrame, head: Head, *, rounds: int = 2, hidden: int = 16) -> gru.Model:
     """Rounds of local training on every partition's whole texts, averaged by tokens; every document is in one round."""
     context = training.sparkSession.sparkContext
     model = gru.Model(head.counts, hidden)
-    part = min(1.0, max(share, least_documents / max(head.end, 1)))
     sent_head = context.broadcast(head)
     place = F.pmod(F.xxhash64("doc_id", "text"), F.lit(2**20))
     for at in range(rounds):
-        chosen = training.filter((place * rounds >= F.lit(part) * at * 2**20) & (place * rounds < F.lit(part) * (at + 1) * 2**20))
+        chosen = training.filter(F.floor(place * rounds / 2**20) == at)
         sent = context.broadcast(model)
 
         def learned(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
@@ -190,23 +183,31 @@ def scored(docs: DataFrame, *, modulus: int = 7, remainder: int = 2, head: int =
         base_mass, other_mass = np.log10(t.tokens + t.kinds + 1), np.log10(max(t.other_mass, 1))
         rows: list[tuple] = []
         texts: list[np.ndarray] = []
+        tails: list[tuple[np.ndarray, np.ndarray]] = []
         size = 0
 
         def batch_of() -> pa.RecordBatch:
             network = gru.score(m, texts) / _LN10
-            columns = [pa.array(x) if i else pa.array(x, pa.int64()) for i, x in enumerate(zip(*rows, strict=True))]
-            out = pa.RecordBatch.from_arrays([*columns[:5], pa.array(np.asarray([r[5] for r in rows]) + network)], names=["doc_id", "row", "n_tokens", "known", "base", "net"])
-            rows.clear()
-            texts.clear()
+            doc_id, n, known, base, other = zip(*rows, strict=True)
+            ends = np.concatenate([[0], np.cumsum([len(x) for x, _ in tails])]).astype(np.int32)
+            lists = [pa.ListArray.from_arrays(ends, np.concatenate([x[k] for x in tails])) for k in (0, 1)]
+            out = pa.RecordBatch.from_arrays(
+                [pa.array(doc_id, pa.int64()), pa.array(n, pa.int64()), pa.array(known, pa.int64()), pa.array(base, pa.float64()), pa.array(np.asarray(other) + network), *lists],
+                names=["doc_id", "n_tokens", "known", "base", "net", "tail", "tail_n"],
+            )
+            for held in (rows, texts, tails):
+                held.clear()
             return out
 
         for batch in batches:
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                ids, c, held = t.ids(token_codes(text))
+                codes = token_codes(text)
+                ids, c, held = t.ids(codes)
                 logs = np.log10(c + 1.0)  # 0 outside the table: the join adds those
                 other = ids == t.other_id
-                rows.append((doc_id, _row_key(doc_id, text), len(ids), int((c > 0).sum()), float(logs.sum() - len(ids) * base_mass), float(logs[other].sum() - other.sum() * other_mass)))
+                rows.append((doc_id, len(ids), int((c > 0).sum()), float(logs.sum() - len(ids) * base_mass), float(logs[other].sum() - other.sum() * other_mass)))
                 texts.append(ids)
+                tails.append(np.unique(codes[~held], return_counts=True))
                 size += len(ids)
             if size > CHUNK:
                 yield batch_of()
@@ -214,28 +215,15 @@ def scored(docs: DataFrame, *, modulus: int = 7, remainder: int = 2, head: int =
         if rows:
             yield batch_of()
 
-    def tails(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        t, _ = sent.value
-        for batch in batches:
-            keys, codes, numbers = [], [], []
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                own = token_codes(text)
-                rest, n = np.unique(own[~t.ids(own)[2]], return_counts=True)
-                keys.append(np.full(len(rest), _row_key(doc_id, text)))
-                codes.append(rest)
-                numbers.append(n)
-            join = lambda x: pa.array(np.concatenate(x) if x else np.empty(0, np.int64), pa.int64())
-            yield pa.RecordBatch.from_arrays([join(keys), join(codes), join(numbers)], names=["row", "h", "n"])
-
-    rows = _base(docs).mapInArrow(judged, "doc_id long, row long, n_tokens long, known long, base double, net double")
+    # written once: the words outside the table go their own way to the counts, and back to their row by its place
+    rows = cut(_base(docs).mapInArrow(judged, "doc_id long, n_tokens long, known long, base double, net double, tail array<long>, tail_n array<long>"))
+    rows = rows.withColumn("row", F.monotonically_increasing_id())
     rest = (
-        _base(docs).mapInArrow(tails, "row long, h long, n long").join(counts, "h")
+        rows.select("row", F.explode(F.arrays_zip("tail", "tail_n")).alias("x")).select("row", F.col("x.tail").alias("h"), F.col("x.tail_n").alias("n")).join(counts, "h")
         .groupBy("row").agg(F.sum("n").alias("tail_known"), F.sum(F.col("n") * F.log10(F.col("c") + 1.0)).alias("tail_log"))
     )
-    # rows with equal id and text have one sum in rest, as many times too large as there are such rows
-    alike = F.count("*").over(Window.partitionBy("row"))
-    tail = lambda c: F.coalesce(F.col(c), F.lit(0)) / F.col("alike")
-    return rows.withColumn("alike", alike).join(rest, "row", "left").select(
+    tail = lambda c: F.coalesce(F.col(c), F.lit(0))
+    return rows.drop("tail", "tail_n").join(rest, "row", "left").select(
         "doc_id",
         F.coalesce(id_remainder(F.col("doc_id"), modulus) == remainder, F.lit(False)).alias("held_out"),
         "n_tokens",

@@ -18,7 +18,7 @@ WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
 def test_lm_base_scores_equal_brute_force(spark):
     rows = [*awkward_rows(), *((200 + i, " ".join(words(60, i))) for i in range(40))]
-    out = lm_scoring.scored(frame(spark, rows, CLASHES), head=50, vocabulary=20, rounds=1, least_documents=20).collect()
+    out = lm_scoring.scored(frame(spark, rows, CLASHES), head=50, vocabulary=20, rounds=1).collect()
     tokens = lambda t: [re.sub("[A-Z]", lambda m: m[0].lower(), w) for w in WORD.findall(t or "")] + [None]
     held = lambda i: i is not None and zlib.crc32(str(i).encode()) % 7 == 2
     c = Counter(w for i, t in rows if not held(i) for w in tokens(t))
@@ -75,10 +75,39 @@ def test_gru_is_a_distribution_and_gradients_are_right():
     assert np.allclose(gru.score(m, texts, cells=4), one_by_one, atol=1e-4)  # state is carried over window ends
     before = gru.score(m, texts).sum()
     for _ in range(30):
-        gru.train(m, texts, rate=0.05, window=2)
+        gru.train(m, texts, rate=0.05, window=2, lanes=2)
     assert gru.score(m, texts).sum() > before
 
 
+def test_gradients_equal_finite_differences():
+    m = gru.Model(np.array([50.0, 30, 20, 10, 5, 1]), hidden=4, classes=3)
+    for n in m.names:
+        setattr(m, n, getattr(m, n).astype(np.float64))
+    texts = [np.array([0, 1, 2, 3, 0, 5, 1, 1]), np.array([4, 4, 0]), np.array([1]), np.array([2, 5, 3, 0])]
+    ids, starts, running = gru.lanes_of(texts, 2, 5)
+    assert int(running.sum()) == sum(map(len, texts)) and int(starts.sum()) == 5
+    first = np.random.default_rng(2).normal(0, 0.5, (2, 4))
+    _, found = gru.gradients(m, ids, starts, running, first.copy())
+    for n in m.names:
+        x = getattr(m, n).reshape(-1)
+        for at in np.random.default_rng(3).choice(x.size, min(6, x.size), replace=False):
+            old, loss = x[at], []
+            for step in (1e-5, -1e-5):
+                x[at] = old + step
+                loss.append(gru.gradients(m, ids, starts, running, first.copy())[0])
+            x[at] = old
+            assert abs((loss[0] - loss[1]) / 2e-5 - found[n].reshape(-1)[at]) < 1e-6, n
+
+
+def test_lanes_hold_every_token_once_and_score_agrees_with_the_loss():
+    rng = np.random.default_rng(4)
+    texts = [rng.integers(0, 6, n) for n in (40, 3, 17, 1, 9, 9)]
+    ids, starts, running = gru.lanes_of(texts, 4, 100)
+    m = gru.Model(np.array([50.0, 30, 20, 10, 5, 1]), hidden=4, classes=3)
+    loss, _ = gru.gradients(m, ids, starts, running, np.zeros((4, 4), np.float32))
+    assert abs(loss * sum(map(len, texts)) + gru.score(m, texts).sum()) < 1e-2
+
+
 @pytest.mark.parametrize("part_rows", [50_000, 40])
 def test_packing(spark, part_rows):
     rows = [*awkward_rows(), *((300 + i, " ".join(words(50 + 13 * (i % 90), i))) for i in range(150))]
