@@ -221,9 +221,13 @@ def gradients(m: Model, ids: np.ndarray, starts: np.ndarray, running: np.ndarray
     return -loss / len(wanted), grad
 
 
-def train(m: Model, texts: list[np.ndarray], *, rate: float = 0.01, window: int = 16, lanes: int = 128, stretch: int = 1_024) -> int:
-    """One pass of truncated backpropagation over whole texts: states run through each stretch of a text, gradients through one window. Returns the tokens seen."""
+def train(m: Model, texts: list[np.ndarray], *, rate: float = 0.012, window: int = 16, lanes: int = 256, updates: int = 100, stretch: int = 1_024) -> int:
+    """One pass of truncated backpropagation over whole texts: states run through each stretch of a text, gradients through one window. Returns the tokens seen.
+
+    There are as many lanes, 256 at most, as leave about 100 updates of the weights to the pass.
+    """
     adam = Adam(m, rate)
+    lanes = min(lanes, max(1, sum(map(len, texts)) // (window * updates)))
     ids, starts, running = lanes_of(texts, lanes, stretch)
     h = np.zeros((ids.shape[1], m.recurrent.shape[0]), m.recurrent.dtype)
     for low in range(0, len(ids), window):

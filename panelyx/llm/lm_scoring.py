@@ -98,9 +98,20 @@ class Head:
         by_hash = np.argsort(h, kind="stable")
         self.h, self.c = h[by_hash], c[by_hash]
         self.id = np.asarray([ids.get(int(x), self.other_id) for x in self.h], np.int32)
+        self.inner = np.sort(inside)
+        self.inner_id = np.asarray([ids[int(x)] for x in self.inner], np.int32)
         # shares of the open class: count + 1 of each trained word, and one for any unseen word
         self.other_mass = other + (kinds - len(inside) - (1 if end else 0)) + 1
 
+    def network_ids(self, codes: np.ndarray) -> np.ndarray:
+        if not len(self.inner):
+            ids = np.full(len(codes), self.other_id, np.int32)
+        else:
+            at = np.minimum(np.searchsorted(self.inner, codes), len(self.inner) - 1)
+            ids = np.where(self.inner[at] == codes, self.inner_id[at], self.other_id).astype(np.int32)
+        ids[-1] = self.end_id
+        return ids
+
     def ids(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Network ids, counts (0 if not in this table), whether in this table (the end token is)."""
         at = np.minimum(np.searchsorted(self.h, codes), max(len(self.h) - 1, 0))
@@ -140,7 +151,7 @@ def trained(training: DataFrame, head: Head, *, rounds: int = 2, hidden: int = 1
             seen, waiting, size = 0, [], 0
             for batch in batches:
                 for text in batch.column(1).to_pylist():
-                    waiting.append(sent_head.value.ids(token_codes(text))[0])
+                    waiting.append(sent_head.value.network_ids(token_codes(text)))
                     size += len(waiting[-1])
                 if size > CHUNK:
                     seen, waiting, size = seen + gru.train(own, waiting), [], 0

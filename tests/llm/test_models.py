@@ -75,7 +75,7 @@ def test_gru_is_a_distribution_and_gradients_are_right():
     assert np.allclose(gru.score(m, texts, cells=4), one_by_one, atol=1e-4)  # state is carried over window ends
     before = gru.score(m, texts).sum()
     for _ in range(30):
-        gru.train(m, texts, rate=0.05, window=2, lanes=2)
+        gru.train(m, texts, rate=0.02, window=2, updates=1)
     assert gru.score(m, texts).sum() > before
 
 
