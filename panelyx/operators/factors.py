@@ -50,7 +50,7 @@ pit.CHAINS.setdefault("qoq", [(pit.change, {"n": 1})])
 
 
 def compute(name: str, items: Callable[[str], DataFrame], days: DataFrame, capital: DataFrame | None = None, **fill) -> DataFrame:
-    """td, tk, v of a factor. items gives the facts of an item; capital has td, tk, cap."""
+    """td, tk, v of a factor. items gives the facts of an item; capital has tk, cap and, if it changes, td."""
     recipe = LIBRARY[name]
     facts = items(recipe.item)
     if recipe.per:
@@ -58,4 +58,4 @@ def compute(name: str, items: Callable[[str], DataFrame], days: DataFrame, capit
     panel = pit.fill_to_dates(pit.chain(facts, recipe.steps), days, **fill)
     if not recipe.value:
         return panel
-    return panel.join(capital, ["td", "tk"]).select("td", "tk", F.try_divide("v", "cap").alias("v"))
+    return panel.join(capital, [c for c in ("td", "tk") if c in capital.columns]).select("td", "tk", F.try_divide("v", "cap").alias("v"))

@@ -109,6 +109,47 @@ def heavy(p: DataFrame, bars: int = 80) -> DataFrame:
     return p.filter(F.col("by_volume") <= bars)
 
 
+def squares(moments: DataFrame, names: tuple[str, ...] = ("r_vol", "r_skew", "r_kurt")) -> DataFrame:
+    """The squares of some moments, named *_squared."""
+    return moments.select(*KEY, *((F.col(n) * F.col(n)).alias(n + "_squared") for n in names))
+
+
+def with_zeros(p: DataFrame, *columns: str) -> DataFrame:
+    """NULL and NaN become 0."""
+    return p.withColumns({c: F.when(F.col(c).isNull() | F.isnan(c), F.lit(0.0)).otherwise(F.col(c)) for c in columns})
+
+
+def variation(x: str) -> Column:
+    """Population deviation over the mean."""
+    return F.try_divide(F.stddev_pop(x), F.avg(x))
+
+
+def sample_scaled_correlation(x: str, y: str) -> Column:
+    """Sample covariance over the population deviations, of the pairs that are whole."""
+    both = F.col(x).isNotNull() & F.col(y).isNotNull()
+    a, b = F.when(both, F.col(x)), F.when(both, F.col(y))
+    return F.try_divide(F.covar_samp(a, b), F.stddev_pop(a) * F.stddev_pop(b))
+
+
+def entropy(p: DataFrame, x: str, out: str = "entropy") -> DataFrame:
+    """-sum of s log2 s over the shares s of |x| in the day."""
+    share = F.abs(x) / F.sum(F.abs(x)).over(_day(*KEY))
+    return p.withColumn("__s", share).groupBy(*KEY).agg((-F.sum(F.when(F.col("__s") > 0, F.col("__s") * F.log2("__s")))).alias(out))
+
+
+def percentile_ratio(p: DataFrame, x: str, part: float, ascending: bool = True, out: str = "ratio") -> DataFrame:
+    """Share of the day's sum in the int(n * part) smallest values; descending: in those after the int(n * (1 - part)) smallest."""
+    w = _day(*KEY)
+    p = p.withColumn("__k", F.row_number().over(w.orderBy(x, "bar"))).withColumn("__n", F.count(x).over(w))
+    chosen = F.col("__k") <= F.floor(F.col("__n") * part) if ascending else F.col("__k") > F.floor(F.col("__n") * (1 - part))
+    return p.withColumn("__c", chosen).groupBy(*KEY).agg(F.try_divide(F.coalesce(F.sum(F.when(F.col("__c"), F.col(x))), F.lit(0.0)), F.sum(x)).alias(out))
+
+
+def with_daily(p: DataFrame, daily: DataFrame, *values: str) -> DataFrame:
+    """Bars with values of their entity's day."""
+    return p.join(daily.select(*KEY, *values), list(KEY), "left")
+
+
 def plain_moments(p: DataFrame, suffix: str) -> DataFrame:
     return p.groupBy(*KEY).agg(F.stddev_pop("ret").alias("r_vol" + suffix), F.skewness("ret").alias("r_skew" + suffix), F.kurtosis("ret").alias("r_kurt" + suffix))
 
@@ -138,9 +179,9 @@ def active_trades(p: DataFrame, part: int = 5) -> DataFrame:
 
 
 def volume_peaks(p: DataFrame) -> DataFrame:
-    """Runs of bars whose volume is over mean + deviation."""
+    """Runs of bars whose volume is over mean + deviation, by a billionth at least: of two bars the larger is equal to that sum."""
     w = _day(*KEY)
-    p = p.withColumn("hi", F.col("volume") > F.avg("volume").over(w) + F.stddev_pop("volume").over(w))
+    p = p.withColumn("hi", F.col("volume") > (F.avg("volume").over(w) + F.stddev_pop("volume").over(w)) * (1 + 1e-9))
     start = F.col("hi") & ~F.coalesce(F.lag("hi").over(w.orderBy("bar")), F.lit(False))
     return p.withColumn("start", start).groupBy(*KEY).agg(F.count_if("start").alias("v_peak_num"))
 

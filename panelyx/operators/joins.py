@@ -22,7 +22,7 @@ def calendar(dates: DataFrame, date: str = "td") -> DataFrame:
 
 def with_index(panel: DataFrame, date: str = "td") -> DataFrame:
     """panel with the position ix of its date among its own dates."""
-    return panel.join(calendar(panel, date).select("td", "ix"), "td")
+    return panel.join(F.broadcast(calendar(panel, date).select("td", "ix")), "td")
 
 
 def snap_back(events: DataFrame, days: DataFrame, date: str, *, strictly: bool = False, out: str = "td") -> DataFrame:
@@ -37,15 +37,15 @@ def snap_back(events: DataFrame, days: DataFrame, date: str, *, strictly: bool =
 def interval_join(days: DataFrame, intervals: DataFrame, start: str, end: str, *, bucket_days: int = 64, forever: str = "2100-01-01") -> DataFrame:
     """Every calendar date in [start, end] of every interval (a NULL end is open).
 
-    Intervals are cut into buckets of bucket_days, so that the join is an equi-join on the bucket with a cheap filter
-    and shuffles like any other; no nested loop.
+    Intervals are cut into buckets of bucket_days, so that the join is an equi-join on the bucket with a cheap filter;
+    no nested loop. The calendar (some ten thousand rows at most) is broadcast, so that intervals are not shuffled.
     """
     number = lambda d: F.floor(F.datediff(d, F.lit("1970-01-01").cast("date")) / bucket_days)
     bounds = days.agg(F.min("td").alias("__lo"), F.max("td").alias("__hi"))
     until = F.coalesce(F.to_date(end), F.lit(forever).cast("date"))
     cut = intervals.join(F.broadcast(bounds)).withColumn("__from", F.greatest(F.to_date(start), F.col("__lo"))).withColumn("__to", F.least(until, F.col("__hi")))
     cut = cut.filter("__from <= __to").withColumn("__b", F.explode(F.sequence(number(F.col("__from")), number(F.col("__to")))))
-    return cut.join(days.select("td", number(F.col("td")).alias("__b")), "__b").filter("td between __from and __to").drop("__b", "__from", "__to", "__lo", "__hi")
+    return cut.join(F.broadcast(days.select("td", number(F.col("td")).alias("__b"))), "__b").filter("td between __from and __to").drop("__b", "__from", "__to", "__lo", "__hi")
 
 
 def as_of(left: DataFrame, right: DataFrame, by: str, left_time: str, right_time: str, values: list[str], *, order: list[str] = (), strictly: bool = False) -> DataFrame:

@@ -101,19 +101,45 @@ def window_stat(f: DataFrame, stat: str, n: int = 4) -> DataFrame:
         years = (b["q"] - a["q"]) / 4.0
         return _as_facts(rows.filter(F.size(held) >= 2), F.when((ratio > 0) & (years > 0), F.pow(ratio, 1 / years) - 1))
     if stat == "trend":
-        # slope over time of the standardised values; seasonal means are taken out of both first
-        t = F.transform(h, lambda x, i: i - (n - 1) / 2.0)
-        top = F.aggregate(F.zip_with(t, h, lambda a, x: a * (x["v"] - mean)), F.lit(0.0), lambda s, x: s + x)
-        return _as_facts(rows.filter(size == n), top / usable / (n * (n * n - 1) / 12.0))
+        # slope over time of the standardised values, with a level for each season: both less their means by place modulo 4
+        places = range(n)
+        mates = {i: [j for j in places if j % 4 == i % 4] for i in places}
+        time = [i - sum(mates[i]) / len(mates[i]) for i in places]
+        square = sum(t * t for t in time)
+        top = sum(t * F.element_at(h, i + 1)["v"] for i, t in enumerate(time))
+        return _as_facts(rows.filter(size == n), top / usable / square if square else F.lit(None).cast("double"))
     value = {"sum": mean * size, "mean": F.when(size >= 2, mean), "std": F.when(size > 2, sd), "zscore": F.when(size == n, (F.col("v") - mean) / usable), "mscore": F.when(size > 2, mean / usable)}[stat]
     return _as_facts(rows, value)
 
 
 def surprise(f: DataFrame, n: int = 8) -> DataFrame:
-    """Standardised surprise: (year-on-year difference - its mean) / its deviation over n quarters."""
-    rows = history(change(f, 4, "diff"), n)
-    size, mean, sd = _moments(F.col("h"))
-    return _as_facts(rows, F.when((size > 2) & (sd > 1e-12), (F.col("v") - mean) / sd))
+    """Standardised surprise: value less that of a year ago and the mean of the n year-on-year changes before this one, over their deviation.
+
+    All of the last n + 5 quarters have to be visible.
+    """
+    rows = history(f, n + 5)
+    h = F.col("h")
+    changes = F.transform(F.sequence(F.lit(5), F.lit(n + 4)), lambda i: F.element_at(h, i)["v"] - F.element_at(h, i - 4)["v"])
+    mean = _sum(changes) / n
+    sd = F.sqrt(F.aggregate(changes, F.lit(0.0), lambda s, x: s + (x - mean) * (x - mean)) / n)
+    return _as_facts(rows.filter(F.size(h) == n + 5), F.when(sd > 1e-12, (F.col("v") - F.element_at(h, n + 1)["v"] - mean) / sd))
+
+
+def zscore_diff(f: DataFrame, n: int = 8, back: int = 4) -> DataFrame:
+    """Newest value less the one ``back`` entries before, in deviations of the last n quarters; more than ``back`` entries are needed."""
+    rows = history(f, n)
+    size, _, sd = _moments(F.col("h"))
+    at = lambda k: F.try_element_at("h", F.lit(-k))["v"]
+    return _as_facts(rows.filter(size > back), F.when(sd > 1e-12, (at(1) - at(back + 1)) / sd))
+
+
+def acceleration(f: DataFrame, n: int = 8, back: int = 4) -> DataFrame:
+    """zscore_diff less that of the entry before; less 1 if the value fell over ``back`` entries, and less 1 if it is negative."""
+    rows = history(f, n)
+    size, _, sd = _moments(F.col("h"))
+    at = lambda k: F.try_element_at("h", F.lit(-k))["v"]
+    penalty = (at(1) < at(back + 1)).cast("int") + (at(1) < 0).cast("int")
+    return _as_facts(rows.filter(size > back + 1), F.when(sd > 1e-12, (at(1) - at(back + 1) - at(2) + at(back + 2)) / sd - penalty))
 
 
 def volatility_adjusted(f: DataFrame, n: int = 8) -> DataFrame:
@@ -177,11 +203,13 @@ def consensus(estimates: DataFrame, days: DataFrame, *, window_days: int = 170,
     """
     from .joins import interval_join
 
-    held = estimates.filter(F.col("est").isNotNull() & (F.col("est") != 0)).withColumn("__until", F.date_add("est_dt", window_days))
-    seen = interval_join(days, held, "est_dt", "__until")
-    newest = seen.groupBy("td", "tk", "period", "inst").agg(F.max_by(F.struct("est", "est_dt"), F.struct("est_dt", "seq")).alias("s"))
-    weight = F.pow(F.lit(0.5), F.datediff("td", "s.est_dt") / F.lit(half_life_days))
-    return newest.groupBy("td", "tk", "period").agg(F.count("*").alias("n"), (F.sum(F.col("s.est") * weight) / F.sum(weight)).alias("est"))
+    held = estimates.filter(F.col("est").isNotNull() & (F.col("est") != 0))
+    # an estimate holds until the institution's next one, so that a date sees one of each institution
+    w = Window.partitionBy("tk", "period", "inst").orderBy("est_dt", "seq")
+    until = F.least(F.date_add("est_dt", window_days), F.coalesce(F.date_sub(F.lead("est_dt").over(w), 1), F.date_add("est_dt", window_days)))
+    seen = interval_join(days, held.withColumn("__until", until).filter("est_dt <= __until"), "est_dt", "__until")
+    weight = F.pow(F.lit(0.5), F.datediff("td", "est_dt") / F.lit(half_life_days))
+    return seen.groupBy("td", "tk", "period").agg(F.count("*").alias("n"), (F.sum(F.col("est") * weight) / F.sum(weight)).alias("est"))
 
 
 def coverage(estimates: DataFrame, days: DataFrame, *, window_days: int = 170) -> DataFrame:

@@ -102,7 +102,7 @@ def trade_active(spark, sf_dir):
     return tidy(bars.active_trades(prepared(spark, sf_dir)), KEYS, ["trade_high_act"])
 
 
-@query("volume_peaks", f"WITH {INTRADAY}, k AS (SELECT *, volume > avg(volume) OVER d + stddev_pop(volume) OVER d AS hi FROM p WINDOW d AS (PARTITION BY td, tk)), s AS (SELECT *, hi AND NOT coalesce(lag(hi) OVER (PARTITION BY td, tk ORDER BY bar), FALSE) AS st FROM k) SELECT td, tk, count(*) FILTER (st) AS v_peak_num FROM s GROUP BY td, tk")
+@query("volume_peaks", f"WITH {INTRADAY}, k AS (SELECT *, volume > (avg(volume) OVER d + stddev_pop(volume) OVER d) * (1 + 1e-9::DOUBLE) AS hi FROM p WINDOW d AS (PARTITION BY td, tk)), s AS (SELECT *, hi AND NOT coalesce(lag(hi) OVER (PARTITION BY td, tk ORDER BY bar), FALSE) AS st FROM k) SELECT td, tk, count(*) FILTER (st) AS v_peak_num FROM s GROUP BY td, tk")
 def volume_peaks(spark, sf_dir):
     return bars.volume_peaks(prepared(spark, sf_dir))
 
@@ -118,11 +118,84 @@ def cloud(spark, sf_dir):
     return tidy(bars.cloud(p.join(p.groupBy(*KEYS).count().filter("count >= 12"), KEYS)), KEYS, ["cloud_corr", "cloud_amount", "cloud_volume"], 5)
 
 
-@query("tide")
+HEAVY = ["r_vol_large_v", "r_skew_large_v", "r_kurt_large_v", "vp_corr_large_v", "vr_corr_large_v", "vr_corr_lag_large_v", "vr_corr_lead_large_v"]
+SKEW_POP = "(avg(ret ** 3) - 3 * avg(ret) * avg(ret ** 2) + 2 * avg(ret) ** 3) / nullif(stddev_pop(ret) ** 3, 0)"
+KURT_POP = "(avg(ret ** 4) - 4 * avg(ret) * avg(ret ** 3) + 6 * avg(ret) ** 2 * avg(ret ** 2) - 3 * avg(ret) ** 4) / nullif(stddev_pop(ret) ** 4, 0) - 3"
+
+
+def _part(suffix: str) -> str:
+    corr = f"corr(close, volume) AS vp_corr{suffix}, corr(ret, volume) AS vr_corr{suffix}, corr(ret, next_volume) AS vr_corr_lag{suffix}, corr(next_ret, volume) AS vr_corr_lead{suffix}"
+    return f"stddev_pop(ret) AS r_vol{suffix}, {SKEW_POP} AS r_skew{suffix}, {KURT_POP} AS r_kurt{suffix}, {corr}"
+
+
+@query("minute_heavy", _q(_part("_large_v"), HEAVY, 4, where="WHERE by_volume <= 12 AND t >= 12"))
+def minute_heavy(spark, sf_dir):
+    """The twelve bars of largest volume: moments and correlations."""
+    p = bars.heavy(prepared(spark, sf_dir).withColumn("t", F.count("*").over(bars._day(*KEYS))).filter("t >= 12"), 12)
+    return tidy(bars.plain_moments(p, "_large_v").join(bars.correlations(p, "_large_v"), KEYS), KEYS, HEAVY, 4)
+
+
+CLOSING = [n.replace("_large_v", "_close") for n in HEAVY]
+
+
+@query("minute_closing", _q(_part("_close"), CLOSING, 4, where="WHERE bar > t_max - 12 AND t >= 18"))
+def minute_closing(spark, sf_dir):
+    """The last twelve hours of a day: moments and correlations."""
+    p = bars.closing(prepared(spark, sf_dir).withColumn("t", F.count("*").over(bars._day(*KEYS))).filter("t >= 18"), 12)
+    return tidy(bars.plain_moments(p, "_close").join(bars.correlations(p, "_close"), KEYS), KEYS, CLOSING, 4)
+
+
+@query("minute_squares", f"WITH {INTRADAY}, m AS (SELECT td, tk, stddev_samp(100 * ret) AS r_vol, {_skew('ret')} AS r_skew, {_kurt('ret')} AS r_kurt FROM p GROUP BY td, tk HAVING count(*) >= 8), o AS (SELECT td, tk, r_vol ** 2 AS r_vol_squared, r_skew ** 2 AS r_skew_squared, r_kurt ** 2 AS r_kurt_squared FROM m) " + sql_tidy("td, tk", ["r_vol_squared", "r_skew_squared", "r_kurt_squared"], "o", 3))
+def minute_squares(spark, sf_dir):
+    p = prepared(spark, sf_dir).withColumn("t", F.count("*").over(bars._day(*KEYS))).filter("t >= 8")
+    return tidy(bars.squares(bars.moments(p)), KEYS, ["r_vol_squared", "r_skew_squared", "r_kurt_squared"], 3)
+
+
+@query("minute_vol_ratio", _q("stddev_pop(ret) FILTER (by_volume <= 8) / nullif(stddev_samp(100 * ret), 0) AS r_vol_ratio_large_v", ["r_vol_ratio_large_v"], 6, where="WHERE t >= 8"))
+def minute_vol_ratio(spark, sf_dir):
+    """Deviation of the heaviest bars over that of all."""
+    p = prepared(spark, sf_dir).withColumn("t", F.count("*").over(bars._day(*KEYS))).filter("t >= 8")
+    both = bars.plain_moments(bars.heavy(p, 8), "_large_v").join(bars.moments(p).select(*KEYS, "r_vol"), KEYS)
+    return tidy(both.withColumn("r_vol_ratio_large_v", F.try_divide("r_vol_large_v", "r_vol")), KEYS, ["r_vol_ratio_large_v"])
+
+
+@query("minute_helpers", _q("stddev_pop(volume) / avg(volume) AS cv, covar_samp(ret, volume) / nullif(stddev_pop(ret) * stddev_pop(volume), 0) AS scaled_corr, -sum(share * log2(share)) AS entropy", ["cv", "scaled_corr", "entropy"], 5, where="WHERE t >= 4"))
+def minute_helpers(spark, sf_dir):
+    p = bars.with_zeros(prepared(spark, sf_dir), "ret").withColumn("t", F.count("*").over(bars._day(*KEYS))).filter("t >= 4")
+    o = p.groupBy(*KEYS).agg(bars.variation("volume").alias("cv"), bars.sample_scaled_correlation("ret", "volume").alias("scaled_corr"))
+    return tidy(o.join(bars.entropy(p, "volume"), KEYS), KEYS, ["cv", "scaled_corr", "entropy"], 5)
+
+
+@query("minute_percentile_ratio", f"WITH {INTRADAY}, k AS (SELECT *, row_number() OVER (PARTITION BY td, tk ORDER BY volume, bar) AS k FROM p), o AS (SELECT td, tk, coalesce(sum(volume) FILTER (k <= floor(t * 0.25::DOUBLE)), 0) / sum(volume) AS low_ratio, coalesce(sum(volume) FILTER (k > floor(t * 0.75::DOUBLE)), 0) / sum(volume) AS high_ratio FROM k GROUP BY td, tk) " + sql_tidy("td, tk", ["low_ratio", "high_ratio"], "o"))
+def minute_percentile_ratio(spark, sf_dir):
+    p = prepared(spark, sf_dir)
+    o = bars.percentile_ratio(p, "volume", 0.25, True, "low_ratio").join(bars.percentile_ratio(p, "volume", 0.25, False, "high_ratio"), KEYS)
+    return tidy(o, KEYS, ["low_ratio", "high_ratio"])
+
+
+@query("long_short_game_spread", f"WITH {INTRADAY}, k AS (SELECT td, tk, sum((t + 1 - 2 * rk) * share) AS game FROM (SELECT *, row_number() OVER (PARTITION BY td, tk ORDER BY (high - low) / close, bar) AS rk FROM p) GROUP BY td, tk), o AS (SELECT td, tk, game, abs(game - avg(game) OVER d) / nullif(stddev_pop(game) OVER d, 0) AS long_short_game FROM k WINDOW d AS (PARTITION BY td)) " + sql_tidy("td, tk", ["game", "long_short_game"], "o"))
+def long_short_game_spread(spark, sf_dir):
+    """Bars ranked by their price range over the close."""
+    return tidy(bars.long_short_game(prepared(spark, sf_dir), (F.col("high") - F.col("low")) / F.col("close")), KEYS, ["game", "long_short_game"])
+
+
+@query("minute_with_daily", f"WITH {INTRADAY}, d AS (SELECT td, tk, max(close) AS top FROM b WHERE tk <> 3 GROUP BY td, tk) SELECT p.td, p.tk, p.bar, round(p.close / d.top, 6) AS part FROM p LEFT JOIN d ON p.td = d.td AND p.tk = d.tk")
+def minute_with_daily(spark, sf_dir):
+    """A value of the day on each of its bars."""
+    b = intraday(spark, sf_dir)
+    daily = b.filter("tk <> 3").groupBy(*KEYS).agg(F.max("close").alias("top"))
+    return tidy(bars.with_daily(b, daily, "top").withColumn("part", F.col("close") / F.col("top")), [*KEYS, "bar"], ["part"])
+
+
+S9 = f"WITH {INTRADAY}, n AS (SELECT *, CASE WHEN bar >= 4 AND bar <= t_max - 4 AND count(*) OVER w = 9 THEN sum(volume) OVER w END AS s9 FROM p WINDOW w AS (PARTITION BY td, tk ORDER BY bar ROWS BETWEEN 4 PRECEDING AND 4 FOLLOWING)), h AS (SELECT *, first(bar) OVER (PARTITION BY td, tk ORDER BY s9 DESC, bar) AS peak FROM n WHERE s9 IS NOT NULL)"
+
+
+@query("tide", S9 + """, g AS (SELECT td, tk, first(bar ORDER BY s9, bar) FILTER (bar < peak) AS ab, first(close ORDER BY s9, bar) FILTER (bar < peak) AS ac, first(bar ORDER BY s9, bar) FILTER (bar > peak) AS bb, first(close ORDER BY s9, bar) FILTER (bar > peak) AS bc, any_value(peak) AS mb, any_value(close) FILTER (bar = peak) AS mc FROM h GROUP BY td, tk),
+ o AS (SELECT td, tk, 100 * (bc / ac - 1) / (bb - ab) AS tide_full, 100 * (mc / ac - 1) / (mb - ab) AS tide_rising, 100 * (bc / mc - 1) / (bb - mb) AS tide_falling FROM g) """ + sql_tidy("td, tk", ["tide_full", "tide_rising", "tide_falling"], "o"))
 def tide(spark, sf_dir):
     return tidy(bars.tide(prepared(spark, sf_dir)), KEYS, ["tide_full", "tide_rising", "tide_falling"])
 
 
-@query("crowd_out")
+@query("crowd_out", f"WITH {INTRADAY}, s AS (SELECT td, bar, stddev_pop(ret) AS sd FROM p GROUP BY td, bar), c AS (SELECT td, bar FROM (SELECT *, avg(sd) OVER (PARTITION BY td) AS m FROM s) WHERE sd <= m), q AS (SELECT td, bar, tk, amount FROM p JOIN c USING (td, bar)), k AS (SELECT x.td AS td, x.tk AS tk, y.tk AS tk2, corr(x.amount, y.amount) AS c FROM q x JOIN q y ON x.td = y.td AND x.bar = y.bar AND x.tk <> y.tk GROUP BY ALL), o AS (SELECT td, tk, avg(CASE WHEN isfinite(c) THEN c END) AS crowd_corr FROM k GROUP BY td, tk) " + sql_tidy("td, tk", ["crowd_corr"], "o", 5))
 def crowd_out(spark, sf_dir):
     return tidy(bars.crowd_out(prepared(spark, sf_dir)), KEYS, ["crowd_corr"], 5)

@@ -8,30 +8,43 @@ from ..functions import windows as win
 from ..operators import backtest, factors, intraday, joins, learning
 from ..streaming.bars import hourly_bars
 from .bar_queries import prepared
+from .fact_queries import STEPS, _lists, chain_sql
 from .panel_queries import MOM, NAV, market, momentum
 from .registry import query, sql_clean, sql_tidy, tidy
-from .roles import INTRADAY, WEEKLY, facts, table, weekly
+from .roles import INTRADAY, WEEKLY, facts, table, trading_days
 
 KEYS = ["td", "tk"]
 
 
+CAPITAL = "JOIN (SELECT c_custkey AS ck, abs(c_acctbal) + 1 AS cap FROM customer) ON tk = ck"
+#: The trailing year of the facts over the mean of their last four quarters: inner facts of the ratios.
+RATIO = (
+    f", t0 AS MATERIALIZED (SELECT tk, ann, q, rid, {STEPS['ttm']('f')} AS v FROM f x), t AS MATERIALIZED (SELECT * FROM t0 WHERE v IS NOT NULL), {_lists(4)}"
+    ", y AS MATERIALIZED (SELECT f.tk, f.ann, f.q, f.rid, list_aggregate(a, 'avg') AS v FROM hl JOIN f ON hl.tk = f.tk AND hl.rid = f.rid WHERE len(a) >= 2)"
+    ", r0 AS MATERIALIZED (SELECT tk, ann, q, rid, v / nullif(abs((SELECT last(y.v ORDER BY y.q, y.ann, y.rid) FROM y WHERE y.tk = x.tk AND y.q <= x.q AND y.ann <= x.ann)), 0) AS v FROM t x), r AS MATERIALIZED (SELECT * FROM r0 WHERE v IS NOT NULL)"
+)
+
+
+def _factor_sql(recipe) -> str:
+    return chain_sql(recipe.steps, "r" if recipe.per else "f", RATIO if recipe.per else "", "v / cap" if recipe.value else "v", CAPITAL if recipe.value else "", 5)
+
+
 def _factor(name: str):
     def run(spark, sf_dir):
-        days = joins.calendar(weekly(spark, sf_dir))
-        capital = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("tk"), (F.abs("c_acctbal") + 1).alias("cap")).join(days.select("td"))
+        capital = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("tk"), (F.abs("c_acctbal") + 1).alias("cap"))
         f = facts(spark, sf_dir)
-        return tidy(factors.compute(name, lambda item: f, days, capital), KEYS, ["v"], 6)
+        return tidy(factors.compute(name, lambda item: f, trading_days(spark, sf_dir), capital), KEYS, ["v"], 5)
 
     return run
 
 
-for _name in ("bp", "ep_ttm", "ep_mrq", "np_mrq_yoy", "roe_ttm", "roe_mrq_yoy", "eps_ttm_qoq"):
-    query(f"factor_{_name}")(_factor(_name))
+for _name, _recipe in factors.LIBRARY.items():
+    query(f"factor_{_name}", _factor_sql(_recipe))(_factor(_name))
 
 
 @query("rebalance_quarter_ends", f"WITH {WEEKLY} SELECT td FROM (SELECT td, lead(month(td)) OVER (ORDER BY td) AS n FROM cal) WHERE n <> month(td) AND month(td) % 3 = 0")
 def rebalance_quarter_ends(spark, sf_dir):
-    return backtest.rebalance_dates(joins.calendar(weekly(spark, sf_dir)), "Q").select("td")
+    return backtest.rebalance_dates(trading_days(spark, sf_dir), "Q").select("td")
 
 
 @query("rolling_max_drawdown", f"WITH {NAV}, w AS (SELECT a.ix AS ix, b.ix AS j, b.nav AS nav FROM nav a JOIN nav b ON b.ix BETWEEN a.ix - 25 AND a.ix), t AS (SELECT ix, j, nav / max(nav) OVER (PARTITION BY ix ORDER BY j) - 1 AS f FROM w) SELECT ix, {sql_clean('min(f)', 'mdd')} FROM t GROUP BY ix HAVING count(*) = 26")

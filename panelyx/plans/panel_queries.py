@@ -9,7 +9,7 @@ from ..functions import cross_section as xs
 from ..functions import windows as win
 from ..operators import backtest, dataset, joins
 from .registry import query, sql_tidy, tidy
-from .roles import WEEKLY, table, weekly
+from .roles import WEEKLY, table, trading_days, weekly
 
 #: Frames of the SQL: n positions back, and the trailing n.
 LAG = lambda n: f"(PARTITION BY tk ORDER BY ix RANGE BETWEEN {n} PRECEDING AND {n} PRECEDING)"
@@ -53,7 +53,7 @@ def calendar_flags(spark, sf_dir):
 def snap_to_week(spark, sf_dir):
     """Latest calendar date strictly before each order date."""
     e = table(spark, sf_dir, "orders").select(F.to_date("o_orderdate").alias("d")).distinct()
-    return joins.snap_back(e, joins.calendar(weekly(spark, sf_dir)), "d", strictly=True)
+    return joins.snap_back(e, trading_days(spark, sf_dir), "d", strictly=True)
 
 
 INTERVALS = "iv AS (SELECT o_custkey AS ck, CAST(min(o_orderdate) AS DATE) AS a, CASE WHEN o_custkey % 10 = 0 THEN NULL ELSE CAST(max(o_orderdate) AS DATE) END AS z FROM orders GROUP BY o_custkey)"
@@ -63,7 +63,7 @@ INTERVALS = "iv AS (SELECT o_custkey AS ck, CAST(min(o_orderdate) AS DATE) AS a,
 def universe_interval(spark, sf_dir):
     o = table(spark, sf_dir, "orders").groupBy(F.col("o_custkey").alias("ck")).agg(F.to_date(F.min("o_orderdate")).alias("a"), F.to_date(F.max("o_orderdate")).alias("z"))
     iv = o.withColumn("z", F.when(F.col("ck") % 10 != 0, F.col("z")))
-    return joins.interval_join(joins.calendar(weekly(spark, sf_dir)), iv, "a", "z").groupBy("td").agg(F.count("*").alias("members"))
+    return joins.interval_join(trading_days(spark, sf_dir), iv, "a", "z").groupBy("td").agg(F.count("*").alias("members"))
 
 
 @query("universe_masks", f"""WITH {RET}, s AS (SELECT *, min(td) OVER (PARTITION BY tk) AS born, max(CAST(NOT (low > 1 AND amount > 1 AND volume > 20) AS INTEGER)) OVER {TRAIL(8)} AS thin,

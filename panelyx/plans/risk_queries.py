@@ -9,7 +9,7 @@ from ..functions import windows as win
 from ..operators import joins, risk
 from .panel_queries import KEYS, LAG, RET, TRAIL, returns
 from .registry import query, sql_tidy, tidy
-from .roles import WEEKLY, table, weekly
+from .roles import WEEKLY, table, trading_days, weekly
 
 BASE = f"{RET}, k AS (SELECT *, sum(amount) OVER {TRAIL(13)} AS cap FROM r), b AS (SELECT *, ln(1 + cap) AS size, ln(amount / nullif(max(cap) OVER {LAG(1)}, 0)) AS liquidity, CASE WHEN count(ret) OVER {TRAIL(20)} >= 10 THEN stddev_samp(ret) OVER {TRAIL(20)} END AS vol FROM k)"
 
@@ -56,7 +56,7 @@ def residual_volatility(spark, sf_dir):
 @query("listed_days", f"WITH {WEEKLY}, l AS (SELECT o_custkey AS tk, CAST(min(o_orderdate) AS DATE) AS a, CAST(max(o_orderdate) AS DATE) AS z FROM orders GROUP BY o_custkey) SELECT td, tk, CAST(td - a AS INTEGER) AS listed_days FROM cal JOIN l ON td BETWEEN a AND z")
 def listed_days(spark, sf_dir):
     l = table(spark, sf_dir, "orders").groupBy(F.col("o_custkey").alias("ck")).agg(F.min("o_orderdate").alias("a"), F.max("o_orderdate").alias("z"))  # noqa: E741
-    return risk.listed_days(joins.calendar(weekly(spark, sf_dir)), l, "ck", "a", "z")
+    return risk.listed_days(trading_days(spark, sf_dir), l, "ck", "a", "z")
 
 
 @query("carried_value", f"WITH {RET}, o AS (SELECT td, tk, last(CASE WHEN volume > 60 THEN close END IGNORE NULLS) OVER {TRAIL(11)} AS carried FROM r) " + sql_tidy("td, tk", ["carried"], "o", 7))

@@ -12,6 +12,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def trading_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The calendar of weeks, from one column of the line items."""
+    return joins.calendar(table(spark, sf_dir, "lineitem").select(F.date_trunc("week", "l_shipdate").alias("td")))
+
+
 def weekly(spark: SparkSession, sf_dir: str) -> DataFrame:
     """td (week), tk (supplier), ix, open, high, low, close, volume, amount, vwap, ret (close over the week before)."""
     line = table(spark, sf_dir, "lineitem").select("l_suppkey", "l_shipdate", "l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice")
@@ -21,7 +26,8 @@ def weekly(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.min_by("u", order).alias("open"), F.max("u").alias("high"), F.min("u").alias("low"), F.max_by("u", order).alias("close"),
         F.sum("l_quantity").alias("volume"), F.sum("l_extendedprice").alias("amount"),
     )
-    return joins.with_index(bars).withColumn("vwap", F.col("amount") / F.col("volume"))
+    # a calendar has at most some ten thousand rows
+    return bars.join(F.broadcast(trading_days(spark, sf_dir).select("td", "ix")), "td").withColumn("vwap", F.col("amount") / F.col("volume"))
 
 
 #: The same panel for DuckDB, as common table expressions wk (panel) and cal (calendar).
@@ -71,6 +77,21 @@ f AS (SELECT tk, ann, q, v, row_number() OVER (PARTITION BY tk ORDER BY ann, q,
 """
 
 
+def dense_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Monthly order values of 50 customer groups as versioned facts; every quarter has up to three versions."""
+    o = table(spark, sf_dir, "orders").groupBy((F.col("o_custkey") % 50).alias("tk"), F.to_date(F.date_trunc("month", "o_orderdate")).alias("m"))
+    o = o.agg(F.to_date(F.max("o_orderdate")).alias("ann"), F.round(F.sum("o_totalprice"), 2).alias("v")).withColumn("end", F.date_sub(F.to_date(F.date_trunc("quarter", "m")), 1))
+    return pit.facts(o, "tk", "ann", "end", "v", "m")
+
+
+DENSE_FACTS = """
+f AS (SELECT tk, ann, q, v, row_number() OVER (PARTITION BY tk ORDER BY ann, q, m) AS rid FROM (
+        SELECT tk, m, ann, v, CAST(year(e) * 4 + quarter(e) - 1 AS INTEGER) AS q FROM (
+          SELECT o_custkey % 50 AS tk, date_trunc('month', o_orderdate) AS m, CAST(max(o_orderdate) AS DATE) AS ann, round(sum(o_totalprice), 2) AS v,
+                 date_trunc('quarter', date_trunc('month', o_orderdate)) - INTERVAL 1 DAY AS e FROM orders GROUP BY ALL) WHERE v IS NOT NULL))
+"""
+
+
 def estimates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items as estimates: brand, supplier as institution, date, period one to three years ahead."""
     line = table(spark, sf_dir, "lineitem").join(table(spark, sf_dir, "part").select("p_partkey", "p_brand"), F.col("l_partkey") == F.col("p_partkey"))
