@@ -120,3 +120,79 @@ def rebalance_dates(days: DataFrame, every: int | str) -> DataFrame:
         return days.filter(F.col("ix") % every == 0)
     flag = {"W": F.col("is_week_end") == 1, "M": F.col("is_month_end") == 1, "Q": (F.col("is_month_end") == 1) & (F.month("td") % 3 == 0)}[every]
     return days.filter(flag)
+
+
+def deal_returns(panel: DataFrame, deal: str) -> DataFrame:
+    """panel (tk, ix, close and the price dealt at) with r (close to close), sell (dealt at over the close before, less 1) and buy (close over dealt at, less 1)."""
+    before = F.max("close").over(Window.partitionBy("tk").orderBy("ix").rangeBetween(-1, -1))
+    return panel.withColumn("__b", before).withColumns({"r": F.try_divide("close", "__b") - 1, "sell": F.try_divide(deal, "__b") - 1, "buy": F.try_divide("close", deal) - 1}).drop("__b")
+
+
+def returns_at_deal(segments: DataFrame, returns: DataFrame) -> DataFrame:
+    """seg, ix, ret of baskets that change hands at a price of the day. returns: tk, ix, r, sell, buy; missing ones are 0.
+
+    The first basket is bought at the close before its first day. On every later switch day the old basket is sold, what
+    it brings buys the new one: (1 + sum of w_old * sell) * (1 + sum of w_new * buy) - 1. A basket that was bought in the
+    day starts with its buy return.
+    """
+    values = {c: F.coalesce(c, F.lit(0.0)) for c in ("r", "sell", "buy")}
+    start = segments.agg(F.min("seg").alias("__first"))
+    days = segments.join(F.broadcast(start)).withColumn("ix", F.explode(F.sequence("from_ix", "to_ix")))
+    held = days.join(returns.select("tk", "ix", *values), ["tk", "ix"], "left").withColumns(values)
+    bought = (F.col("ix") == F.col("from_ix")) & (F.col("seg") > F.col("__first"))
+    w = Window.partitionBy("seg", "tk").orderBy("ix").rowsBetween(Window.unboundedPreceding, 0)
+    grown = held.withColumn("grown", F.col("w0") * F.product(1 + F.when(bought, F.col("buy")).otherwise(F.col("r"))).over(w))
+    value = grown.groupBy("seg", "ix").agg(F.sum("grown").alias("v"), F.sum("w0").alias("w"))
+    order = Window.partitionBy("seg").orderBy("ix")
+    base = value.withColumn("ret", F.col("v") / F.coalesce(F.lag("v").over(order), F.col("w")) - 1).select("seg", "ix", "ret")
+    # what the old basket earns on the first day of the next one
+    ends = grown.filter("ix = to_ix").select((F.col("seg") + 1).alias("seg"), "tk", (F.col("ix") + 1).alias("ix"), "grown")
+    sold = ends.join(returns.select("tk", "ix", F.coalesce("sell", F.lit(0.0)).alias("sell")), ["tk", "ix"], "left").groupBy("seg", "ix").agg(F.try_divide(F.sum(F.col("grown") * F.coalesce("sell", F.lit(0.0))), F.sum("grown")).alias("sold"))
+    return base.join(sold, ["seg", "ix"], "left").withColumn("ret", (1 + F.coalesce("sold", F.lit(0.0))) * (1 + F.col("ret")) - 1).drop("sold")
+
+
+def latest_scores(df: DataFrame, factor: str, names: DataFrame | None = None, *, date: str = "td", entity: str = "tk") -> DataFrame:
+    """Scores of the last date with their place, largest first (ties by entity), and further columns of names."""
+    last = df.filter(F.col(factor).isNotNull()).agg(F.max(date).alias("__last"))
+    rows = df.join(F.broadcast(last), F.col(date) == F.col("__last")).drop("__last").filter(F.col(factor).isNotNull()).select(date, entity, factor)
+    rows = rows.withColumn("place", F.row_number().over(Window.partitionBy(date).orderBy(F.desc(factor), entity)))
+    return rows.join(names, entity, "left") if names is not None else rows
+
+
+def group_spreads(groups: DataFrame, forward: str, n: int, *, date: str = "td", group: str = "grp") -> DataFrame:
+    """Per date: mean return of the top and the bottom group, top less bottom (lms) and top less the mean of all groups (lmm)."""
+    by = groups.groupBy(date, group).agg(F.avg(forward).alias("__r"))
+    pick = lambda k: F.max(F.when(F.col(group) == k, F.col("__r")))
+    out = by.groupBy(date).agg(pick(n).alias("top"), pick(1).alias("bottom"), F.avg("__r").alias("__m"))
+    return out.withColumns({"lms": F.col("top") - F.col("bottom"), "lmm": F.col("top") - F.col("__m")}).drop("__m")
+
+
+def demeaned_group_returns(groups: DataFrame, forward: str, *, per_year: int = 52, date: str = "td", group: str = "grp") -> DataFrame:
+    """Per group: mean return a year, less the mean of all groups on each date."""
+    by = groups.groupBy(date, group).agg(F.avg(forward).alias("__r"))
+    by = by.withColumn("__d", F.col("__r") - F.avg("__r").over(Window.partitionBy(date)))
+    return by.groupBy(group).agg(F.count("__d").alias("n"), (F.avg("__d") * per_year).alias("annual"))
+
+
+def index_returns(quotes: DataFrame, percent: str = "pct", *, by: str = "code", order: str = "td") -> DataFrame:
+    """Returns of an index from percent changes; its first row has 0."""
+    first = F.row_number().over(Window.partitionBy(by).orderBy(order)) == 1
+    return quotes.withColumn("ret", F.when(first, F.lit(0.0)).otherwise(F.col(percent) / 100))
+
+
+def turnover_statistics(turnovers: DataFrame, value: str = "turnover", *, date: str = "td") -> DataFrame:
+    """Mean turnover of the dates that have one, times the median number of such dates in a year."""
+    real = turnovers.filter(F.col(value) != 0)
+    yearly = real.groupBy(F.year(date).alias("y")).agg(F.count("*").alias("k"), F.sum(value).alias("s"))
+    return yearly.agg(F.try_divide(F.sum("s"), F.sum("k")).alias("mean"), F.median("k").alias("times")).withColumn("annual", F.col("mean") * F.col("times"))
+
+
+def active_exposure(portfolio: DataFrame, index: DataFrame, exposures: DataFrame, styles: list[str], *, date: str = "td", entity: str = "tk", weight: str = "w") -> DataFrame:
+    """Per date: weighted styles of the portfolio less those of the index, both with weights made to sum to 1."""
+
+    def of(holdings: DataFrame, sign: int) -> DataFrame:
+        share = F.col(weight) / F.sum(weight).over(Window.partitionBy(date))
+        return holdings.select(date, entity, (sign * share).alias("__w"))
+
+    both = of(portfolio, 1).unionByName(of(index, -1)).join(exposures.select(date, entity, *styles), [date, entity])
+    return both.groupBy(date).agg(*(F.sum(F.col("__w") * F.col(s)).alias(s) for s in styles))

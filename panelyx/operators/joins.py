@@ -34,6 +34,34 @@ def snap_back(events: DataFrame, days: DataFrame, date: str, *, strictly: bool =
     return events.join(found, F.to_date(events[date]) == found["__d"], "left").withColumn(out, F.col("__to")).drop("__d", "__to")
 
 
+def shift_dates(events: DataFrame, days: DataFrame, date: str, n: int = 1, *, out: str = "td") -> DataFrame:
+    """Replace a date by the n-th calendar date after it (negative: before it); beyond the calendar's ends it is NULL.
+
+    A date outside the calendar counts from the next date before it, so that 1 is the first calendar date after it; for n < 0
+    from the next one after it.
+    """
+    numbered = days.select(F.col("td").alias("__td"), F.col("ix").alias("__ix"))
+    side = F.date_add(F.to_date(date), 1) if n < 0 else F.to_date(date)
+    marked = snap_back(events.withColumn("__own", side), days, "__own", strictly=n < 0, out="__at").drop("__own")
+    # n < 0: the last calendar date up to the date itself; if that is the date, one less is before it
+    base = marked.join(F.broadcast(numbered), F.col("__at") == F.col("__td"), "left").drop("__td")
+    at = F.coalesce("__ix", F.lit(-1))
+    target = at + n if n > 0 else F.when(F.col("__at") == F.to_date(date), at + n).otherwise(at + n + 1)
+    aim = numbered.select(F.col("__td").alias(out), F.col("__ix").alias("__to"))
+    return base.withColumn("__t", target).join(F.broadcast(aim), F.col("__t") == F.col("__to"), "left").drop("__t", "__to", "__ix", "__at")
+
+
+def dates_between(days: DataFrame, start: str, end: str, bounds: str = "[]") -> DataFrame:
+    """Calendar dates between two dates; a square bracket takes its end in, a round one leaves it out."""
+    d, a, z = F.col("td"), F.lit(start).cast("date"), F.lit(end).cast("date")
+    return days.filter((d >= a if bounds[0] == "[" else d > a) & (d <= z if bounds[1] == "]" else d < z))
+
+
+def align(values: DataFrame, grid: DataFrame, keys: list[str] = ("td", "tk")) -> DataFrame:
+    """values on every row of a grid of keys, NULL where there are none; rows off the grid go."""
+    return grid.select(*keys).join(values, list(keys), "left")
+
+
 def interval_join(days: DataFrame, intervals: DataFrame, start: str, end: str, *, bucket_days: int = 64, forever: str = "2100-01-01") -> DataFrame:
     """Every calendar date in [start, end] of every interval (a NULL end is open).
 

@@ -166,11 +166,13 @@ def xsec_residual(spark, sf_dir):
     return tidy(p.filter("n > 4"), KEYS, ["residual", "residual0"], 4)
 
 
-@query("orthogonal_factor")
+@query("orthogonal_factor", f"""WITH {MOM}, s AS (SELECT *, ln(amount) AS x1, ln(volume) AS x2 FROM m WHERE mom IS NOT NULL), a AS (SELECT *, count(*) OVER d AS n, sum(volume * x1) OVER d / sum(volume) OVER d AS m1, sum(volume * x2) OVER d / sum(volume) OVER d AS m2, sum(volume * mom) OVER d / sum(volume) OVER d AS my FROM s WINDOW d AS (PARTITION BY td)),
+ c AS (SELECT *, sum(volume * (x1 - m1) ** 2) OVER d AS s11, sum(volume * (x2 - m2) ** 2) OVER d AS s22, sum(volume * (x1 - m1) * (x2 - m2)) OVER d AS s12, sum(volume * (x1 - m1) * (mom - my)) OVER d AS s1y, sum(volume * (x2 - m2) * (mom - my)) OVER d AS s2y FROM a WINDOW d AS (PARTITION BY td)),
+ o AS (SELECT td, tk, mom - my - (x1 - m1) * (s22 * s1y - s12 * s2y) / (s11 * s22 - s12 * s12) - (x2 - m2) * (s11 * s2y - s12 * s1y) / (s11 * s22 - s12 * s12) AS residual FROM c WHERE n > 5) """ + sql_tidy("td, tk", ["residual"], "o", 3))
 def orthogonal_factor(spark, sf_dir):
     """Residual of momentum on size, volume and volatility, weighted."""
     p = momentum(spark, sf_dir).filter("mom is not null").withColumns({"x1": F.log("amount"), "x2": F.log("volume"), "x3": F.lit(1.0)})
-    return tidy(xs.orthogonalize(p, "mom", ["x1", "x2", "x3"], "volume", "residual").filter("residual is not null"), KEYS, ["residual"], 4)
+    return tidy(xs.orthogonalize(p, "mom", ["x1", "x2", "x3"], "volume", "residual").filter("residual is not null"), KEYS, ["residual"], 3)
 
 
 @query("box_winsor")

@@ -41,9 +41,11 @@ def risk_exposures(spark, sf_dir):
     return tidy(risk.exposures(p, [risk.Factor("big", ["size"], "cap"), risk.Factor("active", ["size", "liquidity"], "cap")]), KEYS, ["big", "active"], 4)
 
 
-@query("non_linear_size")
+@query("non_linear_size", f"""WITH {BASE}, z AS (SELECT td, tk, sqrt(cap) AS w, (size - sum(size * cap) OVER d / sum(CASE WHEN size IS NOT NULL THEN cap END) OVER d) / (stddev_samp(size) OVER d + 1e-8) AS x FROM b WINDOW d AS (PARTITION BY td)),
+ t AS (SELECT *, x ** 3 AS y, sum(w) OVER d AS sw, sum(w * x) OVER d AS sx, sum(w * x ** 3) OVER d AS sy, sum(w * x * x) OVER d AS sxx, sum(w * x ** 4) OVER d AS sxy FROM z WHERE x IS NOT NULL WINDOW d AS (PARTITION BY td)),
+ u AS (SELECT *, (sw * sxy - sx * sy) / nullif(sw * sxx - sx * sx, 0) AS beta FROM t), o AS (SELECT td, tk, y - (sy - beta * sx) / sw - beta * x AS nls FROM u) """ + sql_tidy("td, tk", ["nls"], "o", 3))
 def non_linear_size(spark, sf_dir):
-    return tidy(risk.non_linear_size(base(spark, sf_dir), "size", "cap"), KEYS, ["nls"], 4)
+    return tidy(risk.non_linear_size(base(spark, sf_dir), "size", "cap"), KEYS, ["nls"], 3)
 
 
 @query("residual_volatility")
