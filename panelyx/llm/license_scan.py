@@ -1,10 +1,10 @@
 """Licence scans by canonical digest lookup (operator 6), in DataFrame operations only.
 
-A text is brought to canonical form: lower case, lines that are copyright notices out, equivalent spellings made one,
-punctuation and white space to single spaces. The digest of the *entire* canonical text is then hash-joined with the
+A text is brought to canonical form: lower case, lines that are copyright notices out, punctuation and white space to
+single spaces, equivalent spellings made one. The digest of the *entire* canonical text is then hash-joined with the
 digests of known licence texts. Both the whole document and each of its lines are looked up, as a licence may be a
 document or a notice inside one. The known table is small and fixed (its size does not depend on the documents), so
-it is broadcast, and the documents are never shuffled.
+it is broadcast; texts are never shuffled, only the digests of documents meet what their lines matched.
 
 Defined results: null, empty and all-punctuation texts match nothing; a text equal to several licences' canonical
 forms gets the first by name; repeated rows are scanned one by one; other columns are ignored.
@@ -18,17 +18,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import cut
-from .license_texts import KNOWN
+from .license_texts import DIGESTS, KNOWN
 
-#: Spellings that count as equal in licence texts, in canonical (lower-case) form.
+#: Spellings that count as equal in licence texts, in canonical form; each stands for the beginning of a word.
 EQUIVALENT = [
-    ("licence", "license"), ("licensor", "licenser"), ("sub license", "sublicense"), ("sub-license", "sublicense"), ("acknowledgement", "acknowledgment"),
-    ("analogue", "analog"), ("analyse", "analyze"), ("artefact", "artifact"), ("authorisation", "authorization"), ("authorised", "authorized"), ("calibre", "caliber"),
+    ("licence", "license"), ("sublicence", "sublicense"), ("relicence", "relicense"), ("licencing", "licensing"), ("sublicencing", "sublicensing"), ("licensor", "licenser"), ("sub license", "sublicense"), ("acknowledgement", "acknowledgment"),
+    ("analogue", "analog"), ("analyse", "analyze"), ("artefact", "artifact"), ("authorisation", "authorization"), ("authorised", "authorized"), ("unauthorised", "unauthorized"), ("calibre", "caliber"),
     ("cancelled", "canceled"), ("catalogue", "catalog"), ("categorise", "categorize"), ("centre", "center"), ("emphasised", "emphasized"), ("favour", "favor"),
     ("fulfil ", "fulfill "), ("fulfilment", "fulfillment"), ("initialise", "initialize"), ("judgement", "judgment"), ("labelling", "labeling"), ("labour", "labor"),
-    ("maximise", "maximize"), ("modelled", "modeled"), ("noncommercial", "non commercial"), ("non-commercial", "non commercial"), ("optimise", "optimize"), ("organisation", "organization"), ("organise", "organize"),
-    ("practise", "practice"), ("programme", "program"), ("realise", "realize"), ("recognise", "recognize"), ("signalling", "signaling"), ("utilisation", "utilization"),
-    ("whilst", "while"), ("wilful", "willful"), ("per cent", "percent"), ("copyright owner", "copyright holder"), ("http://", "https://"),
+    ("maximise", "maximize"), ("modelled", "modeled"), ("noncommercial", "non commercial"), ("optimise", "optimize"), ("organisation", "organization"), ("organise", "organize"),
+    ("practise", "practice"), ("programme ", "program "), ("realise", "realize"), ("recognise", "recognize"), ("signalling", "signaling"), ("utilisation", "utilization"),
+    ("whilst ", "while "), ("wilful", "willful"), ("per cent", "percent"), ("copyright owner", "copyright holder"), ("http ", "https "),
 ]
 
 #: A line that is nothing but a copyright notice: its mark first, then a year somewhere, a second
@@ -37,17 +37,13 @@ COPYRIGHT = r"^[^\p{L}\p{N}]*((copyright|©|\(c\)|all rights reserved)([^\n]*[0-
 BETWEEN = r"[^\p{L}\p{N}]+"
 
 
-def canonical_line(spelled: Column) -> Column:
-    """Canonical form of a line in lower case and with equal spellings."""
-    return F.when(spelled.rlike(COPYRIGHT), F.lit("")).otherwise(F.trim(F.regexp_replace(spelled, BETWEEN, " ")))
-
-
 def canonical_lines(text: Column) -> Column:
-    """Spellings are made equal in the whole text at once; the rest is done line by line."""
-    out = F.lower(F.coalesce(text.cast("string"), F.lit("")))
+    """Lines in lower case, notices out, punctuation to spaces; spellings are then made equal in all lines at once, from the beginnings of words on."""
+    line = lambda x: F.when(x.rlike(COPYRIGHT), F.lit("")).otherwise(F.trim(F.regexp_replace(x, BETWEEN, " ")))
+    out = F.concat(F.lit(" "), F.array_join(F.transform(F.split(F.lower(F.coalesce(text.cast("string"), F.lit(""))), "\n"), line), " \n "), F.lit(" "))
     for a, b in EQUIVALENT:
-        out = F.replace(out, F.lit(a), F.lit(b))
-    return F.transform(F.split(out, "\n"), canonical_line)
+        out = F.replace(out, F.lit(" " + a), F.lit(" " + b))
+    return F.transform(F.split(out, "\n"), lambda x: F.trim(x))
 
 
 def whole(lines: Column) -> Column:
@@ -55,22 +51,24 @@ def whole(lines: Column) -> Column:
     return F.array_join(F.filter(lines, lambda x: x != ""), " ")
 
 
-def known_digests(spark, known: Iterable[tuple[str, str]] = tuple(KNOWN)) -> DataFrame:
-    """digest and license of each known text, one row for each digest."""
-    table = spark.createDataFrame(list(known), "license string, text string")
-    return table.select("license", whole(canonical_lines(F.col("text"))).alias("c")).filter("c <> ''").groupBy(F.sha2("c", 256).alias("digest")).agg(F.min("license").alias("license"))
+def known_digests(spark, known: Iterable[tuple[str, str]] = tuple(KNOWN), digests: Iterable[tuple[str, str]] = tuple(DIGESTS)) -> DataFrame:
+    """digest and license of each known text, one row for each digest. digests: (license, digest of the canonical text) of further texts."""
+    texts = spark.createDataFrame(list(known), "license string, text string").select("license", whole(canonical_lines(F.col("text"))).alias("c")).filter("c <> ''").select("license", F.sha2("c", 256).alias("digest"))
+    more = spark.createDataFrame(list(digests), "license string, digest string")
+    return texts.unionByName(more).groupBy("digest").agg(F.min("license").alias("license"))
 
 
-def scan(docs: DataFrame, known: Iterable[tuple[str, str]] = tuple(KNOWN)) -> DataFrame:
+def scan(docs: DataFrame, known: Iterable[tuple[str, str]] = tuple(KNOWN), digests: Iterable[tuple[str, str]] = tuple(DIGESTS)) -> DataFrame:
     """doc_id, text_digest, text_license (null: none), n_license_lines, licenses (of text and lines, sorted, by comma) of every row of docs."""
-    held = F.broadcast(known_digests(docs.sparkSession, known))
+    table = known_digests(docs.sparkSession, known, digests)
+    held = F.broadcast(table)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), canonical_lines(F.col("text")).alias("lines"))
     # digests alone are written, so that texts are read and made canonical once for both lookups
     rows = cut(rows.select("doc_id", F.sha2(whole(F.col("lines")), 256).alias("text_digest"), F.transform("lines", lambda x: F.unhex(F.sha2(x, 256))).alias("line_digests")))
     texts = rows.select("doc_id", "text_digest")
     lines = (
         rows.select("doc_id", "text_digest", F.posexplode("line_digests").alias("at", "line"))
-        .join(F.broadcast(known_digests(docs.sparkSession, known).select(F.unhex("digest").alias("line"), "license")), "line")
+        .join(F.broadcast(table.select(F.unhex("digest").alias("line"), "license")), "line")
         .groupBy("doc_id", "text_digest")
         .agg(F.count_distinct("at").alias("n"), F.collect_set("license").alias("found"))
         .select(F.col("doc_id").alias("d"), F.col("text_digest").alias("t"), "n", "found")
@@ -86,18 +84,19 @@ def query(spark, sf_dir: str) -> DataFrame:
     return scan(spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
 
-def oracle_sql(known: Iterable[tuple[str, str]] = tuple(KNOWN)) -> str:
+def oracle_sql(known: Iterable[tuple[str, str]] = tuple(KNOWN), digests: Iterable[tuple[str, str]] = tuple(DIGESTS)) -> str:
     quoted = lambda x: "'" + x.replace("'", "''") + "'"
-    spelled = "lower(coalesce(text, ''))"
-    for a, b in EQUIVALENT:
-        spelled = f"replace({spelled}, {quoted(a)}, {quoted(b)})"
     line = f"CASE WHEN regexp_matches(x, {quoted(COPYRIGHT)}) THEN '' ELSE trim(regexp_replace(x, {quoted(BETWEEN)}, ' ', 'g')) END"
-    lines = f"list_transform(string_split({spelled}, chr(10)), lambda x: {line})"
+    spelled = f"' ' || array_to_string(list_transform(string_split(lower(coalesce(text, '')), chr(10)), lambda x: {line}), ' ' || chr(10) || ' ') || ' '"
+    for a, b in EQUIVALENT:
+        spelled = f"replace({spelled}, {quoted(' ' + a)}, {quoted(' ' + b)})"
+    lines = f"list_transform(string_split({spelled}, chr(10)), lambda x: trim(x))"
     joined = "array_to_string(list_filter(lines, lambda x: x <> ''), ' ')"
     values = ", ".join(f"({quoted(a)}, {quoted(b)})" for a, b in known)
+    more = ", ".join(f"({quoted(a)}, {quoted(b)})" for a, b in digests)
     return f"""
-WITH k0(license, text) AS (VALUES {values}),
-k AS (SELECT sha256({joined}) AS digest, min(license) AS license FROM (SELECT license, {lines} AS lines FROM k0) WHERE {joined} <> '' GROUP BY 1),
+WITH k0(license, text) AS (VALUES {values}), k1(license, digest) AS (VALUES {more}),
+k AS (SELECT digest, min(license) AS license FROM (SELECT license, sha256({joined}) AS digest FROM (SELECT license, {lines} AS lines FROM k0) WHERE {joined} <> '' UNION ALL SELECT license, digest FROM k1) GROUP BY 1),
 d AS (SELECT doc_id, lines, sha256({joined}) AS text_digest FROM (SELECT doc_id, {lines} AS lines FROM documents)),
 u AS (SELECT doc_id, sha256(l) AS digest FROM (SELECT doc_id, unnest(lines) AS l FROM d)),
 f AS (SELECT doc_id, count(*) AS n, list(DISTINCT license) AS found FROM u JOIN k USING (digest) GROUP BY doc_id)

@@ -49,3 +49,58 @@ KNOWN = [
     ("CC0-1.0", "SPDX-License-Identifier: CC0-1.0"),
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
 ]
+
+#: Digests of the canonical forms of further public licence texts: whole texts as they are shipped with software, with and without titles and appendices.
+#: (license, SHA-256 of canonical text); a text of your own gets its digest by license_scan.known_digests.
+DIGESTS = [
+    ("0BSD", "25a274d52b3014d9bd64e0f3362fd279ac1655f163d5c518f6b9f6c43354802c"),
+    ("Apache-2.0", "3881ce8900fc15e18dfdd4e48104cb2ad0984afa2b43d0b876fbbb8384bb7283"),
+    ("Apache-2.0", "5a6c301be78b6eeda425e1f7502349752a4aa3781a6a5115b23270d989330bd7"),
+    ("Apache-2.0", "7570479f2aa55017b17f96b642a702c3f915816adb62399466ff9d6a37c67c98"),
+    ("Apache-2.0", "896e039a03d5a73c43dc5e75ad8ea1a906a3ffd70d9843611426dca7a0a2aadf"),
+    ("Apache-2.0", "c40235f98e8998f2e4f5fc5131b16fb3c6c5f8ce252d3e6e08daf233725c2073"),
+    ("Apache-2.0", "d93b6a13d99dd2f1883cfd01faecc4ef05eb419161fbe40dda09dcb074d43330"),
+    ("Apache-2.0", "dfb11198400532b4f305d6de1101f4a4c4fb6ca0cf69686b401f9c97e428b15d"),
+    ("Artistic-1.0-Perl", "d1ce9579b2c8d32b706b421d9c42208152298e00849e57ce7da8e906ed3802f2"),
+    ("BSD-2-Clause", "1a346ec500e0e2a3b0635130743cb752397c1ab0a453dea1a45bea5bc6eaa44a"),
+    ("BSD-2-Clause", "7be8178e4e9d0dea6ff4b04bd52bd086d7ea8386a5a6e09760df916bae5d42d2"),
+    ("BSD-2-Clause", "986c3c3199a93b916c8f2e0aeed57819bcbdcb2cd9d99902dcc9d74b53f93a74"),
+    ("BSD-2-Clause", "a56fee4b2f66331ed54da4950ef9c9391453fd1490b4d8ea202bc29683bcbd30"),
+    ("BSD-2-Clause", "e36c57c376f1fac8945922863988e22c5e7460394aeb78fafeceef531dac4870"),
+    ("BSD-3-Clause", "21ce5e311a0ef74591e636cf6d0a236029bcaa0ee86324ac68d5748657aa8651"),
+    ("BSD-3-Clause", "526279aa5ce65fb23ffd45ae5430abc95af7bd6118ff94cc2842185ce6aa2c02"),
+    ("BSD-3-Clause", "53075742228962c7ea381b8242c64602fa32e7b8f52facb6d13ee4f9c596ddfa"),
+    ("BSD-3-Clause", "9b83d3dee0616d07b82a272dd9bf5134a9f402b750f5ee6188458073b0a32ff2"),
+    ("BSD-3-Clause", "cc65957a28f15bbcef5b0c23770aae3bd8462cb25904250f77a812ab3b2efe15"),
+    ("BSD-3-Clause", "f94931e221f919e6cec5ca99e0ea7da1912b2c7d805cdaee8baf508c248bc1af"),
+    ("BlueOak-1.0.0", "a9c55a1f11761d3902de154cbb4cb5e8a154ebc12ae88944c0b7a5a969b6ec47"),
+    ("CC0-1.0", "96bdc7f63190fb4bd1ae584b890300ed7517d858b34c945642a3b9b2f1612a5f"),
+    ("GFDL-1.2-only", "890d36e662cb09f33113b55d7d1c753ddc4b0ead994791dfdbdaf4349bb51e36"),
+    ("GFDL-1.3-only", "ade5f7440f9cc494ee9b2d9d76ef9d5e7528b55ddcc78de4bc94bea8a66d4e50"),
+    ("GPL-1.0-only", "5928867c4816d4fe58d14fa559bbf42db7737259a8fa2c199ab4cc85c08febad"),
+    ("GPL-2.0-only", "3590e6efa091629fd2f63a945979df2b0e351a9212a999210cc754de77576825"),
+    ("GPL-3.0-only", "357785dfc8374a5fa34bcb32473003e42a01742fd3555845b700b5aca0261368"),
+    ("GPL-3.0-only", "890cebe3ae5212c2a063155944f898ec9e8155f68610871ad4d7b3cdc7e78d6a"),
+    ("ISC", "0afd3b319501518319787836e8bac829e7aa752d1ac129c3e5e94f53007ab195"),
+    ("ISC", "217da0747cec63a2e734185db11cbaa819bcd9e5b83cd12f812128fffe66e26a"),
+    ("ISC", "23651ce8a73abaa8fad9143faad3fca843b5de6baf345008f65c453ea5685fb1"),
+    ("ISC", "2b614fb2c18253fb7c1d5d24276593e12d81b854b5e79442a26885adc7ddc0c0"),
+    ("ISC", "40e6eb51c3b409d93549806b55b249c261dab149d19b56cc163624f39a08b1db"),
+    ("ISC", "4407eb89dd3b0fb495b4681ddb0526c6aa98fdc9db3bfc4706579b2504e26fcd"),
+    ("ISC", "5fb628af212d6618ceee2210c60a5dee79b64f7c54d6cb2c7b40f19369024708"),
+    ("LGPL-2.0-only", "433a23e3de4c61d63a7cd44b933fd6eec329aee37d661739c41cbd8b38b8c6db"),
+    ("LGPL-2.1-only", "a39c86f886ec9c24ccb5d6e5f9218d2e1a091f8a1d18a8722ac6f9c8c93ad93f"),
+    ("LGPL-3.0-only", "aae2b222477171fb64e298e7965e768a9a6f85320646b266c94399ac029d42be"),
+    ("MIT", "0cf21bdfd1964a97a8615e128534845826afbc887edc95aa5c925cbf64386b5c"),
+    ("MIT", "35a446201226de6b27cfb7106d0f6c697f63bfeac2913dcf89024911e66ef164"),
+    ("MIT", "6733127d88b7d3bd59c42da120690dbdff1e658acf3fa3e2448092079ad6999a"),
+    ("MIT", "6ad3654379e72bbdf8478d5c90fb1e2525aba033fbe675e0ef2248aac67c0f6f"),
+    ("MIT", "6c833965e9ca4cf8095655005226f24fe8bf7b1605dbe513204837a7371fa127"),
+    ("MPL-1.1", "e0ef9dbd531e1144276348572887b7d756d42277c948f3a4f9d02d4634742d16"),
+    ("MPL-2.0", "4019e4c8fe9ede57c538b37b3332dc097a88c163e273bb6905d38316e63c2eb6"),
+    ("Python-2.0", "76735e9bf99255f269d39552722bd2fb6b7af62725e0fb38cb8a9ca9d548d66f"),
+    ("Python-2.0", "bcfb241f2f8d2be279b80c3bdfc79e12a2fe0185938f783a877a69f19748fc97"),
+    ("Python-2.0", "f82d93349f4f0e1d7f2c87bebb3d4cb39cb2450ff5dbe34f2bef30e9ad651257"),
+    ("Unlicense", "fd1b07be5f4f94926b6ea4df3943b05ab90c1a1f3b1a3d574ae7ab58bca58fff"),
+    ("Zlib", "1b8c5cd52eceb19ab0bc3cb40be110b1c0e7fa2671a3fe5866e59dd1502e69c7"),
+]

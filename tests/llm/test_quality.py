@@ -2,6 +2,7 @@
 
 import re
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -159,3 +160,29 @@ def test_template_copyright_lines_go(spark):
     rows = [(k, f"{title}\n\n{head}\n\n{body}") for k, head in enumerate(heads)] + [(9, f"{title}\nCopyright law protects this text and its readers\n{body}")]
     out = {r.doc_id: r.text_license for r in license_scan.scan(frame(spark, rows)).collect()}
     assert all(out[k] == "MIT" for k in range(4)) and out[9] is None
+
+
+def test_whole_licences_are_known_however_they_are_set():
+    from panelyx.llm.license_texts import DIGESTS
+
+    assert len(set(DIGESTS)) == len(DIGESTS) == len({d for _, d in DIGESTS}) and all(len(d) == 64 for _, d in DIGESTS)
+
+
+@pytest.mark.parametrize("name, license", [("Apache-2.0", "Apache-2.0"), ("GPL-2", "GPL-2.0-only"), ("MPL-2.0", "MPL-2.0"), ("LGPL-2.1", "LGPL-2.1-only"), ("CC0-1.0", "CC0-1.0")])
+def test_full_licence_texts(spark, name, license):
+    path = Path("/usr/share/common-licenses") / name
+    if not path.exists():
+        pytest.skip("this system ships no licence texts")
+    text = path.read_text(encoding="utf-8")
+    rows = [
+        (1, text), (2, "Copyright (c) 2031 Some One\n\n" + text.upper().replace(", ", " , ")), (3, text.replace("license", "licence").replace(" ", "  \t")),
+        (4, text.replace("the", "thy", 1)), (5, text + "\nAnd more."),
+    ]
+    out = {r.doc_id: r.text_license for r in license_scan.scan(frame(spark, rows)).collect()}
+    assert out == {1: license, 2: license, 3: license, 4: None, 5: None}
+
+
+def test_spellings_begin_at_words(spark):
+    rows = [(1, "super cent"), (2, "supercent"), (3, "ten per cent"), (4, "ten percent"), (5, "Licences"), (6, "licenses"), (7, "to fulfil\nit"), (8, "to fulfill it")]
+    d = {r.doc_id: r.text_digest for r in license_scan.scan(frame(spark, rows)).collect()}
+    assert d[1] != d[2] and d[3] == d[4] and d[5] == d[6] and d[7] == d[8]
