@@ -99,6 +99,14 @@ def orthogonalize(df: DataFrame, y: str, xs: list[str], weight: str, out: str, *
     return df.join(betas, date, "left").withColumn(out, F.col(y) - fitted).drop("__beta")
 
 
+def orthogonalize_on(df: DataFrame, dates: DataFrame, y: str, xs: list[str], weight: str, out: str, *, date: str = "td") -> DataFrame:
+    """orthogonalize on some dates alone, such as month ends (a small table); on all others the result is NULL."""
+    marked = df.join(F.broadcast(dates.select(date).distinct().withColumn("__on", F.lit(True))), date, "left")
+    kept = F.when(F.col("__on"), F.col(weight))
+    out_of = orthogonalize(marked.withColumn("__kept", kept), y, xs, "__kept", out, date=date)
+    return out_of.withColumn(out, F.when(F.col("__on"), F.col(out))).drop("__on", "__kept")
+
+
 def medcouple(x: np.ndarray) -> float:
     """Robust skewness: the median of h(a, b) = (a + b - 2 m) / (a - b) over values a >= median m >= b."""
     x = np.sort(np.asarray(x, float))

@@ -176,6 +176,11 @@ def fill_to_dates(f: DataFrame, days: DataFrame, *, days_valid: int = 366, quart
     return rows.filter(F.col("q") >= F.year("td") * 4 + F.quarter("td") - 1 - quarters_valid).select("td", "tk", "v")
 
 
+def delta_of_ratio(x: DataFrame, y: DataFrame, n: int = 12) -> DataFrame:
+    """Mean over n quarters of the year-on-year difference of x's trailing year over y."""
+    return window_stat(change(combine(trailing_year(x), y), 4, "diff"), "mean", n)
+
+
 #: Chains of the factor library: name, operators from the inside out, with their arguments.
 CHAINS = {
     "last": [],

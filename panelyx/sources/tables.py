@@ -21,6 +21,38 @@ def load(spark: SparkSession, path: str, columns: Iterable[str] | None = None, *
     return df.select(*columns) if columns else df
 
 
+def load_tree(spark: SparkSession, path: str, suffix: str = ".parquet", *, key: str | None = None, values: Iterable | None = None, **options) -> DataFrame:
+    """All files of a suffix below a folder, at any depth; rows whose key is among values, if given (the filter reaches the scan)."""
+    df = spark.read.options(recursiveFileLookup=True, pathGlobFilter=f"*{suffix}", **options).format(FORMATS[suffix]).load(path)
+    return df.filter(F.col(key).isin(list(values))) if key and values is not None else df
+
+
+def list_tables(spark: SparkSession, path: str) -> DataFrame:
+    """name, path and length of every file below a folder whose suffix is known; contents are not read."""
+    files = spark.read.option("recursiveFileLookup", True).format("binaryFile").load(path).select("path", "length")
+    suffix = F.concat(F.lit("."), F.substring_index("path", ".", -1))
+    return files.filter(suffix.isin(list(FORMATS))).select(F.regexp_extract("path", r"([^/]+)\.[^./]+$", 1).alias("name"), "path", "length")
+
+
+def stacked(features: dict[str, DataFrame], keys: list[str], value: str = "value") -> DataFrame:
+    """Features (keys and a value each) side by side, one column for each; a row for every key that any of them has."""
+    out = None
+    for name, df in features.items():
+        one = df.select(*keys, F.col(value).alias(name))
+        out = one if out is None else out.join(one, keys, "full")
+    return out
+
+
+def run_named(functions: dict, available: dict[str, DataFrame]) -> dict:
+    """Calls every function with the tables that its arguments name; results serve later functions under the function's name."""
+    from inspect import signature
+
+    held = dict(available)
+    for name, f in functions.items():
+        held[name] = f(**{a: held[a] for a in signature(f).parameters})
+    return {name: held[name] for name in functions}
+
+
 def days(df: DataFrame, start: str, end: str, date: str = "td") -> DataFrame:
     """Inclusive slice of dates; on a table partitioned by date only those partitions are read."""
     return df.filter(F.col(date).between(F.lit(start).cast("date"), F.lit(end).cast("date")))
@@ -76,8 +108,8 @@ def corrected_date(announced: Column, changed_at: Column, early_hour: int = 5) -
 
 
 def append_panel(spark: SparkSession, path: str, new: DataFrame, date: str = "td") -> None:
-    """Keeps stored rows before the first new date and adds the new ones, by replacing date partitions."""
+    """Replaces the stored rows of the dates that the new rows hold; all other stored dates stay."""
     new.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(date).parquet(path)
 
 
-__all__ = ["TableSpec", "append_panel", "corrected_date", "days", "keep_last", "load", "roll_back_sync", "run_all", "upsert_by_date"]
+__all__ = ["TableSpec", "append_panel", "corrected_date", "days", "keep_last", "list_tables", "load", "load_tree", "roll_back_sync", "run_all", "run_named", "stacked", "upsert_by_date"]

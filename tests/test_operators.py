@@ -142,3 +142,33 @@ def test_empty_panel(spark):
     p = panel(spark, [])
     assert xs.winsorize_mad(p, "x", "w").count() == 0 and backtest.quantile_groups(p, "x", 3).count() == 0
     assert pd.DataFrame(backtest.information_coefficient(p.withColumn("f", F.col("x")), "x", "f", "td").collect()).empty
+
+
+def test_trees_of_files_and_their_names(spark, tmp_path):
+    from panelyx.sources.tables import list_tables, load_tree
+
+    for k, name in enumerate(("a", "b/c", "b/d/e")):
+        folder = tmp_path / name
+        folder.parent.mkdir(parents=True, exist_ok=True)
+        spark.createDataFrame([(k, f"v{k}")], "k int, v string").toPandas().to_parquet(str(folder) + ".parquet")
+    (tmp_path / "note.txt").write_text("no table")
+    assert {r.k for r in load_tree(spark, str(tmp_path)).collect()} == {0, 1, 2}
+    assert {r.v for r in load_tree(spark, str(tmp_path), key="k", values=[1, 2]).collect()} == {"v1", "v2"}
+    assert {r.name for r in list_tables(spark, str(tmp_path)).collect()} == {"a", "c", "e"}
+
+
+def test_append_panel_replaces_the_dates_it_holds(spark, tmp_path):
+    from panelyx.sources.tables import append_panel
+
+    path = str(tmp_path / "panel")
+    rows = lambda *x: spark.createDataFrame(list(x), "td string, v int")
+    append_panel(spark, path, rows(("2024-01-01", 1), ("2024-01-02", 2), ("2024-01-03", 3)))
+    append_panel(spark, path, rows(("2024-01-02", 20), ("2024-01-04", 4)))
+    assert {(str(r.td), r.v) for r in spark.read.parquet(path).collect()} == {("2024-01-01", 1), ("2024-01-02", 20), ("2024-01-03", 3), ("2024-01-04", 4)}
+
+
+def test_functions_are_bound_by_the_names_of_their_arguments(spark):
+    from panelyx.sources.tables import run_named
+
+    out = run_named({"twice": lambda base: base.selectExpr("x * 2 as x"), "both": lambda base, twice: base.unionByName(twice)}, {"base": spark.range(3).toDF("x")})
+    assert sorted(r.x for r in out["both"].collect()) == [0, 0, 1, 2, 2, 4]
