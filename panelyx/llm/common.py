@@ -19,10 +19,13 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 
 def shared_checkpoints(spark: SparkSession) -> None:
-    """Use the folder that the session names in spark.checkpoint.dir; a temporary one only where none is set."""
+    """Use the folder that the session names in spark.checkpoint.dir; a temporary one where none is set and all runs on one machine."""
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="checkpoints-"))
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if not folder and not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="checkpoints-"))
 
 
 def cut(df: DataFrame) -> DataFrame:

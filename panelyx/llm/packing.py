@@ -68,7 +68,8 @@ class WordIds(dict):
             file.get("normalizer") == NORMALIZER and file.get("pre_tokenizer") == PRE_TOKENIZER and file["model"].get("type") == "BPE"
             and not file.get("truncation") and not file.get("padding") and not any(t["normalized"] or t["lstrip"] or t["rstrip"] for t in added)
         )
-        self.added = regex.compile("|".join(regex.escape(t["content"]) for t in added)) if added else None
+        # str.split() also cuts at four control characters that are no white space for the tokenizer
+        self.apart = ("\x1c", "\x1d", "\x1e", "\x1f", *(t["content"] for t in added))
         self.limit, self.old, self.pre = limit, {}, {}
         self.plain = regex.compile("[\x21-\x7e\xa1-\u012f\u0131-\u017f]+")
         self.pattern = regex.compile(PATTERN)
@@ -104,8 +105,7 @@ class WordIds(dict):
         return ids
 
     def ids(self, text: str) -> bytes:
-        # str.split() also cuts at four control characters that are no white space for the tokenizer
-        if not self.known or any(c in text for c in "\x1c\x1d\x1e\x1f") or self.added and self.added.search(text):
+        if not self.known or any(c in text for c in self.apart):
             return self.whole(text)
         return b"".join(map(self.__getitem__, text.split()))
 
