@@ -16,15 +16,15 @@ from .roles import DENSE_FACTS, ESTIMATES, FACTS, WEEKLY, dense_facts, estimates
 DAILY = ["open", "high", "low", "close", "volume", "amount"]
 
 
-@query("daily_bar", f"WITH {WEEKLY}, o AS (SELECT td, tk, open * (1 + ix / 128.0::DOUBLE) AS open, high * (1 + ix / 128.0::DOUBLE) AS high, low * (1 + ix / 128.0::DOUBLE) AS low, close * (1 + ix / 128.0::DOUBLE) AS close, ln(1 + volume) AS volume, ln(1 + amount) AS amount FROM wk) " + sql_tidy("td, tk", DAILY, "o", 8))
+@query("daily_bar", f"WITH {WEEKLY}, o AS (SELECT td, tk, open * sqrt(1 + ix) AS open, high * sqrt(1 + ix) AS high, low * sqrt(1 + ix) AS low, close * sqrt(1 + ix) AS close, ln(1 + volume) AS volume, ln(1 + amount) AS amount FROM wk) " + sql_tidy("td, tk", DAILY, "o", 5))
 def daily_bar(spark, sf_dir):
-    return tidy(bars.daily(weekly(spark, sf_dir).withColumn("adj", 1 + F.col("ix") / 128.0), "adj"), KEYS, DAILY, 8)
+    return tidy(bars.daily(weekly(spark, sf_dir).withColumn("adj", F.sqrt(1 + F.col("ix"))), "adj"), KEYS, DAILY, 5)
 
 
-@query("weekly_vwap", f"WITH {WEEKLY}, x AS (SELECT *, count(*) OVER t AS n, sum(CASE WHEN tk % 4 = 0 THEN 0 ELSE amount END) OVER t AS a5, sum(volume) OVER t AS v5 FROM wk WINDOW t AS {TRAIL(5)}), o AS (SELECT td, tk, CASE WHEN a5 > 0 THEN a5 / v5 ELSE close END AS vwap5 FROM x WHERE n = 5) " + sql_tidy("td, tk", ["vwap5"], "o", 9))
+@query("weekly_vwap", f"WITH {WEEKLY}, x AS (SELECT *, count(*) OVER t AS n, sum(CASE WHEN tk % 4 = 0 THEN 0 ELSE amount END) OVER t AS a5, sum(volume) OVER t AS v5 FROM wk WINDOW t AS {TRAIL(5)}), o AS (SELECT td, tk, ln(CASE WHEN a5 > 0 THEN a5 / v5 ELSE close END) AS log_vwap5 FROM x WHERE n = 5) " + sql_tidy("td, tk", ["log_vwap5"], "o"))
 def weekly_vwap(spark, sf_dir):
     p = weekly(spark, sf_dir).withColumn("amount", F.when(F.col("tk") % 4 == 0, F.lit(0.0)).otherwise(F.col("amount")))
-    return tidy(bars.weekly_vwap(p, 5).filter("vwap5 is not null"), KEYS, ["vwap5"], 9)
+    return tidy(bars.weekly_vwap(p, 5).filter("vwap5 is not null").withColumn("log_vwap5", F.log("vwap5")), KEYS, ["log_vwap5"])
 
 
 @query("residual_month_end", f"""WITH {MOM}, fl AS (SELECT td FROM (SELECT td, lead(month(td)) OVER (ORDER BY td) <> month(td) AS e FROM cal) WHERE e), s AS (SELECT m.*, ln(amount) AS x FROM m JOIN fl USING (td) WHERE mom IS NOT NULL),
