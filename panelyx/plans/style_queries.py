@@ -16,9 +16,9 @@ from .roles import DENSE_FACTS, ESTIMATES, FACTS, WEEKLY, dense_facts, estimates
 DAILY = ["open", "high", "low", "close", "volume", "amount"]
 
 
-@query("daily_bar", f"WITH {WEEKLY}, o AS (SELECT td, tk, open * sqrt(1 + ix) AS open, high * sqrt(1 + ix) AS high, low * sqrt(1 + ix) AS low, close * sqrt(1 + ix) AS close, ln(1 + volume) AS volume, ln(1 + amount) AS amount FROM wk) " + sql_tidy("td, tk", DAILY, "o", 5))
+@query("daily_bar", f"WITH {WEEKLY}, o AS (SELECT td, tk, open * sqrt(2 + ix * ix) AS open, high * sqrt(2 + ix * ix) AS high, low * sqrt(2 + ix * ix) AS low, close * sqrt(2 + ix * ix) AS close, ln(1 + volume) AS volume, ln(1 + amount) AS amount FROM wk) " + sql_tidy("td, tk", DAILY, "o", 3))
 def daily_bar(spark, sf_dir):
-    return tidy(bars.daily(weekly(spark, sf_dir).withColumn("adj", F.sqrt(1 + F.col("ix"))), "adj"), KEYS, DAILY, 5)
+    return tidy(bars.daily(weekly(spark, sf_dir).withColumn("adj", F.sqrt(2 + F.col("ix") * F.col("ix"))), "adj"), KEYS, DAILY, 3)
 
 
 @query("weekly_vwap", f"WITH {WEEKLY}, x AS (SELECT *, count(*) OVER t AS n, sum(CASE WHEN tk % 4 = 0 THEN 0 ELSE amount END) OVER t AS a5, sum(volume) OVER t AS v5 FROM wk WINDOW t AS {TRAIL(5)}), o AS (SELECT td, tk, ln(CASE WHEN a5 > 0 THEN a5 / v5 ELSE close END) AS log_vwap5 FROM x WHERE n = 5) " + sql_tidy("td, tk", ["log_vwap5"], "o"))
