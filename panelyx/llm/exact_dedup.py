@@ -42,8 +42,8 @@ def _winner(rank: Column) -> Column:
     return F.when(order > 0, _whole(_TOP) - order).cast("long")
 
 
-def exact_groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", salts: int | None = None) -> DataFrame:
-    """One row per row of docs: doc_id, keep_id, group_size, kept, text_sha256. salts: 4 for each shuffle partition unless given."""
+def _judged(docs: DataFrame, id_col: str, text_col: str, salts: int | None) -> DataFrame:
+    """One row per row of docs: doc_id, digest, keep_id, keep_n (code points of the text that stays), group_size."""
     salts = salts or 4 * shuffle_partitions(docs.sparkSession)
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("t")).select(
@@ -64,10 +64,15 @@ def exact_groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
         texts.select(*key, "rank", "size")
         .groupBy(*names)
         .agg(F.max("rank").alias("rank"), F.max("size").alias("size"), F.count("*").alias("contents"))
-        .select(*names, _winner(F.col("rank")).alias("keep_id"), F.when(F.col("contents") > 1, F.raise_error(F.lit("two contents share a digest")).cast("long")).otherwise(F.col("size")).alias("group_size"))
+        .select(*names, _winner(F.col("rank")).alias("keep_id"), F.floor(F.col("rank") / _whole(_SHIFT)).cast("int").alias("keep_n"), F.when(F.col("contents") > 1, F.raise_error(F.lit("two contents share a digest")).cast("long")).otherwise(F.col("size")).alias("group_size"))
     )
     salted = members.select(*names, "salt").distinct().join(verdicts, names)
-    return members.join(salted, [*names, "salt"]).select(
+    return members.join(salted, [*names, "salt"]).select("doc_id", "digest", "keep_id", "keep_n", "group_size")
+
+
+def exact_groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", salts: int | None = None) -> DataFrame:
+    """One row per row of docs: doc_id, keep_id, group_size, kept, text_sha256. salts: 4 for each shuffle partition unless given."""
+    return _judged(docs, id_col, text_col, salts).select(
         "doc_id", "keep_id", "group_size",
         F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"),
         F.lower(F.hex("digest")).alias("text_sha256"),
@@ -75,16 +80,23 @@ def exact_groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
 
 
 def deduplicate(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", salts: int | None = None) -> DataFrame:
-    """docs with one row of every group of equal texts; all columns of docs and no others."""
-    own = "__exact_dedup_digest"
-    winners = exact_groups(docs, id_col=id_col, text_col=text_col, salts=salts).filter("kept").select(F.col("doc_id").alias("__w_id"), F.unhex("text_sha256").alias("__w_digest"))
-    digest = F.unhex(F.sha2(without_white(F.coalesce(F.col(text_col), F.lit(""))), 256))
-    return (
-        docs.withColumn(own, digest)
-        .join(winners, F.col(id_col).cast("long").eqNullSafe(F.col("__w_id")) & (F.col(own) == F.col("__w_digest")), "left_semi")
-        .dropDuplicates([own])
-        .select(*docs.columns)
-    )
+    """docs with one row of every group of equal texts; all columns of docs and no others.
+
+    A digest has one winner, so id, length and digest together name a group: rows are shuffled once, by the keys of the join,
+    and the repeats of a winning row are dropped where they lie.
+    """
+    prefix = "__own"
+    while any(c.lower().startswith(prefix) for c in docs.columns):
+        prefix = "_" + prefix
+    own, won = ([f"{prefix}_{side}_{c}" for c in ("id", "null", "n", "digest")] for side in ("row", "winner"))
+    named = lambda names, id_, n, digest: [c.alias(x) for c, x in zip((F.coalesce(id_, F.lit(0)), id_.isNull(), n, digest), names, strict=True)]
+    judged = _judged(docs, id_col, text_col, salts).filter(F.col("doc_id").eqNullSafe(F.col("keep_id")))
+    winners = judged.select(*named(won, F.col("doc_id"), F.col("keep_n"), F.col("digest")))
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    # never null, and said so: the join needs no filter that would take the digest twice
+    digest = F.coalesce(F.unhex(F.sha2(without_white(text), 256)), F.lit(b""))
+    rows = docs.select("*", *named(own, F.col(id_col).cast("long"), F.char_length(text), digest))
+    return rows.join(winners, [rows[a] == winners[b] for a, b in zip(own, won, strict=True)], "left_semi").dropDuplicates(own).drop(*own)
 
 
 def query(spark, sf_dir: str) -> DataFrame:

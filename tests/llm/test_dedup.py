@@ -39,6 +39,20 @@ def test_exact_deduplicate_keeps_columns_and_one_row_of_each_text(spark):
     assert exact_dedup.exact_groups(empty(spark)).count() == 0 and exact_dedup.deduplicate(empty(spark)).count() == 0
 
 
+def test_exact_deduplicate_keeps_the_winners(spark):
+    rows = [(None, "a b"), (None, "ab"), (3, "ab "), (3, "ab "), (None, "zz"), (None, "z z"), (0, "yy"), (None, "y\ty"), (7, None), (8, "")]
+    out = exact_dedup.deduplicate(frame(spark, rows, ["__own_row_id", "__w_id", "__exact_dedup_digest"]))
+    assert out.columns[-3:] == ["__own_row_id", "__w_id", "__exact_dedup_digest"]
+    assert sorted(map(repr, ((r.doc_id, r.text) for r in out.collect()))) == sorted(map(repr, [(3, "ab "), (None, "z z"), (None, "y\ty"), (7, None)]))
+
+
+def test_exact_deduplicate_shuffles_whole_rows_once(spark):
+    docs = frame(spark, awkward_rows())
+    plan = exact_dedup.deduplicate(docs)._jdf.queryExecution().executedPlan().toString()
+    top = plan.index("Exchange")
+    assert plan[:top].count("SortMergeJoin") + plan[:top].count("ShuffledHashJoin") + plan[:top].count("BroadcastHashJoin") == 1
+
+
 def brute_components(rows, percent=85):
     def shingles(t):
         w = [re.sub("[A-Z]", lambda m: m[0].lower(), x) for x in WORD.findall(t or "")]
