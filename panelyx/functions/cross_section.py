@@ -107,33 +107,105 @@ def orthogonalize_on(df: DataFrame, dates: DataFrame, y: str, xs: list[str], wei
     return out_of.withColumn(out, F.when(F.col("__on"), F.col(out))).drop("__on", "__kept")
 
 
-def medcouple(x: np.ndarray) -> float:
-    """Robust skewness: the median of h(a, b) = (a + b - 2 m) / (a - b) over values a >= median m >= b."""
-    x = np.sort(np.asarray(x, float))
-    m = np.median(x)
-    high, low = x[x >= m], x[x <= m]
-    difference = high[:, None] - low[None, :]
-    with np.errstate(divide="ignore", invalid="ignore"):
-        h = (high[:, None] + low[None, :] - 2 * m) / difference
-    ties = int((x == m).sum())
-    if ties:
-        i, j = np.meshgrid(np.arange(len(high)), np.arange(len(low)), indexing="ij")
-        both = difference == 0
-        # among values equal to the median the kernel is a sign pattern
-        h[both] = np.sign(i[both] + (len(low) - 1 - j[both]) * -1 + 0.0)
-    return float(np.median(h))
+def _select(x: np.ndarray, y: np.ndarray, k: int) -> float:
+    """The k-th smallest (from 0) of (x - y) / (x + y) over all pairs of positive x and y, in memory of the order of both.
+
+    Rows of x, columns of y falling: values rise along each row, so that a row's part below a pivot ends at one place. The
+    pivot is the weighted median of the rows' middles, which removes a quarter of what is left, at least.
+    """
+    y = np.sort(y)[::-1]
+    n = len(y)
+    low, high = np.zeros(len(x), np.int64), np.full(len(x), n, np.int64)
+    value = lambda rows, cols: (x[rows] - y[cols]) / (x[rows] + y[cols])
+    every = np.arange(len(x))
+
+    def places(pivot: float, or_equal: bool) -> np.ndarray:
+        a, b = np.zeros(len(x), np.int64), np.full(len(x), n, np.int64)
+        while (open_ := a < b).any():
+            rows = every[open_]
+            mid = (a[open_] + b[open_]) // 2
+            h = value(rows, mid)
+            below = h <= pivot if or_equal else h < pivot
+            a[rows[below]] = mid[below] + 1
+            b[rows[~below]] = mid[~below]
+        return a
+
+    while (left := int((high - low).sum())) > 4 * (len(x) + n):
+        rows = every[high > low]
+        middles, weights = value(rows, (low[rows] + high[rows]) // 2), (high - low)[rows]
+        order = np.argsort(middles, kind="stable")
+        at = np.searchsorted(np.cumsum(weights[order]), (left + 1) // 2)
+        pivot = float(middles[order[at]])
+        under, up_to = places(pivot, False), places(pivot, True)
+        if k < under.sum():
+            high = np.minimum(high, under)
+        elif k >= up_to.sum():
+            low = np.maximum(low, up_to)
+        else:
+            return pivot
+    counts = np.maximum(high - low, 0)
+    rows = np.repeat(every, counts)
+    cols = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts) + np.repeat(low, counts)
+    rest = value(rows, cols)
+    at = k - int(low.sum())
+    return float(np.partition(rest, at)[at])
+
+
+def medcouple(values: np.ndarray) -> float:
+    """Robust skewness: the median of h(a, b) = (a + b - 2 m) / (a - b) over values a >= median m >= b.
+
+    Among the p values equal to the median the kernel is -1, 0 or 1 by their order: p zeros, and as many of 1 as of -1. With x = a - m
+    and y = m - b the kernel is (x - y) / (x + y), of which only the middle is looked for; no matrix of pairs is built.
+    """
+    v = np.asarray(values, float)
+    if not len(v):
+        return float("nan")
+    m = float(np.median(v))
+    x, y, p = np.sort(v[v > m] - m), np.sort(m - v[v < m]), int((v == m).sum())
+    ties = p * (p - 1) // 2
+    low, inner, high = p * len(y) + ties, len(x) * len(y), p * len(x) + ties
+    negative, upto_zero = int((len(y) - np.searchsorted(y, x, "right")).sum()), int((len(y) - np.searchsorted(y, x, "left")).sum())
+
+    def ranked(k: int) -> float:
+        if k < low:
+            return -1.0
+        k -= low
+        if k < negative:
+            return _select(x, y, k)
+        if k < upto_zero + p:
+            return 0.0
+        return _select(x, y, k - p) if k - p < inner else 1.0
+
+    total = low + inner + high + p
+    return (ranked((total - 1) // 2) + ranked(total // 2)) / 2
+
+
+def box_limits(values: np.ndarray) -> list[float] | None:
+    """Lower and upper end of the skewness-adjusted box; None for ten values or fewer."""
+    v = values[~np.isnan(values)]
+    if len(v) <= 10:
+        return None
+    q1, q3 = np.quantile(v, [0.25, 0.75])
+    mc = medcouple(v)
+    down, up = (-3.5, 4.0) if mc >= 0 else (-4.0, 3.5)
+    return [float(q1 - 1.5 * np.exp(down * mc) * (q3 - q1)), float(q3 + 1.5 * np.exp(up * mc) * (q3 - q1))]
+
+
+def winsorize_boxes(df: DataFrame, cols: list[str], *, by: tuple[str, ...] = ("td",)) -> DataFrame:
+    """Every column clipped to its skewness-adjusted box: q1 - 1.5 e^(kl mc) iqr to q3 + 1.5 e^(ku mc) iqr; dates of ten values or fewer stay.
+
+    One window over the date serves all columns, and df is not joined with itself.
+    """
+
+    @F.pandas_udf("array<double>")
+    def limits(x: pd.Series) -> list:
+        return box_limits(x.to_numpy(float))
+
+    df = df.withColumns({f"__box_{c}": limits(F.col(c).cast("double")).over(_by(*by)) for c in cols})
+    ends = lambda c: (F.element_at(f"__box_{c}", 1), F.element_at(f"__box_{c}", 2))
+    clipped = lambda c: F.when(F.col(f"__box_{c}").isNull() | F.col(c).isNull(), F.col(c)).otherwise(F.least(F.greatest(F.col(c), ends(c)[0]), ends(c)[1]))
+    return df.withColumns({c: clipped(c) for c in cols}).drop(*(f"__box_{c}" for c in cols))
 
 
 def winsorize_box(df: DataFrame, col: str, out: str, *, by: tuple[str, ...] = ("td",)) -> DataFrame:
-    """Skewness-adjusted box: q1 - 1.5 e^(kl mc) iqr to q3 + 1.5 e^(ku mc) iqr; dates of ten values or fewer stay."""
-
-    @F.pandas_udf("double")
-    def mc(x: pd.Series) -> float:
-        return medcouple(x.dropna().to_numpy()) if x.notna().sum() > 10 else float("nan")
-
-    stats = df.groupBy(*by).agg(mc(F.col(col)).alias("__mc")).join(df.groupBy(*by).agg(F.percentile(col, F.array(F.lit(0.25), F.lit(0.75))).alias("__q")), list(by))
-    q1, q3, c = F.element_at("__q", 1), F.element_at("__q", 2), F.col("__mc")
-    low = q1 - 1.5 * F.exp(F.when(c >= 0, -3.5 * c).otherwise(-4.0 * c)) * (q3 - q1)
-    high = q3 + 1.5 * F.exp(F.when(c >= 0, 4.0 * c).otherwise(3.5 * c)) * (q3 - q1)
-    bounded = F.when(F.isnan(c) | c.isNull(), F.col(col)).otherwise(F.least(F.greatest(F.col(col), low), high))
-    return df.join(stats, list(by), "left").withColumn(out, bounded).drop("__mc", "__q")
+    return winsorize_boxes(df.withColumn(out, F.col(col)), [out], by=by)

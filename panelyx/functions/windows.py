@@ -5,7 +5,7 @@ Frames are RANGE frames over ix, so that "n rows ago" means n calendar positions
 
 from __future__ import annotations
 
-from pyspark.sql import Column, Window, WindowSpec
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 
@@ -66,3 +66,29 @@ def rolling_regression(y: str, x: str, n: int, min_periods: int, **roles) -> tup
     enough = (m >= min_periods) & (m > 2) & (sxx > 1e-12)
     slope = F.when(enough, sxy / sxx)
     return slope, F.when(enough, (syy - sxy * sxy / sxx) / (m - 2) / sxx)
+
+
+def rolling_residual_std(df: DataFrame, y: str, xs: list[str], n: int, min_periods: int, out: str, **roles) -> DataFrame:
+    """df with the population deviation of y's residuals from a regression on several columns and a constant over the window.
+
+    The window's cross products (constant, columns, y) are eliminated column by column: each stage takes one regressor out of
+    all products that are left, and what remains of y * y is the sum of squared residuals. A regressor that the ones before
+    explain takes nothing out. Column expressions only; NULL under min_periods complete rows.
+    """
+    terms = [None, *xs, y]
+    k, w = len(terms) - 1, trailing(n, **roles)
+    complete = F.col(y).isNotNull()
+    for x in xs:
+        complete = complete & F.col(x).isNotNull()
+    value = lambda i: F.lit(1.0) if terms[i] is None else F.col(terms[i]).cast("double")
+    name = lambda i, j: f"__s{min(i, j)}_{max(i, j)}"
+    pairs = [(i, j) for i in range(k + 1) for j in range(i, k + 1)]
+    df = df.withColumns({name(i, j): F.sum(F.when(complete, value(i) * value(j))).over(w) for i, j in pairs})
+    df = df.withColumns({f"__o{i}": F.col(name(i, i)) for i in range(k)})
+    for p in range(k):
+        pivot = F.when(F.col(name(p, p)) > 1e-10 * F.col(f"__o{p}"), 1 / F.col(name(p, p))).otherwise(F.lit(0.0))
+        df = df.withColumn("__pivot", pivot)
+        df = df.withColumns({name(i, j): F.col(name(i, j)) - F.col(name(p, i)) * F.col(name(p, j)) * F.col("__pivot") for i, j in pairs if i > p})
+    enough = F.col("__o0") >= max(min_periods, k + 1)
+    std = F.sqrt(F.greatest(F.col(name(k, k)), F.lit(0.0)) / F.col("__o0"))
+    return df.withColumn(out, F.when(enough, std)).drop("__pivot", *(name(i, j) for i, j in pairs), *(f"__o{i}" for i in range(k)))

@@ -96,7 +96,7 @@ def window_stat(f: DataFrame, stat: str, n: int = 4) -> DataFrame:
     usable = F.when(sd > 1e-12, sd)
     if stat == "cagr":
         held = F.filter(h, lambda x: x["v"] != 0)
-        a, b = F.element_at(held, 1), F.element_at(held, -1)
+        a, b = F.try_element_at(held, F.lit(1)), F.try_element_at(held, F.lit(-1))
         ratio = b["v"] / a["v"]
         years = (b["q"] - a["q"]) / 4.0
         return _as_facts(rows.filter(F.size(held) >= 2), F.when((ratio > 0) & (years > 0), F.pow(ratio, 1 / years) - 1))

@@ -4,8 +4,6 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -44,32 +42,8 @@ def shrunk_beta(df: DataFrame, beta: str, se2: str, weight: str, group: str, out
 
 
 def residual_volatility(df: DataFrame, y: str, xs_: list[str], n: int, min_periods: int, out: str = "ivol") -> DataFrame:
-    """Rolling regression of y on several factors and a constant: population deviation of the residuals.
-
-    Window sums of cross products are built by Spark; only each row's small linear system is solved in Arrow batches.
-    """
-    k = len(xs_) + 1
-    w = win.trailing(n)
-    names = [*xs_, None]
-    held = F.col(y).isNotNull()
-    for x in xs_:
-        held = held & F.col(x).isNotNull()
-    col = lambda x: F.lit(1.0) if x is None else F.col(x)
-    total = lambda v: F.sum(F.when(held, v)).over(w)
-    df = df.withColumn("__a", F.array(*(total(col(a) * col(b)) for a in names for b in names))).withColumn("__b", F.array(*(total(col(a) * F.col(y)) for a in names)))
-    df = df.withColumn("__yy", total(F.col(y) * F.col(y))).withColumn("__n", F.count(F.when(held, 1)).over(w))
-
-    @F.pandas_udf("double")
-    def solve(a: pd.Series, b: pd.Series, yy: pd.Series, n: pd.Series) -> pd.Series:
-        out = np.full(len(a), np.nan)
-        for i, (m, v, s, count) in enumerate(zip(a, b, yy, n, strict=True)):
-            if count >= max(min_periods, k + 1):
-                m = np.asarray(m, float).reshape(k, k)
-                beta = np.linalg.lstsq(m, np.asarray(v, float), rcond=None)[0]
-                out[i] = max(s - float(beta @ np.asarray(v, float)), 0.0) / count
-        return pd.Series(np.sqrt(out))
-
-    return df.withColumn(out, solve("__a", "__b", "__yy", "__n")).withColumn(out, F.when(~F.isnan(out), F.col(out))).drop("__a", "__b", "__yy", "__n")
+    """Rolling regression of y on several factors and a constant: population deviation of the residuals."""
+    return win.rolling_residual_std(df, y, xs_, n, min_periods, out)
 
 
 def listed_days(days: DataFrame, listings: DataFrame, entity: str, listed: str, delisted: str) -> DataFrame:
@@ -80,6 +54,46 @@ def listed_days(days: DataFrame, listings: DataFrame, entity: str, listed: str,
     return rows.select("td", "tk", F.datediff("td", "__a").alias("listed_days"))
 
 
+def institution_share(holdings: DataFrame, float_shares: DataFrame, days: DataFrame, *, unit: float = 10_000.0) -> DataFrame:
+    """td, tk, v: what institutions hold of each name's float, from half-yearly reports.
+
+    holdings: tk, end_dt (end of the period), ann_dt, quantity. Reports of 30 June count from 31 August on, those of
+    31 December from 30 April on; later announcements do not count, other periods neither. Each of these days is moved back to the last
+    calendar date. A date on which no name has a value takes all values of the date before it; so a date's values come from the last
+    date with any, and a name without one there has none.
+    float_shares: td, tk, shares.
+    """
+    from .joins import interval_join, snap_back
+
+    end, year = F.to_date("end_dt"), F.year("end_dt")
+    known = F.when((F.month(end) == 12) & (F.dayofmonth(end) == 31), F.make_date(year + 1, F.lit(4), F.lit(30))).when((F.month(end) == 6) & (F.dayofmonth(end) == 30), F.make_date(year, F.lit(8), F.lit(31)))
+    rows = holdings.select("tk", "quantity", F.to_date("ann_dt").alias("ann"), known.alias("known")).filter("known >= ann and tk is not null and quantity is not null")
+    sums = rows.groupBy("known", "tk").agg(F.sum("quantity").alias("quantity"))
+    # what lies beyond the calendar's last date is not known yet
+    newest = days.agg(F.max("td").alias("__to"))
+    sums = sums.join(F.broadcast(newest), F.col("known") <= F.col("__to")).drop("__to")
+    placed = snap_back(sums, days, "known", out="td").filter("td is not null").groupBy("td", "tk").agg(F.sum("quantity").alias("quantity"))
+    own = placed.join(float_shares.filter("shares > 0").select("td", "tk", "shares"), ["td", "tk"]).select(F.col("td").alias("__held"), "tk", (F.col("quantity") / F.col("shares") / unit).alias("v"))
+    # two dates a year at most: a small table
+    spans = own.select("__held").distinct().withColumn("__gone", F.date_sub(F.lead("__held").over(Window.orderBy("__held")), 1))
+    each = interval_join(days.select("td"), spans, "__held", "__gone")
+    return own.join(F.broadcast(each), "__held").select("td", "tk", "v")
+
+
+def state_share(capital: DataFrame, days: DataFrame) -> DataFrame:
+    """td, tk, v: the state's part of a name's shares, on the last calendar date up to each announcement.
+
+    capital: tk, ann_dt, change_dt, state (shares of the state, all kinds), total. Of one announcement date the row with the latest change
+    counts, of several announcements on one calendar date the latest.
+    """
+    from .joins import snap_back
+
+    rows = capital.select("tk", F.to_date("ann_dt").alias("ann"), F.to_date("change_dt").alias("change"), F.try_divide("state", "total").alias("ratio"), "state", "total")
+    newest = rows.groupBy("tk", "ann").agg(F.max_by("ratio", F.struct("change", "total", "state")).alias("ratio"))
+    placed = snap_back(newest, days, "ann", out="td").filter("td is not null")
+    return placed.groupBy("td", "tk").agg(F.max_by("ratio", "ann").alias("v"))
+
+
 def carried(value: str, limit: int) -> Column:
     """The last value of the trailing limit + 1 positions."""
     return F.last(value, ignorenulls=True).over(win.trailing(limit + 1))

@@ -175,11 +175,6 @@ def orthogonal_factor(spark, sf_dir):
     return tidy(xs.orthogonalize(p, "mom", ["x1", "x2", "x3"], "volume", "residual").filter("residual is not null"), KEYS, ["residual"], 3)
 
 
-@query("box_winsor")
-def box_winsor(spark, sf_dir):
-    return tidy(xs.winsorize_box(momentum(spark, sf_dir).filter("mom is not null"), "mom", "w"), KEYS, ["w"])
-
-
 NATION = "JOIN (SELECT CAST(s_suppkey AS INTEGER) AS sk, s_nationkey, s_acctbal FROM supplier) ON tk = sk"
 
 

@@ -48,13 +48,6 @@ def non_linear_size(spark, sf_dir):
     return tidy(risk.non_linear_size(base(spark, sf_dir), "size", "cap"), KEYS, ["nls"], 3)
 
 
-@query("residual_volatility")
-def residual_volatility(spark, sf_dir):
-    """Deviation of returns around a rolling regression on the market and its square."""
-    p = returns(spark, sf_dir).withColumn("m", F.avg("ret").over(Window.partitionBy("td"))).withColumn("m2", F.col("m") * F.col("m"))
-    return tidy(risk.residual_volatility(p, "ret", ["m", "m2"], 52, 26).filter("ivol is not null"), KEYS, ["ivol"], 3)
-
-
 @query("listed_days", f"WITH {WEEKLY}, l AS (SELECT o_custkey AS tk, CAST(min(o_orderdate) AS DATE) AS a, CAST(max(o_orderdate) AS DATE) AS z FROM orders GROUP BY o_custkey) SELECT td, tk, CAST(td - a AS INTEGER) AS listed_days FROM cal JOIN l ON td BETWEEN a AND z")
 def listed_days(spark, sf_dir):
     l = table(spark, sf_dir, "orders").groupBy(F.col("o_custkey").alias("ck")).agg(F.min("o_orderdate").alias("a"), F.max("o_orderdate").alias("z"))  # noqa: E741

@@ -17,17 +17,21 @@ def trading_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joins.calendar(table(spark, sf_dir, "lineitem").select(F.date_trunc("week", "l_shipdate").alias("td")))
 
 
-def weekly(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """td (week), tk (supplier), ix, open, high, low, close, volume, amount, vwap, ret (close over the week before)."""
+def bars(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """td (week), tk (supplier), open, high, low, close, volume, amount."""
     line = table(spark, sf_dir, "lineitem").select("l_suppkey", "l_shipdate", "l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice")
     line = line.withColumn("u", F.col("l_extendedprice") / F.col("l_quantity"))
     order = F.struct("l_shipdate", "l_orderkey", "l_linenumber", "u")
-    bars = line.groupBy(F.to_date(F.date_trunc("week", "l_shipdate")).alias("td"), F.col("l_suppkey").cast("int").alias("tk")).agg(
+    return line.groupBy(F.to_date(F.date_trunc("week", "l_shipdate")).alias("td"), F.col("l_suppkey").cast("int").alias("tk")).agg(
         F.min_by("u", order).alias("open"), F.max("u").alias("high"), F.min("u").alias("low"), F.max_by("u", order).alias("close"),
         F.sum("l_quantity").alias("volume"), F.sum("l_extendedprice").alias("amount"),
     )
+
+
+def weekly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """bars with ix and vwap."""
     # a calendar has at most some ten thousand rows
-    return bars.join(F.broadcast(trading_days(spark, sf_dir).select("td", "ix")), "td").withColumn("vwap", F.col("amount") / F.col("volume"))
+    return bars(spark, sf_dir).join(F.broadcast(trading_days(spark, sf_dir).select("td", "ix")), "td").withColumn("vwap", F.col("amount") / F.col("volume"))
 
 
 #: The same panel for DuckDB, as common table expressions wk (panel) and cal (calendar).
