@@ -34,12 +34,19 @@ def with_index(panel: DataFrame, date: str = "td") -> DataFrame:
 
 
 def snap_back(events: DataFrame, days: DataFrame, date: str, *, strictly: bool = False, out: str = "td") -> DataFrame:
-    """Replace a date by the latest calendar date up to it (strictly: before it). A scan over merged dates, no range join."""
-    marks = events.select(F.to_date(date).alias("__d")).distinct().withColumn("__k", F.lit(0 if strictly else 1)).unionByName(days.select(F.to_date("td").alias("__d"), F.lit(1 if strictly else 0).alias("__k")))
-    own = F.when(F.col("__k") == (1 if strictly else 0), F.col("__d"))
-    last = F.last(own, ignorenulls=True).over(Window.orderBy("__d", "__k").rowsBetween(Window.unboundedPreceding, 0))
-    found = marks.withColumn("__to", last).filter(F.col("__k") == (0 if strictly else 1)).select("__d", "__to")
-    return events.join(found, F.to_date(events[date]) == found["__d"], "left").withColumn(out, F.col("__to")).drop("__d", "__to")
+    """Replace a date by the latest calendar date up to it (strictly: before it); NULL before the calendar's beginning.
+
+    The calendar is stretched to every day of its span (some ten thousand rows) and broadcast, so that events are read once and not
+    shuffled; later days count as its last.
+    """
+    w = Window.orderBy("td")
+    each = days.select(F.to_date("td").alias("__to")).withColumn("td", F.col("__to")).withColumn("__next", F.coalesce(F.date_sub(F.lead("td").over(w), 1), F.col("td")))
+    each = each.select("__to", F.explode(F.sequence("__to", "__next")).alias("__d"))
+    newest = days.agg(F.max(F.to_date("td")).alias("__hi"))
+    day = F.date_sub(F.to_date(events[date]), 1) if strictly else F.to_date(events[date])
+    marked = events.withColumn("__day", day).join(F.broadcast(newest)).withColumn("__day", F.least("__day", "__hi"))
+    marked = marked.withColumn("__day", F.when(F.to_date(F.col(date)).isNotNull(), F.col("__day"))).drop("__hi")
+    return marked.join(F.broadcast(each), F.col("__day") == F.col("__d"), "left").withColumn(out, F.col("__to")).drop("__d", "__to", "__day")
 
 
 def shift_dates(events: DataFrame, days: DataFrame, date: str, n: int = 1, *, out: str = "td") -> DataFrame:

@@ -20,16 +20,23 @@ def facts(df: DataFrame, entity: str, announced: str, period_end: str, value: st
     return rows.withColumn("rid", F.row_number().over(w).cast("long")).select("tk", "ann", "q", "v", "rid")
 
 
-def visible(f: DataFrame, back: Column | int, out: str) -> DataFrame:
-    """f with column out: the value of the quarter ``back`` quarters earlier that each row sees, or NULL.
+def _asked(f: DataFrame, quarters: Column) -> DataFrame:
+    """Every fact as a version of its quarter (__ask false) and as a question for each of ``quarters``, with the answer __v.
 
-    The join is an equi-join on entity and quarter. Versions of one quarter are bounded by its restatements.
+    One pass: facts and questions lie by entity and quarter, ordered by announcement; a question takes the version before it. So
+    the facts are read once, nothing is joined, and an entity with a very long history is spread over its quarters.
     """
-    g = f.select(F.col("tk").alias("__tk"), F.col("q").alias("__q"), F.col("ann").alias("__ann"), F.col("v").alias("__v"), F.col("rid").alias("__rid"))
-    target = F.col("q") - back
-    found = f.join(g, (F.col("tk") == F.col("__tk")) & (target == F.col("__q")) & (F.col("__ann") <= F.col("ann")))
-    found = found.groupBy("tk", "rid").agg(F.max_by("__v", F.struct("__ann", "__rid")).alias(out))
-    return f.join(found, ["tk", "rid"], "left")
+    own = F.struct(F.lit(False).alias("ask"), F.col("q").alias("at"))
+    asks = F.transform(quarters, lambda x: F.struct(F.lit(True).alias("ask"), x.cast("int").alias("at")))
+    rows = f.withColumn("__k", F.explode(F.concat(F.array(own), asks))).withColumns({"__ask": F.col("__k.ask"), "__at": F.col("__k.at")}).drop("__k")
+    w = Window.partitionBy("tk", "__at").orderBy("ann", "__ask", "rid").rowsBetween(Window.unboundedPreceding, 0)
+    return rows.withColumn("__v", F.last(F.when(~F.col("__ask"), F.col("v")), ignorenulls=True).over(w))
+
+
+def visible(f: DataFrame, back: Column | int, out: str) -> DataFrame:
+    """f with column out: the value of the quarter ``back`` quarters earlier that each row sees, or NULL."""
+    found = _asked(f.withColumn("q", F.col("q").cast("int")), F.array(F.col("q") - back)).filter("__ask")
+    return found.withColumnRenamed("__v", out).drop("__ask", "__at")
 
 
 def _as_facts(df: DataFrame, value: Column) -> DataFrame:
@@ -69,12 +76,10 @@ def last(f: DataFrame) -> DataFrame:
 
 def history(f: DataFrame, n: int) -> DataFrame:
     """f with h: array of (q, v), the latest visible versions of the last n quarters, oldest first."""
-    g = f.select(F.col("tk").alias("__tk"), F.col("q").alias("__q"), F.col("ann").alias("__ann"), F.col("v").alias("__v"), F.col("rid").alias("__rid"))
-    back = f.withColumn("__q", F.explode(F.sequence(F.col("q") - n + 1, F.col("q"))))
-    found = back.join(g.withColumnRenamed("__q", "__g"), (F.col("tk") == F.col("__tk")) & (F.col("__q") == F.col("__g")) & (F.col("__ann") <= F.col("ann")))
-    one = found.groupBy("tk", "rid", "__q").agg(F.max_by("__v", F.struct("__ann", "__rid")).alias("__v"))
-    lists = one.groupBy("tk", "rid").agg(F.sort_array(F.collect_list(F.struct(F.col("__q").alias("q"), F.col("__v").alias("v")))).alias("h"))
-    return f.join(lists, ["tk", "rid"])
+    found = _asked(f.withColumn("q", F.col("q").cast("int")), F.sequence(F.col("q") - n + 1, F.col("q"))).filter("__ask and __v is not null")
+    own = [c for c in f.columns if c not in ("tk", "rid")]
+    lists = found.groupBy("tk", "rid").agg(*(F.any_value(c).alias(c) for c in own), F.sort_array(F.collect_list(F.struct(F.col("__at").alias("q"), F.col("__v").alias("v")))).alias("h"))
+    return lists.select(*f.columns, "h")
 
 
 def _sum(values: Column) -> Column:
@@ -150,12 +155,29 @@ def volatility_adjusted(f: DataFrame, n: int = 8) -> DataFrame:
     return _as_facts(f.join(scale, ["tk", "rid"]), F.col("v") / F.col("__sd"))
 
 
+#: Quarters are numbered year * 4 + quarter - 1, below 2 ** 16.
+_LEVELS = 16
+
+
 def combine(x: DataFrame, y: DataFrame, how: str = "divide", non_negative: bool = True) -> DataFrame:
-    """x divided by (or times) the visible y of the same quarter, or of the newest earlier one."""
-    g = y.select(F.col("tk").alias("__tk"), F.col("q").alias("__q"), F.col("ann").alias("__ann"), F.col("v").alias("__y"), F.col("rid").alias("__rid"))
-    found = x.join(g, (F.col("tk") == F.col("__tk")) & (F.col("__q") <= F.col("q")) & (F.col("__ann") <= F.col("ann")))
-    best = found.groupBy("tk", "rid").agg(F.max_by("__y", F.struct("__q", "__ann", "__rid")).alias("__y"))
-    joined = x.join(best, ["tk", "rid"])
+    """x divided by (or times) the visible y of the same quarter, or of the newest earlier one.
+
+    "Up to this quarter and this announcement" is a question in two dimensions. Quarters are cut into blocks of 1, 2, 4 ...; a y stands
+    in one block of each size, all quarters up to q are a few blocks (one for each bit of q + 1). Inside a block rows are
+    ordered by announcement, and an x takes the largest (quarter, announcement, row) so far. So x and y are read once each, and an
+    entity's versions meet in blocks, not in pairs.
+    """
+    level = F.sequence(F.lit(0), F.lit(_LEVELS - 1))
+    q1 = F.col("q").cast("int") + 1
+    mine = F.transform(F.filter(level, lambda b: F.call_function("getbit", q1, b) == 1), lambda b: F.struct(b.alias("level"), (F.call_function("shiftright", q1, b) - 1).alias("block")))
+    theirs = F.transform(level, lambda b: F.struct(b.alias("level"), F.call_function("shiftright", F.col("q").cast("int"), b).alias("block")))
+    row = F.struct(F.col("q").cast("int").alias("q"), "ann", "rid", F.col("v").cast("double").alias("v"))
+    asks = x.select("tk", "ann", F.lit(True).alias("ask"), row.alias("x"), F.lit(None).cast("struct<q:int,ann:date,rid:bigint,v:double>").alias("y"), F.explode(mine).alias("b"))
+    facts = y.select("tk", "ann", F.lit(False).alias("ask"), F.lit(None).cast("struct<q:int,ann:date,rid:bigint,v:double>").alias("x"), row.alias("y"), F.explode(theirs).alias("b"))
+    w = Window.partitionBy("tk", "b.level", "b.block").orderBy("ann", "ask").rowsBetween(Window.unboundedPreceding, 0)
+    best = asks.unionByName(facts).withColumn("best", F.max("y").over(w)).filter("ask and best is not null")
+    joined = best.groupBy("tk", F.col("x.rid").alias("rid")).agg(F.any_value("x").alias("x"), F.max("best").alias("y"))
+    joined = joined.select("tk", "x.ann", "x.q", "x.v", "rid", F.col("y.v").alias("__y"))
     base = F.when(F.col("__y") != 0, F.abs("__y") if non_negative else F.col("__y"))
     return _as_facts(joined, F.col("v") / base if how == "divide" else F.col("v") * F.col("__y"))
 
