@@ -15,7 +15,7 @@ Targets: T_k = weight_k * total; the total is given, or chosen so that the domai
 own tokens. A document is taken floor(r) times, and once more if a hash of its id falls under the rest.
 
 Defined results: null and empty texts have 0 tokens, the prior's posterior for texts without words, and a rate like
-any other; without labelled rows the posteriors are equal; a domain without labelled rows has only smoothing mass;
+any other; a label row with neither mark is none; without labelled rows the posteriors are equal; a domain without labelled rows has only smoothing mass;
 repeated rows get equal rates; a null id counts in the sums like any other; other columns are ignored by
 :func:`rates` and kept by :func:`mix`; an empty table gives an empty result.
 """
@@ -89,7 +89,8 @@ class Classifier:
 
 
 def domain(labels: DataFrame) -> Column:
-    return F.when(F.col("toxic") == 1, F.lit(2)).when(F.col("quality") == 0, F.lit(1)).otherwise(F.lit(0))
+    """NULL where a row marks nothing: it is no label."""
+    return F.when(F.col("toxic") == 1, F.lit(2)).when(F.col("quality") == 0, F.lit(1)).when(F.coalesce("quality", "toxic").isNotNull(), F.lit(0))
 
 
 def fit(docs: DataFrame, labels: DataFrame, *, sample_rows: int = SAMPLE_ROWS, words: int = 24, support: int = 8, ratio: float = 3.0) -> Classifier:
@@ -182,12 +183,15 @@ def rates(docs: DataFrame, labels: DataFrame, *, weights: Mapping[str, float] =
 
 
 def mix(docs: DataFrame, labels: DataFrame, *, weights: Mapping[str, float] = WEIGHTS, total_tokens: float | None = None, seed: int = 5, **options) -> DataFrame:
-    """docs with every row as many times as its rate says; all columns of docs and no others."""
+    """docs with every row as many times as its rate says; all columns of docs and no others.
+
+    Rows are written with their posteriors, so that texts are taken apart once.
+    """
     model = fit(docs, labels, **options)
-    steps = solve(cut(_with_posteriors(docs, model)), weights, total_tokens=total_tokens)
     own = F.struct(*(F.col(c) for c in docs.columns)).alias("__row")
-    rows = _with_posteriors(docs.select(own, F.col("doc_id").cast("long").alias("doc_id"), "text"), model, "__row", "doc_id")
-    taken = rows.withColumn("__n", _copies(steps.rate(), seed)).filter("__n > 0 and __number >= 0")
+    rows = cut(_with_posteriors(docs.select(own, F.col("doc_id").cast("long").alias("doc_id"), "text"), model, "__row", "doc_id"))
+    steps = solve(rows, weights, total_tokens=total_tokens)
+    taken = rows.withColumn("__n", _copies(steps.rate(), seed)).filter("__n > 0")
     return taken.select("__row", F.explode(F.sequence(F.lit(1), F.col("__n"))).alias("__k")).select("__row.*")
 
 

@@ -186,3 +186,8 @@ def test_spellings_begin_at_words(spark):
     rows = [(1, "super cent"), (2, "supercent"), (3, "ten per cent"), (4, "ten percent"), (5, "Licences"), (6, "licenses"), (7, "to fulfil\nit"), (8, "to fulfill it")]
     d = {r.doc_id: r.text_digest for r in license_scan.scan(frame(spark, rows)).collect()}
     assert d[1] != d[2] and d[3] == d[4] and d[5] == d[6] and d[7] == d[8]
+
+
+def test_label_rows_without_a_mark_are_no_labels(spark):
+    rows = spark.createDataFrame([(1, None, None), (2, 0, None), (3, None, 1), (4, 1, None), (5, None, 0), (6, 1, 1)], "doc_id long, quality int, toxic int")
+    assert [r.d for r in rows.orderBy("doc_id").select(mixing.domain(rows).alias("d")).collect()] == [None, 1, 2, 0, 0, 2]
