@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from ..functions import windows as win
 from ..operators import analyst, joins
-from .panel_queries import KEYS
-from .registry import clean, query, sql_clean
+from ..operators import three_factors as ff
+from .panel_queries import KEYS, LAG, RET, TRAIL, returns
+from .registry import clean, query, sql_clean, sql_tidy, tidy
 from .roles import WEEKLY, table, trading_days
 
 
@@ -47,3 +50,17 @@ def consensus_whole(spark, sf_dir):
     reports = analyst.annual_reports(order_statements(spark, sf_dir), statement_type="consolidated")
     out = analyst.consensus(order_estimates(spark, sf_dir), reports, days, window=W, half_life=H, year_positions=Y)
     return out.select(*KEYS, "last_period", *(clean(F.col(c), 2).alias(c) for c in OUT))
+
+
+@query("three_factors", f"""WITH {RET}, k AS (SELECT *, sum(amount) OVER {TRAIL(13)} AS cap, volume * (1 + tk % 3) AS pb FROM r),
+ l AS (SELECT *, CASE WHEN (ix < 52 OR max(ret) OVER {LAG(52)} IS NOT NULL) AND abs(ret) <= 0.5::DOUBLE THEN ret END AS fit, max(cap) OVER {LAG(1)} AS size, 1 / max(pb) OVER {LAG(1)} AS value FROM k),
+ q AS (SELECT *, quantile_cont(size, 0.5) OVER d AS s, quantile_cont(value, 0.3) OVER d AS v1, quantile_cont(value, 0.7) OVER d AS v2, sum(amount * close) OVER d / sum(amount) OVER d AS level FROM l WINDOW d AS (PARTITION BY td)),
+ o AS (SELECT td, avg(CASE WHEN value <= v1 THEN fit END) - avg(CASE WHEN value > v2 THEN fit END) AS hml, avg(CASE WHEN size <= s THEN fit END) - avg(CASE WHEN size > s THEN fit END) AS smb, any_value(level) AS level FROM q GROUP BY td),
+ x AS (SELECT td, hml, smb, level / lag(level) OVER (ORDER BY td) - 1 AS mkt FROM o) """ + sql_tidy("td", ["hml", "smb", "mkt"], "x WHERE hml IS NOT NULL AND smb IS NOT NULL AND mkt IS NOT NULL", 6))
+def three_factors(spark, sf_dir):
+    """Size, value and market returns by week; the market is the amount-weighted price level."""
+    p = returns(spark, sf_dir).withColumns({"cap": F.sum("amount").over(win.trailing(13)), "pb": F.col("volume") * (1 + F.col("tk") % 3)})
+    level = p.groupBy("td").agg((F.sum(F.col("amount") * F.col("close")) / F.sum("amount")).alias("level"))
+    # one row a date: a calendar's size
+    index = level.select("td", (F.col("level") / F.lag("level").over(Window.orderBy("td")) - 1).alias("ret"))
+    return tidy(ff.run(p, index, positions=52, limit=0.5), ["td"], ["hml", "smb", "mkt"], 6)
