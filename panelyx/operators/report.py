@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from .backtest import average_rank
 
-PRECLOSE = "close"  # the price that baskets change hands at: the close before, or a column of the day
+PRECLOSE = "preclose"  # the price that baskets change hands at: the close before, or a column of the day
 
 
 def schedule(days: DataFrame, rebalanced: DataFrame) -> DataFrame:
@@ -74,32 +74,41 @@ def held(rows: DataFrame, plan: DataFrame, deal: str = PRECLOSE) -> DataFrame:
     return own.select("grp", "seg", "tk", "ix", "grown", (F.col("grown") - F.coalesce(F.lag("grown").over(by.orderBy("ix")), F.lit(0.0))).alias("delta"), "w0", "end")
 
 
+def _until(rows: DataFrame, plan: DataFrame, *by: str) -> DataFrame:
+    """rows (by, seg, ix) repeated on the positions up to the next row, or to the end of the segment, with new: true on the row's own."""
+    ends = plan.groupBy().agg(F.max("ix").alias("__last"))
+    spans = plan.filter("opens is not null").select(F.col("opens").alias("seg"), "next_ix").join(F.broadcast(ends)).select("seg", F.coalesce("next_ix", "__last").alias("__to"))
+    after = F.lead("ix").over(Window.partitionBy(*by, "seg").orderBy("ix"))
+    wide = rows.join(F.broadcast(spans), "seg").withColumn("__to", F.greatest("ix", F.coalesce(after - 1, F.col("__to"))))
+    return wide.withColumn("__ix", F.explode(F.sequence("ix", "__to"))).withColumn("new", F.col("ix") == F.col("__ix")).drop("ix", "__to").withColumnRenamed("__ix", "ix")
+
+
+def laid_out(own: DataFrame, plan: DataFrame) -> DataFrame:
+    """grp, seg, tk, ix, w0, grown of every name on every day of its segment; where a name has no bar its value stays."""
+    days = _until(own, plan, "grp", "tk").join(F.broadcast(plan.filter("opens is not null").select(F.col("opens").alias("seg"), F.col("ix").alias("__open"))), "seg")
+    return days.filter(F.col("ix") > F.col("__open")).select("grp", "seg", "tk", "ix", "w0", "grown")
+
+
 def basket_days(own: DataFrame, plan: DataFrame) -> DataFrame:
-    """grp, td, ix, ret of every basket on every day from its first decision (return 0) on."""
+    """grp, td, ix, seg (held on it), ret of every basket on every day from its first decision (return 0) on."""
     added = own.groupBy("grp", "seg", "ix").agg(F.sum("delta").alias("delta"))
-    spans = added.groupBy("grp", "seg").agg(F.min("ix").alias("lo"), F.max("ix").alias("hi"))
-    # the days of a segment, also those on which no name of the basket has a bar; one more if the basket is sold in the day
-    ends = plan.filter("opens is not null").select(F.col("opens").alias("seg"), F.col("next_ix"))
-    newest = plan.agg(F.max("ix").alias("__last"))
-    spans = spans.join(F.broadcast(ends), "seg").join(F.broadcast(newest))
-    grid = spans.select("grp", "seg", F.explode(F.sequence("lo", F.greatest("hi", F.coalesce("next_ix", "__last")))).alias("ix"))
-    full = grid.join(added, ["grp", "seg", "ix"], "left")
+    # a day on which no name of the basket has a bar adds nothing
+    full = _until(added, plan, "grp").withColumn("delta", F.when(F.col("new"), F.col("delta")).otherwise(F.lit(0.0)))
     w = Window.partitionBy("grp", "seg").orderBy("ix")
-    value = full.withColumn("v", F.sum(F.coalesce("delta", F.lit(0.0))).over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    moved = value.withColumn("g", F.col("v") / F.lag("v").over(w)).withColumn("start", F.row_number().over(w) == 1)
-    moved = moved.filter((~F.col("start")) | (F.col("seg") == 0)).withColumn("g", F.coalesce("g", F.lit(1.0)))
+    value = full.withColumn("v", F.sum("delta").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    moved = value.withColumn("g", F.col("v") / F.lag("v").over(w)).filter(F.col("g").isNotNull() | (F.col("seg") == 0)).withColumn("g", F.coalesce("g", F.lit(1.0)))
     out = moved.groupBy("grp", "ix").agg((F.product("g") - 1).alias("ret"))
-    return out.join(F.broadcast(plan.select("ix", "td")), "ix").select("grp", "td", "ix", "ret")
+    return out.join(F.broadcast(plan.select("ix", "td", "seg")), "ix").select("grp", "td", "ix", "seg", "ret")
 
 
 def basket_turnover(own: DataFrame, plan: DataFrame) -> DataFrame:
-    """grp, td, ix, turnover of every change from one basket to the next: summed differences of weights, on the first day of the new one."""
+    """grp, seg, td, ix, turnover of every change from one basket to the next: summed differences of weights, on the first day of the new one."""
     ends = own.filter("end").withColumn("__w", F.col("grown") / F.sum("grown").over(Window.partitionBy("grp", "seg")))
     sides = ends.select("grp", "tk", F.explode(F.array(F.struct(F.col("seg").alias("seg"), F.col("w0").alias("w"), F.lit(1).alias("new")), F.struct((F.col("seg") + 1).alias("seg"), (-F.col("__w")).alias("w"), F.lit(0).alias("new")))).alias("s"))
     apart = sides.groupBy("grp", "s.seg", "tk").agg(F.sum("s.w").alias("w"), F.max("s.new").alias("new"))
     out = apart.groupBy("grp", "seg").agg(F.sum(F.abs("w")).alias("turnover"), F.max("new").alias("new")).filter("seg > 0 and new = 1")
     days = plan.filter("first").select("seg", "td", "ix")
-    return out.join(F.broadcast(days), "seg").select("grp", "td", "ix", "turnover")
+    return out.join(F.broadcast(days), "seg").select("grp", "seg", "td", "ix", "turnover")
 
 
 def coefficients(rows: DataFrame, plan: DataFrame, factor: str, *by: str) -> DataFrame:
@@ -216,8 +225,11 @@ def _by_period(daily: DataFrame, keys: Sequence[str]) -> DataFrame:
     tags = F.array(
         F.struct(F.lit("all").alias("period"), first.alias("base")), F.when(~single, F.struct(year.cast("string").alias("period"), first.alias("base"))), F.when(after > year, F.struct(after.cast("string").alias("period"), F.lit(True).alias("base"))),
     )
-    each = daily.withColumn("__t", tags).withColumn("__t", F.explode(F.filter("__t", lambda t: t.isNotNull())))
-    return each.select(*keys, "td", "__t.period", "__t.base", "is_month_end", F.explode(F.array(*(F.struct(F.lit(s).alias("series"), F.when(F.col("__t.base"), F.lit(0.0)).otherwise(F.col(s)).alias("ret")) for s in SERIES))).alias("s")).select(*keys, "td", "period", "base", "is_month_end", "s.*")
+    each = daily.withColumn("__tags", F.filter(tags, lambda t: t.isNotNull())).select(*keys, "td", "is_month_end", *SERIES, F.explode("__tags").alias("__t"))
+    each = each.select(*keys, "td", "is_month_end", *SERIES, F.col("__t.period").alias("period"), F.col("__t.base").alias("__start"))
+    series = F.array(*(F.struct(F.lit(s).alias("series"), F.when(F.col("__start"), F.lit(0.0)).otherwise(F.col(s)).alias("ret")) for s in SERIES))
+    rows = each.select(*keys, "td", "period", "__start", "is_month_end", F.explode(series).alias("__s"))
+    return rows.select(*keys, "td", "period", F.col("__start").alias("base"), "is_month_end", F.col("__s.series").alias("series"), F.col("__s.ret").alias("ret"))
 
 
 def statistics(rows: DataFrame, keys: Sequence[str], *, per_year: int = 252, drop: float = 0.005, deep: float = 0.01, rolling: int = 60) -> DataFrame:

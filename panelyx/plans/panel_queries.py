@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 
 from ..functions import cross_section as xs
 from ..functions import windows as win
-from ..operators import backtest, dataset, joins
+from ..operators import backtest, dataset, joins, report
 from .registry import query, sql_tidy, tidy
-from .roles import WEEKLY, table, trading_days, weekly
+from .roles import WEEKLY, bars, table, trading_days, weekly
 
 #: Frames of the SQL: n positions back, and the trailing n.
 LAG = lambda n: f"(PARTITION BY tk ORDER BY ix RANGE BETWEEN {n} PRECEDING AND {n} PRECEDING)"
@@ -225,39 +225,46 @@ HOLD = f"""{RET}, top AS (SELECT ix // 13 AS seg, tk, row_number() OVER (PARTITI
  bv AS (SELECT seg, ix, sum(grown) AS v, sum(w0) AS w FROM gr GROUP BY seg, ix), br AS (SELECT seg, ix, v / coalesce(lag(v) OVER (PARTITION BY seg ORDER BY ix), w) - 1 AS ret FROM bv)"""
 
 
+def baskets(spark, sf_dir, deal: str = report.PRECLOSE):
+    """The calendar with its segments, and what every held name is worth (see report.held): the line items are read once."""
+    days = joins.local(trading_days(spark, sf_dir))
+    p = bars(spark, sf_dir).join(F.broadcast(days.select("td", "ix")), "td").withColumn("vwap", F.col("amount") / F.col("volume"))
+    place = F.row_number().over(Window.partitionBy("ix").orderBy(F.desc("amount"), "tk"))
+    p = report.prices(p, deal).withColumn("grp", F.when((F.col("ix") % 13 == 0) & (place <= 20), F.lit(1)))
+    p = p.withColumn("w0", F.when(F.col("grp") == 1, F.lit(1.0) / F.count("grp").over(Window.partitionBy("ix"))))
+    plan = report.schedule(days, days.filter("ix % 13 = 0"))
+    return plan, report.held(p, plan, deal)
+
+
 def holdings(spark, sf_dir):
-    p = returns(spark, sf_dir)
-    w = Window.partitionBy("ix").orderBy(F.desc("amount"), "tk")
-    last = p.agg(F.max("ix").alias("m"))
-    top = p.filter("ix % 13 = 0").withColumn("k", F.row_number().over(w)).filter("k <= 20").join(F.broadcast(last)).filter("ix + 1 <= m")
-    seg = F.floor(F.col("ix") / 13).cast("int").alias("seg")
-    held = top.select(seg, "tk", (F.lit(1.0) / F.count("*").over(Window.partitionBy("ix"))).alias("w0"), (F.col("ix") + 1).alias("from_ix"), F.least(F.col("ix") + 13, "m").alias("to_ix"))
-    return held, backtest.drifted_weights(held, p.select("tk", "ix", F.col("ret").alias("r")))
+    """seg, tk, ix, w0, grown of every held name on every day."""
+    plan, own = baskets(spark, sf_dir)
+    return report.laid_out(own, plan)
 
 
 @query("portfolio_return", f"WITH {HOLD} " + sql_tidy("seg, ix", ["ret"], "br"))
 def portfolio_return(spark, sf_dir):
-    return tidy(backtest.basket_returns(holdings(spark, sf_dir)[1]), ["seg", "ix"], ["ret"])
+    return tidy(backtest.basket_returns(holdings(spark, sf_dir)), ["seg", "ix"], ["ret"])
 
 
 @query("portfolio_turnover", f"""WITH {HOLD}, e AS (SELECT seg + 1 AS seg, tk, grown / sum(grown) OVER (PARTITION BY seg) AS w FROM gr WHERE ix = to_ix)
 SELECT coalesce(h.seg, e.seg) AS seg, round(sum(abs(coalesce(w, 0) - coalesce(w0, 0))), 6) AS turnover FROM h FULL JOIN e ON h.seg = e.seg AND h.tk = e.tk
 WHERE coalesce(h.seg, e.seg) > (SELECT min(seg) FROM h) AND coalesce(h.seg, e.seg) <= (SELECT max(seg) FROM h) GROUP BY 1""")
 def portfolio_turnover(spark, sf_dir):
-    held, grown = holdings(spark, sf_dir)
-    return tidy(backtest.turnover(grown, held), ["seg"], ["turnover"])
+    plan, own = baskets(spark, sf_dir)
+    return tidy(report.basket_turnover(own, plan), ["seg"], ["turnover"])
 
 
 @query("portfolio_exposure", f"WITH {HOLD}, w AS (SELECT *, grown / sum(grown) OVER (PARTITION BY seg, ix) AS w FROM gr), o AS (SELECT seg, ix, s_nationkey, sum(w) AS exposure, sum(w * s_acctbal) AS style FROM w {NATION} GROUP BY ALL) " + sql_tidy("seg, ix, s_nationkey", ["exposure", "style"], "o", 4))
 def portfolio_exposure(spark, sf_dir):
-    g = holdings(spark, sf_dir)[1].withColumn("w", F.col("grown") / F.sum("grown").over(Window.partitionBy("seg", "ix")))
+    g = holdings(spark, sf_dir).withColumn("w", F.col("grown") / F.sum("grown").over(Window.partitionBy("seg", "ix")))
     o = with_supplier(spark, sf_dir, g).groupBy("seg", "ix", "s_nationkey").agg(F.sum("w").alias("exposure"), F.sum(F.col("w") * F.col("s_acctbal")).alias("style"))
     return tidy(o, ["seg", "ix", "s_nationkey"], ["exposure", "style"], 4)
 
 
 @query("portfolio_capacity", f"WITH {HOLD}, j AS (SELECT gr.ix, gr.grown AS w, amount FROM gr JOIN wk ON gr.tk = wk.tk AND gr.ix = wk.ix), o AS (SELECT ix, sum(amount) AS total, sum(w * amount) / sum(w) AS mean_amount, min(amount) AS min_amount, max(amount) AS max_amount, min(w) AS min_weight, max(w) AS max_weight, 0.1::DOUBLE * sum(amount) AS capacity FROM j GROUP BY ix) " + sql_tidy("ix", ["total", "mean_amount", "min_amount", "max_amount", "min_weight", "max_weight", "capacity"], "o", 3))
 def portfolio_capacity(spark, sf_dir):
-    j = holdings(spark, sf_dir)[1].select("tk", "ix", F.col("grown").alias("w")).join(weekly(spark, sf_dir).select("tk", "ix", "amount"), ["tk", "ix"])
+    j = holdings(spark, sf_dir).select("tk", "ix", F.col("grown").alias("w")).join(weekly(spark, sf_dir).select("tk", "ix", "amount"), ["tk", "ix"])
     return tidy(backtest.capacity(j, date="ix"), ["ix"], ["total", "mean_amount", "min_amount", "max_amount", "min_weight", "max_weight", "capacity"], 3)
 
 
@@ -281,7 +288,7 @@ PERF = "count(*) AS n, product(g) - 1 AS total, pow(product(g), 52.0::DOUBLE / c
 @query("performance_by_year", f"WITH {NAV}, y AS (SELECT CAST(year(td) AS VARCHAR) AS period, {PERF} FROM mk GROUP BY year(td) UNION ALL SELECT 'all', {PERF} FROM mk), o AS (SELECT *, annual / nullif(vol, 0) AS sharpe FROM y) " + sql_tidy("period, n", ["total", "annual", "vol", "win", "sharpe"], "o", 4))
 def performance_by_year(spark, sf_dir):
     m = market(spark, sf_dir)
-    years = m.withColumn("period", F.year("td").cast("string")).unionByName(m.withColumn("period", F.lit("all")))
+    years = m.select("*", report.periods())
     return tidy(backtest.performance(years, ["period"]), ["period", "n"], ["total", "annual", "vol", "win", "sharpe"], 4)
 
 

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import cross_section as xs
-from ..operators import backtest
-from .panel_queries import GROUPS, HOLD, KEYS, LAG, MAD, MOM, NAV, PERF, holdings, market, momentum, portfolio_turnover
+from ..operators import backtest, report
+from .panel_queries import GROUPS, HOLD, KEYS, LAG, MAD, MOM, NAV, PERF, baskets, holdings, market, momentum
 from .registry import query, sql_tidy, tidy
 from .roles import table, trading_days, weekly
 
@@ -20,8 +20,8 @@ def _deal_sql(deal: str) -> str:
 
 
 def dealt(spark, sf_dir, deal: str):
-    held, _ = holdings(spark, sf_dir)
-    return backtest.returns_at_deal(held, backtest.deal_returns(weekly(spark, sf_dir).select("tk", "ix", "open", "close", "vwap"), deal))
+    plan, own = baskets(spark, sf_dir, deal)
+    return report.basket_days(own, plan).filter("seg is not null")
 
 
 for _deal in ("open", "vwap", "close"):
@@ -55,7 +55,7 @@ def demeaned_groups(spark, sf_dir):
 def long_short_performance(spark, sf_dir):
     """A thousandth in the spread between top and bottom group: performance by year and of the whole."""
     m = backtest.group_spreads(grouped(spark, sf_dir), "fwd", 5).filter("lms is not null").select("td", (F.col("lms") / 1000).alias("ret"))
-    years = m.withColumn("period", F.year("td").cast("string")).unionByName(m.withColumn("period", F.lit("all")))
+    years = m.select("*", report.periods())
     return tidy(backtest.performance(years, ["period"]), ["period", "n"], ["total", "annual", "vol", "win", "sharpe"], 3)
 
 
@@ -70,8 +70,8 @@ TURNOVERS = f"""{HOLD}, e AS (SELECT seg + 1 AS seg, tk, grown / sum(grown) OVER
 
 
 def turnovers(spark, sf_dir):
-    days = trading_days(spark, sf_dir).select("td", "ix")
-    return portfolio_turnover(spark, sf_dir).withColumn("ix", F.col("seg") * 13 + 1).join(F.broadcast(days), "ix")
+    plan, own = baskets(spark, sf_dir)
+    return report.basket_turnover(own, plan)
 
 
 @query("turnover_statistics", f"WITH {TURNOVERS}, y AS (SELECT year(td) AS y, count(*) AS k, sum(turnover) AS s FROM dated WHERE turnover <> 0 GROUP BY 1), o AS (SELECT sum(s) / sum(k) AS mean, median(k) AS times, sum(s) / sum(k) * median(k) AS annual FROM y) " + sql_tidy("1 AS one", ["mean", "times", "annual"], "o", 4))
@@ -82,19 +82,18 @@ def turnover_statistics(spark, sf_dir):
 @query("net_performance", f"WITH {TURNOVERS}, n0 AS (SELECT cal.td AS td, br.ret - 0.0015::DOUBLE * coalesce(turnover, 0) AS ret FROM br JOIN cal ON br.ix = cal.ix LEFT JOIN dated ON dated.ix = br.ix AND dated.seg = br.seg), mk AS (SELECT td, 1 + ret / 100 AS g FROM n0), y AS (SELECT CAST(year(td) AS VARCHAR) AS period, {PERF} FROM mk GROUP BY year(td) UNION ALL SELECT 'all', {PERF} FROM mk), o AS (SELECT *, annual / nullif(vol, 0) AS sharpe FROM y) " + sql_tidy("period, n", ["total", "annual", "vol", "win", "sharpe"], "o", 3))
 def net_performance(spark, sf_dir):
     """A hundredth in the baskets, after a cost of 0.0015 of what is turned over: performance by year and of the whole."""
-    days = trading_days(spark, sf_dir).select("td", "ix")
-    paid = turnovers(spark, sf_dir).select("seg", "ix", "turnover")
-    r = backtest.basket_returns(holdings(spark, sf_dir)[1]).join(F.broadcast(days), "ix").join(paid, ["seg", "ix"], "left")
-    r = r.select("td", ((F.col("ret") - 0.0015 * F.coalesce("turnover", F.lit(0.0))) / 100).alias("ret"))
-    years = r.withColumn("period", F.year("td").cast("string")).unionByName(r.withColumn("period", F.lit("all")))
-    return tidy(backtest.performance(years, ["period"]), ["period", "n"], ["total", "annual", "vol", "win", "sharpe"], 3)
+    plan, own = baskets(spark, sf_dir)
+    paid = report.basket_turnover(own, plan).select("seg", "ix", "turnover")
+    r = report.basket_days(own, plan).filter("seg is not null").join(paid, ["seg", "ix"], "left")
+    r = r.select(report.periods(), ((F.col("ret") - 0.0015 * F.coalesce("turnover", F.lit(0.0))) / 100).alias("ret"))
+    return tidy(backtest.performance(r, ["period"]), ["period", "n"], ["total", "annual", "vol", "win", "sharpe"], 3)
 
 
 @query("active_exposure", f"WITH {HOLD}, p AS (SELECT ix, tk, grown / sum(grown) OVER (PARTITION BY ix) AS w FROM gr), b AS (SELECT ix, tk, amount / sum(amount) OVER (PARTITION BY ix) AS w FROM wk WHERE ix IN (SELECT ix FROM gr)), u AS (SELECT * FROM p UNION ALL SELECT ix, tk, -w FROM b), o AS (SELECT u.ix AS ix, sum(w * s_acctbal) AS balance, sum(w * ln(volume)) AS activity FROM u JOIN wk ON u.ix = wk.ix AND u.tk = wk.tk JOIN (SELECT CAST(s_suppkey AS INTEGER) AS sk, s_acctbal FROM supplier) ON u.tk = sk GROUP BY u.ix) " + sql_tidy("ix", ["balance", "activity"], "o", 4))
 def active_exposure(spark, sf_dir):
     """Exposure of the held baskets less that of all names by amount."""
     p = weekly(spark, sf_dir)
-    held = holdings(spark, sf_dir)[1].select("ix", "tk", F.col("grown").alias("w"))
+    held = holdings(spark, sf_dir).select("ix", "tk", F.col("grown").alias("w"))
     index = p.select("ix", "tk", F.col("amount").alias("w")).join(held.select("ix").distinct(), "ix", "left_semi")
     styles = p.join(table(spark, sf_dir, "supplier").select(F.col("s_suppkey").cast("int").alias("tk"), F.col("s_acctbal").alias("balance")), "tk").withColumn("activity", F.log("volume"))
     return tidy(backtest.active_exposure(held, index, styles, ["balance", "activity"], date="ix"), ["ix"], ["balance", "activity"], 4)
