@@ -22,8 +22,8 @@ def calendar(dates: DataFrame, date: str = "td") -> DataFrame:
 
 def local(days: DataFrame, most: int = 200_000) -> DataFrame:
     """A calendar as rows in the plan itself, read once however often it is used; refuses what is too long for a calendar."""
-    rows = days.limit(most + 1).collect()
-    if len(rows) > most:
+    rows = days.limit(most + 1).toArrow()
+    if rows.num_rows > most:
         raise ValueError(f"a calendar of more than {most} dates")
     return days.sparkSession.createDataFrame(rows, days.schema)
 
