@@ -50,12 +50,24 @@ pit.CHAINS.setdefault("qoq", [(pit.change, {"n": 1})])
 
 
 def compute(name: str, items: Callable[[str], DataFrame], days: DataFrame, capital: DataFrame | None = None, **fill) -> DataFrame:
-    """td, tk, v of a factor. items gives the facts of an item; capital has tk, cap and, if it changes, td."""
+    """td, tk, v of a factor. items gives the facts of an item; capital has tk, cap and, if it changes, td.
+
+    Shares are known by date: their facts (see at_announcement) are statements whose date of announcement has any, and profits count with these alone.
+    """
     recipe = LIBRARY[name]
     facts = items(recipe.item)
     if recipe.per:
-        facts = pit.combine(pit.trailing_year(facts), pit.window_stat(items(recipe.per), "mean", 4))
+        per = items(recipe.per)
+        if recipe.per == "shares":
+            facts = facts.join(per.select("tk", "rid"), ["tk", "rid"], "left_semi")
+        facts = pit.combine(pit.trailing_year(facts), pit.window_stat(per, "mean", 4))
     panel = pit.fill_to_dates(pit.chain(facts, recipe.steps), days, **fill)
     if not recipe.value:
         return panel
     return panel.join(capital, [c for c in ("td", "tk") if c in capital.columns]).select("td", "tk", F.try_divide("v", "cap").alias("v"))
+
+
+def at_announcement(facts: DataFrame, daily: DataFrame, value: str) -> DataFrame:
+    """facts with the value of a daily table (tk, td, value) on their date of announcement; those without one go."""
+    found = daily.select("tk", F.to_date("td").alias("ann"), F.col(value).cast("double").alias("v")).filter("v is not null")
+    return facts.drop("v").join(found, ["tk", "ann"]).select("tk", "ann", "q", "v", "rid")

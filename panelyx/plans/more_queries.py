@@ -5,35 +5,67 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import windows as win
-from ..operators import backtest, factors, intraday, joins, learning
+from ..operators import backtest, factors, intraday, joins, learning, pit
 from ..streaming.bars import hourly_bars
 from .bar_queries import prepared
-from .fact_queries import STEPS, _lists, chain_sql
+from .fact_queries import STEPS, _lists, fill_sql, steps_sql
 from .panel_queries import MOM, NAV, market, momentum
 from .registry import query, sql_clean, sql_tidy, tidy
-from .roles import INTRADAY, WEEKLY, facts, table, trading_days
+from .roles import FACTS, INTRADAY, WEEKLY, table, trading_days
 
 KEYS = ["td", "tk"]
 
 
 CAPITAL = "JOIN (SELECT c_custkey AS ck, abs(c_acctbal) + 1 AS cap FROM customer) ON tk = ck"
-#: The trailing year of the facts over the mean of their last four quarters: inner facts of the ratios.
-RATIO = (
-    f", t0 AS MATERIALIZED (SELECT tk, ann, q, rid, {STEPS['ttm']('f')} AS v FROM f x), t AS MATERIALIZED (SELECT * FROM t0 WHERE v IS NOT NULL), {_lists(4)}"
-    ", y AS MATERIALIZED (SELECT f.tk, f.ann, f.q, f.rid, list_aggregate(a, 'avg') AS v FROM hl JOIN f ON hl.tk = f.tk AND hl.rid = f.rid WHERE len(a) >= 2)"
-    ", r0 AS MATERIALIZED (SELECT tk, ann, q, rid, v / nullif(abs((SELECT last(y.v ORDER BY y.q, y.ann, y.rid) FROM y WHERE y.tk = x.tk AND y.q <= x.q AND y.ann <= x.ann)), 0) AS v FROM t x), r AS MATERIALIZED (SELECT * FROM r0 WHERE v IS NOT NULL)"
-)
+#: What each item is made of in an order: in SQL, and as a column.
+ITEMS = {
+    "net_profit": ("o_totalprice", lambda k, p: p), "equity": ("o_totalprice * (1 + o_orderkey % 3)", lambda k, p: p * (1 + k % 3)), "revenue": ("o_totalprice * (2 + o_orderkey % 5)", lambda k, p: p * (2 + k % 5)),
+    "operating_profit": ("o_totalprice + 1000 * (o_orderkey % 7)", lambda k, p: p + 1000 * (k % 7)), "cash_received": ("o_totalprice + 50000 * (o_orderkey % 11)", lambda k, p: p + 50000 * (k % 11)),
+    "quarterly_roe": ("o_orderkey % 97 / 8.0::DOUBLE + 1", lambda k, p: k % 97 / 8.0 + 1), "quarterly_eps": ("o_orderkey % 89 / 4.0::DOUBLE + 1", lambda k, p: k % 89 / 4.0 + 1),
+}
+SHARES = "sh AS MATERIALIZED (SELECT o_custkey AS tk, CAST(o_orderdate AS DATE) AS ann, max(100 + o_orderkey % 37) * sqrt(2.0::DOUBLE) AS v FROM orders WHERE o_orderkey % 4 <> 0 GROUP BY ALL)"
+
+
+def _item_sql(item: str, name: str) -> str:
+    return FACTS.strip().replace("f AS (", f"{name} AS MATERIALIZED (", 1).replace("o_totalprice AS v", f"{ITEMS[item][0]} AS v")
 
 
 def _factor_sql(recipe) -> str:
-    return chain_sql(recipe.steps, "r" if recipe.per else "f", RATIO if recipe.per else "", "v / cap" if recipe.value else "v", CAPITAL if recipe.value else "", 5)
+    f = _item_sql(recipe.item, "f")
+    more = ""
+    if recipe.per:
+        # the trailing year over the mean of the last four quarters of the other item
+        if recipe.per == "shares":
+            f = f"{_item_sql(recipe.item, 'f_all')}, {SHARES}, z AS MATERIALIZED (SELECT f_all.tk, f_all.ann, q, sh.v AS v, rid FROM f_all JOIN sh ON sh.tk = f_all.tk AND sh.ann = f_all.ann), f AS MATERIALIZED (SELECT f_all.* FROM f_all SEMI JOIN z ON z.tk = f_all.tk AND z.rid = f_all.rid)"
+        else:
+            f += f", {_item_sql(recipe.per, 'z')}"
+        more = (
+            f", t0 AS MATERIALIZED (SELECT tk, ann, q, rid, {STEPS['ttm']('f')} AS v FROM f x), t AS MATERIALIZED (SELECT * FROM t0 WHERE v IS NOT NULL), {_lists(4, 'z')}"
+            ", y AS MATERIALIZED (SELECT z.tk, z.ann, z.q, z.rid, list_aggregate(a, 'avg') AS v FROM hl JOIN z ON hl.tk = z.tk AND hl.rid = z.rid WHERE len(a) >= 2)"
+            ", r0 AS MATERIALIZED (SELECT tk, ann, q, rid, v / nullif(abs((SELECT last(y.v ORDER BY y.q, y.ann, y.rid) FROM y WHERE y.tk = x.tk AND y.q <= x.q AND y.ann <= x.ann)), 0) AS v FROM t x), r AS MATERIALIZED (SELECT * FROM r0 WHERE v IS NOT NULL)"
+        )
+    ctes, end = steps_sql(recipe.steps, "r" if recipe.per else "f")
+    value, joined = ("v / cap", CAPITAL) if recipe.value else ("v", "")
+    return f"WITH {WEEKLY}, {f}{more}{ctes}, {fill_sql(end)}, o AS (SELECT td, tk, {value} AS v FROM panel {joined}) " + sql_tidy("td, tk", ["v"], "o", 5)
+
+
+def items(spark, sf_dir):
+    """Facts by the name of the item."""
+
+    def of(item: str):
+        if item == "shares":
+            o = table(spark, sf_dir, "orders").filter("o_orderkey % 4 <> 0").groupBy(F.col("o_custkey").alias("tk"), F.to_date("o_orderdate").alias("td"))
+            return factors.at_announcement(of("net_profit"), o.agg((F.max(100 + F.col("o_orderkey") % 37) * F.sqrt(F.lit(2.0))).alias("shares")), "shares")
+        o = table(spark, sf_dir, "orders").filter("o_totalprice is not null").withColumn("end", F.date_sub(F.to_date(F.date_trunc("quarter", "o_orderdate")), 1))
+        return pit.facts(o.withColumn("x", ITEMS[item][1](F.col("o_orderkey"), F.col("o_totalprice"))), "o_custkey", "o_orderdate", "end", "x", "o_orderkey")
+
+    return of
 
 
 def _factor(name: str):
     def run(spark, sf_dir):
         capital = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("tk"), (F.abs("c_acctbal") + 1).alias("cap"))
-        f = facts(spark, sf_dir)
-        return tidy(factors.compute(name, lambda item: f, trading_days(spark, sf_dir), capital), KEYS, ["v"], 5)
+        return tidy(factors.compute(name, items(spark, sf_dir), joins.local(trading_days(spark, sf_dir)), capital), KEYS, ["v"], 5)
 
     return run
 
