@@ -7,9 +7,9 @@ many ranges there are. Each page becomes text lines (one for
 each block); lines of elements that the markup itself names as furniture (navigation, footers, asides, forms, scripts,
 adverts, notices, comments of readers) go. The lines outside the article element, furniture included, are aligned with
 those of the neighbours by longest common subsequence, and shared lines are deleted there. So are the lines inside an
-article or main element, with those inside of the REACH nearest pages on either side; there a line goes only if two
-pages share it that are neither copies of the article nor of each other, so that two copies of an article do not erase
-each other and a passage quoted once stays. On pages without such an element a neighbour that shares most of the text
+article or main element, with those inside of the REACH nearest pages on either side; there a line goes only if nearly all of
+them share it, at the same place in their markup, and if it is no heading: what a host repeats in every article goes, prose that
+two articles have in common stays. Copies of the article, and of each other, are not asked. On pages without such an element a neighbour that shares most of the text
 counts as a copy and is passed over.
 
 Defined results: null and empty html give an empty text; a null url sorts first, as a host of its own; repeated rows
@@ -52,6 +52,11 @@ _NAMED = re.compile(
 )
 #: Names that mark furniture inside an article too; a heading or a legal passage there is the article's own.
 _NAMED_INSIDE = re.compile(_NAMED.pattern.replace("masthead|topbar|header|", "").replace("|copyright|legal|", "|"))
+#: How many of the innermost elements are a line's place.
+PLACE = 4
+_HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: Lines inside an article go only where so many neighbours share them, and so large a part of all that have an article of their own.
+LEAST_SHARING, SHARING = 2, 0.9
 #: Pairs of equal lines up to which the candidates of an alignment are listed one by one.
 PAIRS = 200_000
 _PIECE = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.S)
@@ -76,10 +81,13 @@ def _furniture(tag: str, attributes: str, named: re.Pattern = _NAMED) -> bool:
     return False
 
 
-def lines_of(html: str | None) -> list[tuple[str, bool, bool]]:
-    """Text lines of a page in order, with two marks each: inside an article or main element; inside furniture (never both)."""
+Line = tuple[str, bool, bool, str]
+
+
+def lines_of(html: str | None) -> list[Line]:
+    """Text lines of a page in order, with two marks each, inside an article or main element and inside furniture (never both), and their place: the innermost elements."""
     html = html or ""
-    out: list[tuple[str, bool, bool]] = []
+    out: list[Line] = []
     open_tags: list[tuple[str, bool, bool]] = []  # tag, inside main, inside furniture
     parts: list[str] = []
     depth: Counter = Counter()
@@ -92,7 +100,8 @@ def lines_of(html: str | None) -> list[tuple[str, bool, bool]]:
         text = " ".join(unescape("".join(parts)).split())
         parts.clear()
         if text:
-            out.append((text, open_tags[-1][1] if open_tags else False, open_tags[-1][2] if open_tags else False))
+            around = open_tags[-PLACE:]
+            out.append((text, around[-1][1] if around else False, around[-1][2] if around else False, ">".join(t for t, _, _ in around)))
 
     at, end = 0, len(html)
     while at < end:
@@ -234,39 +243,44 @@ def _alike(a: list[str], b: list[str], copy_share: float) -> bool:
     return sum(map(len, x & y)) > copy_share * min(sum(map(len, x)), sum(map(len, y)))
 
 
-def main_text(page: list[tuple[str, bool, bool]], near: list[list[tuple[str, bool, bool]]], far: list[list[tuple[str, bool, bool]]] = (), *, copy_share: float = 0.5) -> tuple[str, int]:
+def main_text(page: list[Line], near: list[list[Line]], far: list[list[Line]] = (), *, copy_share: float = 0.5) -> tuple[str, int]:
     """Lines left, joined by a line feed, and the number of lines that alignment deleted.
 
     Lines outside article and main elements are aligned with those of the near neighbours and go where shared. On a
     page without such an element, a neighbour that shares more than copy_share of the free text is a copy and is passed
-    over. Lines inside are aligned with those inside of all neighbours, near and far, and go where two of them share
-    them; a neighbour that shares more than copy_share of the article is a copy of it and is passed over, and so is one
-    that is a copy of another neighbour. What alignment leaves goes too if it is furniture by its markup, or stands
-    outside the page's article.
+    over. Lines inside are aligned, together with their place, with those inside of all neighbours, near and far. They go where
+    nearly all neighbours share them (LEAST_SHARING of them at least), as what a host sets into every article does and a sentence that
+    some articles quote does not; headings never go. A neighbour that shares more than copy_share of the article is a copy of it and
+    is passed over, and so is one that is a copy of another neighbour. What alignment leaves goes too if it is furniture by
+    its markup, or stands outside the page's article.
     """
-    loose = [i for i, (_, main, _) in enumerate(page) if not main]
-    inside = [i for i, (_, main, _) in enumerate(page) if main]
+    loose = [i for i, line in enumerate(page) if not line[1]]
+    inside = [i for i, line in enumerate(page) if line[1]]
     own = [page[i][0] for i in loose]
     size = sum(len(page[i][0]) for i in loose if not page[i][2]) or 1
     gone: set[int] = set()
     for other in near:
-        shared = {loose[k] for k in common_lines(own, [text for text, main, _ in other if not main])}
+        shared = {loose[k] for k in common_lines(own, [line[0] for line in other if not line[1]])}
         if inside or sum(len(page[i][0]) for i in shared if not page[i][2]) <= copy_share * size:
             gone |= shared
     if inside:
-        article = [page[i][0] for i in inside]
-        size = sum(map(len, article))
-        once: set[int] = set()
+        placed = lambda lines: [f"{line[3]}\0{line[0]}" for line in lines if line[1]]
+        article = placed(page)
+        size = sum(len(page[i][0]) for i in inside)
+        sharing: Counter = Counter()
         heard: list[list[str]] = []
         for other in (*near, *far):
-            body = [text for text, main, _ in other if main]
-            shared = {inside[k] for k in common_lines(article, body)}
-            if not shared or sum(len(page[i][0]) for i in shared) > copy_share * size or any(_alike(body, x, copy_share) for x in heard):
+            body = [line[0] for line in other if line[1]]
+            if not body or any(_alike(body, x, copy_share) for x in heard):
+                continue
+            shared = {inside[k] for k in common_lines(article, placed(other))}
+            if sum(len(page[i][0]) for i in shared) > copy_share * size or _alike([page[i][0] for i in inside], body, copy_share):
                 continue
             heard.append(body)
-            gone |= shared & once
-            once |= shared
-    return "\n".join(text for i, (text, main, furniture) in enumerate(page) if i not in gone and not furniture and (main or not inside)), len(gone)
+            sharing.update(shared)
+        enough = max(LEAST_SHARING, SHARING * len(heard))
+        gone |= {i for i, n in sharing.items() if n >= enough and not _HEADINGS & set(page[i][3].split(">"))}
+    return "\n".join(line[0] for i, line in enumerate(page) if i not in gone and not line[2] and (line[1] or not inside)), len(gone)
 
 
 _ORDER = ["host", "path", "link", "id"]
