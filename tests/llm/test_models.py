@@ -268,7 +268,7 @@ def test_headings_and_legal_passages_of_an_article_stay(spark):
 @pytest.mark.parametrize("partitions", [1, 5, 40])
 def test_every_page_meets_the_same_neighbours_in_any_number_of_ranges(spark, partitions):
     body = lambda k: f"<p>Story number {k} tells something of its own at length, {'so ' * 20 + str(k)}</p>"
-    rows = [(h * 100 + k, f"http://h{h}.com/{k:03}", f"<body><article>{body(h * 100 + k)}<p>Line {h} of {k // 4}</p></article><div>Imprint {h} {k // 2}</div></body>") for h in range(2) for k in range(40)]
+    rows = [(h * 100 + k, f"http://h{h}.com/{k:03}", f"<body><article>{body(h * 100 + k)}<p>Line {h} of {k // 4}</p><p>Part {h} of {k // 20}</p></article><div>Imprint {h} {k // 2}</div></body>") for h in range(2) for k in range(40)]
     want = {}
     lines = {i: html_extraction.lines_of(x) for i, _, x in rows}
     for i, _, _ in rows:
