@@ -74,6 +74,23 @@ def last(f: DataFrame) -> DataFrame:
     return f.groupBy("tk", "ann").agg(F.max_by(F.struct("q", "v", "rid"), F.struct("q", "rid")).alias("s")).select("tk", "ann", "s.q", "s.v", "s.rid")
 
 
+def newest_two(f: DataFrame) -> DataFrame:
+    """tk, ann, q, v, place: per announcement date the newest quarter seen (place 2), and on dates of several announcements also the one before it
+    (place 1), each in its latest version. Quarters count as often as they were announced, so that both may be the same quarter.
+
+    The second largest value so far is the largest of min(value, largest before it): one running window, no list.
+    """
+    w = Window.partitionBy("tk").orderBy("ann", "rid")
+    before = F.max("q").over(w.rowsBetween(Window.unboundedPreceding, -1))
+    rows = f.withColumn("q", F.col("q").cast("int")).withColumn("__s", F.least("q", before)).withColumn("__s", F.when(before.isNotNull(), F.col("__s")))
+    so_far = w.rowsBetween(Window.unboundedPreceding, 0)
+    rows = rows.withColumns({"__one": F.max("q").over(so_far), "__two": F.max("__s").over(so_far), "__n": F.count("*").over(Window.partitionBy("tk", "ann")), "__last": F.max("rid").over(Window.partitionBy("tk", "ann"))})
+    asked = F.when(F.col("rid") == F.col("__last"), F.when(F.col("__n") > 1, F.array("__two", "__one")).otherwise(F.array("__one")))
+    found = _asked(rows.withColumn("__two", F.when(F.col("__n") > 1, F.col("__two"))), F.array_distinct(F.coalesce(asked, F.array().cast("array<int>")))).filter("__ask")
+    places = F.when(F.col("__two").isNull(), F.array(F.lit(2))).when(F.col("__one") == F.col("__two"), F.array(F.lit(1), F.lit(2))).when(F.col("__at") == F.col("__one"), F.array(F.lit(2))).otherwise(F.array(F.lit(1)))
+    return found.select("tk", "ann", F.col("__at").alias("q"), F.col("__v").alias("v"), F.explode(places).alias("place"))
+
+
 def history(f: DataFrame, n: int) -> DataFrame:
     """f with h: array of (q, v), the latest visible versions of the last n quarters, oldest first."""
     found = _asked(f.withColumn("q", F.col("q").cast("int")), F.sequence(F.col("q") - n + 1, F.col("q"))).filter("__ask and __v is not null")

@@ -77,6 +77,13 @@ def pit_last(spark, sf_dir):
     return tidy(pit.last(facts(spark, sf_dir)), ["tk", "ann", "q"], ["v"], 4)
 
 
+@query("pit_newest_two", f"""WITH {DENSE_FACTS}, d AS (SELECT tk, ann, count(*) AS n FROM f GROUP BY tk, ann), r AS (SELECT d.tk, d.ann, d.n, f.q, row_number() OVER (PARTITION BY d.tk, d.ann ORDER BY f.q DESC) AS k FROM d JOIN f ON f.tk = d.tk AND f.ann <= d.ann),
+ o AS (SELECT r.tk, r.ann, r.q, (SELECT last(g.v ORDER BY g.ann, g.rid) FROM f g WHERE g.tk = r.tk AND g.q = r.q AND g.ann <= r.ann) AS v, CAST(3 - k AS INTEGER) AS place FROM r WHERE k = 1 OR k = 2 AND n > 1) """ + sql_tidy("tk, ann, q, place", ["v"], "o", 2))
+def pit_newest_two(spark, sf_dir):
+    """Facts of which a quarter of the dates announce two months at once."""
+    return tidy(pit.newest_two(dense_facts(spark, sf_dir)), ["tk", "ann", "q", "place"], ["v"], 2)
+
+
 HISTORY = f"{FACTS}, h AS (SELECT tk, rid, q, v, gq, gv FROM (SELECT x.tk, x.rid, x.q, x.v, g.q AS gq, g.v AS gv, row_number() OVER (PARTITION BY x.tk, x.rid, g.q ORDER BY g.ann DESC, g.rid DESC) AS k FROM f x JOIN f g ON x.tk = g.tk AND g.q BETWEEN x.q - 7 AND x.q AND g.ann <= x.ann) WHERE k = 1)"
 
 
