@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import features, joins
+from ..functions import windows as win
+from ..operators import factor_manager, features, joins
 from ..sources import stores
 from .panel_queries import KEYS, LAG, TRAIL
 from .registry import query, sql_tidy, tidy
@@ -68,3 +69,27 @@ def basic_sets(spark, sf_dir):
             raise RuntimeError(f"sets failed: {failed}")
     both = keeper.store("quote").read().join(keeper.store("size").read(), KEYS).withColumn("total_mv", F.round("total_mv", 0))
     return tidy(both, KEYS, QUOTE, 7)
+
+
+FACTOR_STAGES = ["primitive", "standardized", "orthogonalized"]
+
+
+@query("factor_stages", f"""WITH {WEEKLY}, x AS (SELECT *, ln(amount) AS size, close / max(close) OVER {LAG(4)} - 1 AS p FROM wk), m1 AS (SELECT *, median(p) OVER (PARTITION BY td) AS med FROM x), m2 AS (SELECT *, median(abs(p - med)) OVER (PARTITION BY td) AS mad, median(CASE WHEN p <> 0 THEN abs(p - med) END) OVER (PARTITION BY td) AS nz FROM m1),
+ m3 AS (SELECT *, CASE WHEN p IS NOT NULL THEN least(greatest(p, med - 3 * 1.483::DOUBLE * CASE WHEN mad > 0 THEN mad ELSE coalesce(nz, 0) END), med + 3 * 1.483::DOUBLE * CASE WHEN mad > 0 THEN mad ELSE coalesce(nz, 0) END) END AS w FROM m2),
+ z AS (SELECT td, tk, p, size, volume, (w - sum(w * volume) OVER d / sum(CASE WHEN w IS NOT NULL THEN volume END) OVER d) / (stddev_samp(w) OVER d + 1e-8) AS z FROM m3 WINDOW d AS (PARTITION BY td)),
+ s AS (SELECT *, sum(CASE WHEN z IS NOT NULL THEN volume END) OVER d AS sw, sum(CASE WHEN z IS NOT NULL THEN volume * size END) OVER d AS sx, sum(volume * z) OVER d AS sy, sum(CASE WHEN z IS NOT NULL THEN volume * size * size END) OVER d AS sxx, sum(volume * size * z) OVER d AS sxy, count(z) OVER d AS n FROM z WINDOW d AS (PARTITION BY td)),
+ u AS (SELECT *, (sw * sxy - sx * sy) / nullif(sw * sxx - sx * sx, 0) AS b FROM s),
+ o AS (SELECT td, tk, p AS primitive, z AS standardized, CASE WHEN n - 2 > 2 THEN z - (sy - b * sx) / sw - b * size END AS orthogonalized FROM u WHERE p IS NOT NULL) """ + sql_tidy("td, tk", FACTOR_STAGES, "o", 4))
+def factor_stages(spark, sf_dir):
+    """Momentum as computed, standardised, and freed of size, each from its own store."""
+    days = joins.local(trading_days(spark, sf_dir))
+    p = bars(spark, sf_dir).join(F.broadcast(days.select("td", "ix")), "td").withColumn("size", F.log("amount"))
+    spec = factor_manager.Spec("momentum", "change", {"n": 4}, ("winsorize_mad", "standardize"), ("size",))
+    manager = factor_manager.FactorManager(spark, stores.scratch(spark, "factors"), [spec], {"change": lambda close, *, n: F.col(close) / win.lagged(close, n) - 1})
+    if failed := manager.run(p, {}, weight="volume"):
+        raise RuntimeError(f"factors failed: {failed}")
+    out = None
+    for stage in factor_manager.STAGES:
+        one = manager.store("momentum", stage).read().withColumnRenamed("value", stage)
+        out = one if out is None else out.join(one, KEYS, "full")
+    return tidy(out, KEYS, FACTOR_STAGES, 4)

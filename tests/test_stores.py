@@ -144,3 +144,29 @@ def test_descriptions_and_ticker_numbers(spark):
     assert out == {1: ("a", dt.date(1900, 1, 1), dt.date(2100, 1, 1)), 2: ("b", dt.date(2000, 1, 1), dt.date(2001, 1, 1))}
     codes = spark.createDataFrame([(c,) for c in ("600000.XY", "000001.XZ", "300750", "800001.XY", "60000.XY", "A12345.XY", "6000001.X", "", None)], "c string")
     assert [r.n for r in codes.select(stores.ticker_number(F.col("c")).alias("n")).collect()] == [600000, 1, 300750, None, None, None, None, None, None]
+
+
+def test_factors_are_kept_in_three_stages(spark, tmp_path):
+    import random
+
+    from panelyx.operators import factor_manager
+
+    rng = random.Random(1)
+    panel = spark.createDataFrame([(d, tk, i, rng.random() * 10, rng.random(), float(1 + tk % 3)) for i, d in enumerate(DATES[:12]) for tk in range(9)], "td date, tk int, ix int, close double, size double, w double")
+    specs = [factor_manager.Spec("level", "level", {}, ("standardize",), ("size",)), factor_manager.Spec("plain", "level"), factor_manager.Spec("broken", "level", {}, ("polish",)), factor_manager.Spec("unknown", "nothing")]
+    manager = factor_manager.FactorManager(spark, f"{tmp_path}/f", specs, {"level": lambda close: F.col(close)})
+    mask = panel.filter("tk <> 8").select("td", "tk")
+    failed = manager.run(panel, {}, weight="w", member="m", universes={"m": mask}, start=str(DATES[3]))
+    assert set(failed) == {"broken", "unknown"}
+    stage = lambda name, s: {(r.td, r.tk): r.value for r in manager.store(name, s).read().collect()}
+    raw, z, rest = (stage("level", s) for s in factor_manager.STAGES)
+    assert set(raw) == set(z) == set(rest) == {(d, tk) for d in DATES[3:12] for tk in range(8)}
+    assert stage("plain", "primitive") == stage("plain", "orthogonalized") == raw
+    rows = {(r.td, r.tk): r for r in panel.collect()}
+    for d in DATES[3:12]:
+        # what is left has no weighted covariance with the size, and weighs up to nothing
+        assert abs(sum(rest[d, k] * rows[d, k].w for k in range(8))) < 1e-9 and abs(sum(rest[d, k] * rows[d, k].w * rows[d, k].size for k in range(8))) < 1e-9
+        assert abs(sum(z[d, k] * rows[d, k].w for k in range(8))) < 1e-9
+    assert manager.run(panel, {}, ["plain"], weight="w", start=str(DATES[11])) == {} and len(stage("plain", "primitive")) == 8 * 8 + 9
+    with pytest.raises(ValueError, match="no stage raw"):
+        manager.store("level", "raw")
