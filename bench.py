@@ -14,6 +14,7 @@ HEADLINE = [
     "factor_groups_forward_return", "calendar_flags", "universe_interval", "universe_masks", "weekly_bar", "rolling_features", "ewm_trend", "rolling_beta", "winsor_mad", "zscores",
     "bucket_returns", "xsec_residual", "information_coefficient", "portfolio_return", "portfolio_turnover", "performance_by_year", "minute_moments", "minute_corr", "long_short_game",
     "pit_ttm", "pit_yoy", "pit_mean", "asof_fundamental", "analyst_consensus", "label_simple",
+    "net_performance", "portfolio_return_vwap", "factor_roe_ttm", "label_similar", "factor_test", "consensus_whole", "exposure_graph",
 ]
 
 

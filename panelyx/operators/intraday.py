@@ -238,30 +238,29 @@ def climb(p: DataFrame) -> DataFrame:
 
 
 def lag_regression(p: DataFrame, lags: int = 5) -> DataFrame:
-    """Regression of ret on the volume changes of this bar and the ``lags`` before, with intercept, per day and entity.
+    """Regression of ret on the volume changes of this bar and the ``lags`` before, with intercept, per day and entity: deviation of the slopes' t
+    values, t value of the intercept, F value. NULL where there are no more rows than coefficients, or where the regressors depend on each other.
 
-    A group is one entity's day of bars, so it is small whatever the table's size.
+    Cross products are sums by day and entity. Sweeping them, one regressor after the other, turns them into the coefficients, the (negative) inverse
+    of the products and the sum of squared residuals; column expressions only.
     """
-    import numpy as np
-    import pandas as pd
-
     w = _day(*KEY).orderBy("bar")
     p = p.withColumn("dv", F.col("volume") - F.lag("volume").over(w))
     p = p.select(*KEY, "ret", *(F.lag("dv", i).over(w).alias(f"x{i}") for i in range(lags + 1))).dropna()
-    kinds = dict(p.dtypes)
-
-    def fitted(pdf: pd.DataFrame) -> pd.DataFrame:
-        x = np.column_stack([*(pdf[f"x{i}"] for i in range(lags + 1)), np.ones(len(pdf))])
-        y, (n, k) = pdf["ret"].to_numpy(), x.shape
-        row = {c: pdf[c].iloc[0] for c in KEY} | {"t_std": None, "intercept_t": None, "f_value": None}
-        if n > k:
-            beta, *_ = np.linalg.lstsq(x, y, rcond=None)
-            error = y - x @ beta
-            mse = float(error @ error) / (n - k)
-            spread = np.sqrt(np.maximum(mse * np.diag(np.linalg.pinv(x.T @ x)), 1e-300))
-            t = beta / spread
-            explained = float(((x @ beta - y.mean()) ** 2).sum())
-            row |= {"t_std": float(t[:-1].std()), "intercept_t": float(t[-1]), "f_value": explained / (k - 1) / mse if mse > 0 else None}
-        return pd.DataFrame([row])
-
-    return p.groupBy(*KEY).applyInPandas(fitted, f"td {kinds['td']}, tk {kinds['tk']}, t_std double, intercept_t double, f_value double")
+    terms = [F.lit(1.0), *(F.col(f"x{i}") for i in range(lags + 1)), F.col("ret")]
+    k = lags + 2
+    name = lambda i, j: f"s{min(i, j)}_{max(i, j)}"
+    pairs = [(i, j) for i in range(k + 1) for j in range(i, k + 1)]
+    out = p.groupBy(*KEY).agg(*(F.sum(terms[i] * terms[j]).alias(name(i, j)) for i, j in pairs))
+    out = out.withColumns({"n": F.col("s0_0"), "around": F.col(name(k, k)) - F.col(name(0, k)) * F.col(name(0, k)) / F.col("s0_0"), **{f"o{i}": F.col(name(i, i)) for i in range(k)}})
+    for q in range(k):
+        out = out.withColumn("d", F.when(F.col(name(q, q)) > 1e-10 * F.col(f"o{q}"), F.col(name(q, q))))
+        rest = {name(i, j): F.col(name(i, j)) - F.col(name(i, q)) * F.col(name(j, q)) / F.col("d") for i, j in pairs if q not in (i, j)}
+        own = {name(i, q): F.col(name(i, q)) / F.col("d") for i in range(k + 1) if i != q}
+        out = out.withColumns(rest | own | {name(q, q): -1 / F.col("d")})
+    mse = F.greatest(F.col(name(k, k)), F.lit(0.0)) / F.when(F.col("n") > k, F.col("n") - k)
+    t = [F.col(name(i, k)) / F.sqrt(F.greatest(mse * -F.col(name(i, i)), F.lit(1e-300))) for i in range(k)]
+    mean = sum(t[1:]) / (lags + 1)
+    spread = F.sqrt(sum((x - mean) * (x - mean) for x in t[1:]) / (lags + 1))
+    value = F.try_divide((F.col("around") - F.col(name(k, k))) / (k - 1), F.when(mse > 0, mse))
+    return out.select(*KEY, spread.alias("t_std"), t[0].alias("intercept_t"), value.alias("f_value"))

@@ -95,9 +95,28 @@ def climb_height(spark, sf_dir):
     return tidy(intraday.climb(prepared(spark, sf_dir)), KEYS, ["cov_ret_bvol"], 5)
 
 
-@query("hidden_flower")
+def _sweep_sql(k: int) -> str:
+    """CTEs w1 ... that sweep the regressors 0 ... k - 1 out of the sums of w0; column names as in a symmetric matrix, k is the regressand."""
+    name = lambda i, j: f"s{min(i, j)}_{max(i, j)}"
+    pairs = [(i, j) for i in range(k + 1) for j in range(i, k + 1)]
+    ctes = []
+    for q in range(k):
+        new = [f"{name(i, j)} - {name(i, q)} * {name(j, q)} / d AS {name(i, j)}" for i, j in pairs if q not in (i, j)] + [f"{name(i, q)} / d AS {name(i, q)}" for i in range(k + 1) if i != q] + [f"-1 / d AS {name(q, q)}"]
+        ctes.append(f"w{q + 1} AS MATERIALIZED (SELECT td, tk, n, around, {', '.join(f'o{i}' for i in range(k))}, {', '.join(new)} FROM (SELECT *, CASE WHEN {name(q, q)} > 1e-10 * o{q} THEN {name(q, q)} END AS d FROM w{q}))")
+    return ", ".join(ctes)
+
+
+_TERMS = ["1.0::DOUBLE", *(f"x{i}" for i in range(6)), "ret"]
+_T = [f"s{i}_7 / sqrt(greatest(mse * -s{i}_{i}, 1e-300))" for i in range(7)]
+
+
+@query("hidden_flower", f"""WITH {INTRADAY}, v0 AS (SELECT td, tk, bar, ret, volume - lag(volume) OVER (PARTITION BY td, tk ORDER BY bar) AS dv FROM p), v AS (SELECT td, tk, ret, {', '.join(f'lag(dv, {i}) OVER (PARTITION BY td, tk ORDER BY bar) AS x{i}' for i in range(6))} FROM v0),
+ w00 AS (SELECT td, tk, {', '.join(f'sum({a} * {b}) AS s{i}_{j}' for i, a in enumerate(_TERMS) for j, b in enumerate(_TERMS) if i <= j)} FROM v WHERE ret IS NOT NULL AND {' AND '.join(f'x{i} IS NOT NULL' for i in range(6))} GROUP BY td, tk),
+ w0 AS MATERIALIZED (SELECT *, s0_0 AS n, s7_7 - s0_7 * s0_7 / s0_0 AS around, {', '.join(f's{i}_{i} AS o{i}' for i in range(7))} FROM w00), {_sweep_sql(7)}, e AS (SELECT *, greatest(s7_7, 0) / CASE WHEN n > 7 THEN n - 7 END AS mse FROM w7),
+ o AS (SELECT td, tk, list_stddev_pop([{', '.join(_T[1:])}]) AS t_std, {_T[0]} AS intercept_t, (around - s7_7) / 6 / CASE WHEN mse > 0 THEN mse END AS f_value FROM e) """ + sql_tidy("td, tk", ["t_std", "intercept_t", "f_value"], "o", 3))
 def hidden_flower(spark, sf_dir):
-    return tidy(intraday.lag_regression(prepared(spark, sf_dir), 2), KEYS, ["t_std", "intercept_t", "f_value"], 4)
+    """Returns on the volume changes of this bar and the five before."""
+    return tidy(intraday.lag_regression(prepared(spark, sf_dir), 5), KEYS, ["t_std", "intercept_t", "f_value"], 3)
 
 
 @query("tree_forecast")

@@ -274,3 +274,28 @@ def test_growth_over_nothing_but_zeros_gives_no_row(spark):
 def test_a_calendar_has_to_be_one(spark):
     with pytest.raises(ValueError, match="more than 3 dates"):
         joins.local(calendar(spark, [day(i) for i in range(4)]), 3)
+
+
+def test_regression_on_lagged_volumes_equals_least_squares(spark):
+    from panelyx.operators import intraday
+
+    rng = np.random.default_rng(9)
+    rows = [(day(d), tk, b, float(rng.normal()), float(rng.integers(1, 50))) for d in range(3) for tk in range(2) for b in range((30, 12, 5)[d])]
+    df = spark.createDataFrame(rows, "td date, tk int, bar int, ret double, volume double")
+    out = {(r.td, r.tk): r for r in intraday.lag_regression(df, 2).collect()}
+    assert "Python" not in intraday.lag_regression(df, 2)._jdf.queryExecution().executedPlan().toString()
+    for d in range(3):
+        for tk in range(2):
+            own = [r for r in rows if r[0] == day(d) and r[1] == tk]
+            dv = np.diff([r[4] for r in own])
+            x = np.column_stack([np.ones(len(dv) - 2), dv[2:], dv[1:-1], dv[:-2]])
+            y = np.array([r[3] for r in own])[3:]
+            n, k = x.shape
+            r = out[day(d), tk]
+            if n <= k:
+                assert r.t_std is None and r.f_value is None
+                continue
+            b = np.linalg.lstsq(x, y, rcond=None)[0]
+            mse = ((y - x @ b) ** 2).sum() / (n - k)
+            t = b / np.sqrt(mse * np.diag(np.linalg.inv(x.T @ x)))
+            assert r.t_std == pytest.approx(t[1:].std()) and r.intercept_t == pytest.approx(t[0]) and r.f_value == pytest.approx(((x @ b - y.mean()) ** 2).sum() / (k - 1) / mse)
