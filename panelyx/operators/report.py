@@ -90,7 +90,7 @@ def laid_out(own: DataFrame, plan: DataFrame) -> DataFrame:
 
 
 def basket_days(own: DataFrame, plan: DataFrame) -> DataFrame:
-    """grp, td, ix, seg (held on it), ret of every basket on every day from its first decision (return 0) on."""
+    """grp, td, ix, seg (held on it), ret of every group on every day from its first decision (return 0) on; 0 on days on which it holds nothing."""
     added = own.groupBy("grp", "seg", "ix").agg(F.sum("delta").alias("delta"))
     # a day on which no name of the basket has a bar adds nothing
     full = _until(added, plan, "grp").withColumn("delta", F.when(F.col("new"), F.col("delta")).otherwise(F.lit(0.0)))
@@ -98,15 +98,21 @@ def basket_days(own: DataFrame, plan: DataFrame) -> DataFrame:
     value = full.withColumn("v", F.sum("delta").over(w.rowsBetween(Window.unboundedPreceding, 0)))
     moved = value.withColumn("g", F.col("v") / F.lag("v").over(w)).filter(F.col("g").isNotNull() | (F.col("seg") == 0)).withColumn("g", F.coalesce("g", F.lit(1.0)))
     out = moved.groupBy("grp", "ix").agg((F.product("g") - 1).alias("ret"))
+    # a decision that finds too few names leaves a group empty until the next one
+    newest = plan.agg(F.max("ix").alias("__last"))
+    after = F.lead("ix").over(Window.partitionBy("grp").orderBy("ix"))
+    each = out.join(F.broadcast(newest)).withColumn("__to", F.coalesce(after - 1, F.greatest("ix", "__last")))
+    each = each.withColumn("__ix", F.explode(F.sequence("ix", "__to")))
+    out = each.select("grp", F.col("__ix").alias("ix"), F.when(F.col("ix") == F.col("__ix"), F.col("ret")).otherwise(F.lit(0.0)).alias("ret"))
     return out.join(F.broadcast(plan.select("ix", "td", "seg")), "ix").select("grp", "td", "ix", "seg", "ret")
 
 
 def basket_turnover(own: DataFrame, plan: DataFrame) -> DataFrame:
-    """grp, seg, td, ix, turnover of every change from one basket to the next: summed differences of weights, on the first day of the new one."""
+    """grp, seg, td, ix, turnover of every change from one basket to the next (either may be empty): summed differences of weights, on the first day of the new one."""
     ends = own.filter("end").withColumn("__w", F.col("grown") / F.sum("grown").over(Window.partitionBy("grp", "seg")))
-    sides = ends.select("grp", "tk", F.explode(F.array(F.struct(F.col("seg").alias("seg"), F.col("w0").alias("w"), F.lit(1).alias("new")), F.struct((F.col("seg") + 1).alias("seg"), (-F.col("__w")).alias("w"), F.lit(0).alias("new")))).alias("s"))
-    apart = sides.groupBy("grp", "s.seg", "tk").agg(F.sum("s.w").alias("w"), F.max("s.new").alias("new"))
-    out = apart.groupBy("grp", "seg").agg(F.sum(F.abs("w")).alias("turnover"), F.max("new").alias("new")).filter("seg > 0 and new = 1")
+    sides = ends.select("grp", "tk", F.explode(F.array(F.struct(F.col("seg").alias("seg"), F.col("w0").alias("w")), F.struct((F.col("seg") + 1).alias("seg"), (-F.col("__w")).alias("w")))).alias("s"))
+    apart = sides.groupBy("grp", "s.seg", "tk").agg(F.sum("s.w").alias("w"))
+    out = apart.groupBy("grp", "seg").agg(F.sum(F.abs("w")).alias("turnover")).filter("seg > 0")
     days = plan.filter("first").select("seg", "td", "ix")
     return out.join(F.broadcast(days), "seg").select("grp", "seg", "td", "ix", "turnover")
 
@@ -253,7 +259,7 @@ def statistics(rows: DataFrame, keys: Sequence[str], *, per_year: int = 252, dro
     runs = p.groupBy(*keys, "run").agg(
         F.min("dd").alias("depth"), F.count_if(F.col("dd") < 0).alias("length"), F.min(F.when(F.col("dd") < 0, F.col("td"))).alias("since"), F.max(F.when(F.col("dd") < 0, F.col("td"))).alias("until"),
         F.count("*").alias("n"), F.product(1 + F.col("ret")).alias("growth"), F.sum("ret").alias("s1"), F.sum(F.col("ret") * F.col("ret")).alias("s2"), F.count_if(later & (F.col("ret") > 0)).alias("wins"), F.count_if(later).alias("days"),
-        F.count_if(later & (F.col("ret") < -drop)).alias("drops"), F.count("month_ret").alias("months"), F.count_if(F.col("month_ret") > 0).alias("month_wins"), F.collect_list("fall").alias("falls"),
+        F.count_if(later & (F.col("ret") < -drop)).alias("drops"), F.count("month_ret").alias("months"), F.count_if(F.col("month_ret") > 1e-12).alias("month_wins"), F.collect_list("fall").alias("falls"),
     )
     big = F.col("depth") < -deep
     n = F.sum("n")

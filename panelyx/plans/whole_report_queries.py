@@ -34,14 +34,14 @@ def tested(spark, sf_dir) -> dict:
 TESTED = f"""{WEEKLY}, p0 AS MATERIALIZED (SELECT td, tk, ix, pow(vwap, 0.05::DOUBLE) AS vwap, pow(close, 0.05::DOUBLE) AS close FROM wk), p1 AS MATERIALIZED (SELECT *, max(close) OVER {LAG(1)} AS b, CASE WHEN tk % 10 <> 3 THEN close / max(close) OVER {LAG(4)} - 1 END AS mom FROM p0),
  p AS MATERIALIZED (SELECT *, close / b - 1 AS r, vwap / b - 1 AS sell, close / vwap - 1 AS buy FROM p1),
  rb AS (SELECT ix AS r0, CAST(row_number() OVER (ORDER BY ix) - 1 AS INTEGER) AS seg FROM cal WHERE ix % {EVERY} = 0 AND ix >= {EVERY} AND ix < (SELECT max(ix) FROM cal)), sg AS MATERIALIZED (SELECT *, lead(r0) OVER (ORDER BY seg) AS nx, coalesce(lead(r0) OVER (ORDER BY seg), (SELECT max(ix) FROM cal)) AS z FROM rb),
- gp AS MATERIALIZED (SELECT seg, r0, nx, z, tk, mom, close, CAST(floor((k - 1) / size) + 1 AS INTEGER) AS grp, size FROM (SELECT *, row_number() OVER (PARTITION BY ix ORDER BY mom, tk) AS k, count(*) OVER (PARTITION BY ix) // {N} AS size FROM p JOIN sg ON p.ix = sg.r0 WHERE mom IS NOT NULL)),
+ gp AS MATERIALIZED (SELECT seg, r0, nx, z, tk, mom, close, CAST(floor((k - 1) / nullif(size, 0)) + 1 AS INTEGER) AS grp, size FROM (SELECT *, row_number() OVER (PARTITION BY ix ORDER BY mom, tk) AS k, count(*) OVER (PARTITION BY ix) // {N} AS size FROM p JOIN sg ON p.ix = sg.r0 WHERE mom IS NOT NULL)),
  hb AS MATERIALIZED (SELECT *, 1.0::DOUBLE / size AS w0 FROM gp WHERE grp <= {N}),
  dx AS (SELECT *, CAST(unnest(range(r0 + 1, z + 1)) AS INTEGER) AS ix FROM hb),
  gw AS MATERIALIZED (SELECT dx.grp, dx.seg, dx.tk, dx.ix, dx.z, dx.w0, dx.w0 * product(1 + CASE WHEN dx.ix = dx.r0 + 1 AND dx.seg > 0 THEN coalesce(buy, 0) ELSE coalesce(r, 0) END) OVER (PARTITION BY dx.seg, dx.tk ORDER BY dx.ix) AS grown FROM dx LEFT JOIN p ON p.tk = dx.tk AND p.ix = dx.ix),
  bk AS (SELECT grp, seg, ix, sum(grown) AS v, sum(w0) AS w FROM gw GROUP BY ALL), bt AS (SELECT grp, ix, v / coalesce(lag(v) OVER (PARTITION BY grp, seg ORDER BY ix), w) AS g FROM bk),
  en AS MATERIALIZED (SELECT gw.grp, gw.seg, gw.tk, gw.ix, grown, grown * (1 + coalesce(sell, 0)) AS sold FROM gw LEFT JOIN p ON p.tk = gw.tk AND p.ix = gw.ix + 1 WHERE gw.ix = gw.z),
  sl AS (SELECT grp, ix + 1 AS ix, sum(sold) / sum(grown) AS g FROM en WHERE seg < (SELECT max(seg) FROM hb) GROUP BY grp, seg, ix),
- al AS (SELECT * FROM bt UNION ALL SELECT * FROM sl UNION ALL SELECT grp, r0, 1.0::DOUBLE FROM hb WHERE seg = 0 GROUP BY grp, r0), da AS MATERIALIZED (SELECT grp, cal.td AS td, al.ix AS ix, product(g) - 1 AS ret FROM al JOIN cal USING (ix) GROUP BY ALL),
+ al AS (SELECT * FROM bt UNION ALL SELECT * FROM sl UNION ALL SELECT grp, r0, 1.0::DOUBLE FROM hb WHERE seg = 0 GROUP BY grp, r0), da AS MATERIALIZED (SELECT b.grp AS grp, cal.td AS td, cal.ix AS ix, coalesce(product(al.g) - 1, 0) AS ret FROM (SELECT grp, min(ix) AS lo FROM al GROUP BY grp) b JOIN cal ON cal.ix >= b.lo LEFT JOIN al ON al.grp = b.grp AND al.ix = cal.ix GROUP BY b.grp, cal.td, cal.ix),
  ow AS (SELECT grp, seg + 1 AS seg, tk, sold / sum(sold) OVER (PARTITION BY grp, seg) AS w FROM en), tu AS MATERIALIZED (SELECT grp, seg, (SELECT td FROM cal JOIN sg ON cal.ix = sg.r0 + 1 WHERE sg.seg = j.seg) AS td, sum(abs(coalesce(w, 0) - coalesce(w0, 0))) AS turnover
    FROM (SELECT coalesce(hb.grp, ow.grp) AS grp, coalesce(hb.seg, ow.seg) AS seg, w, w0 FROM hb FULL JOIN ow ON hb.grp = ow.grp AND hb.seg = ow.seg AND hb.tk = ow.tk) j WHERE seg BETWEEN 1 AND (SELECT max(seg) FROM hb) GROUP BY grp, seg)"""
 
@@ -89,7 +89,7 @@ def factor_test_groups(spark, sf_dir):
  d3 AS (SELECT grp, td, period, first_, is_month_end, s, CASE WHEN first_ THEN 0 ELSE CASE s WHEN 'own' THEN own WHEN 'base' THEN base ELSE excess END END AS ret FROM d2, (VALUES ('own'), ('base'), ('excess')) v(s)),
  d4 AS MATERIALIZED (SELECT *, product(1 + ret) OVER w AS nav FROM d3 WINDOW w AS (PARTITION BY grp, period, s ORDER BY td)), d5 AS MATERIALIZED (SELECT *, nav / max(nav) OVER w - 1 AS dd, list(nav) OVER (PARTITION BY grp, period, s ORDER BY td ROWS BETWEEN 59 PRECEDING AND CURRENT ROW) AS l FROM d4 WINDOW w AS (PARTITION BY grp, period, s ORDER BY td)),
  d6 AS MATERIALIZED (SELECT *, list_min(list_transform(l, lambda x, i: x / list_max(l[1:i]) - 1)) AS fall, sum(CAST(dd >= 0 AS INTEGER)) OVER (PARTITION BY grp, period, s ORDER BY td) AS run FROM d5),
- mo AS (SELECT grp, period, s, avg(CAST(m > 0 AS INTEGER)) AS monthly_win FROM (SELECT *, nav / lag(nav) OVER (PARTITION BY grp, period, s ORDER BY td) - 1 AS m FROM d6 WHERE is_month_end = 1) WHERE m IS NOT NULL GROUP BY ALL),
+ mo AS (SELECT grp, period, s, avg(CAST(m > 1e-12 AS INTEGER)) AS monthly_win FROM (SELECT *, nav / lag(nav) OVER (PARTITION BY grp, period, s ORDER BY td) - 1 AS m FROM d6 WHERE is_month_end = 1) WHERE m IS NOT NULL GROUP BY ALL),
  ep AS (SELECT grp, period, s, run, min(dd) AS depth, count(*) AS days FROM d6 WHERE dd < 0 GROUP BY ALL), ea AS (SELECT grp, period, s, count(*) FILTER (depth < -0.01::DOUBLE) AS deep_count, coalesce(avg(depth) FILTER (depth < -0.01::DOUBLE), 0) AS deep_depth, coalesce(avg(days) FILTER (depth < -0.01::DOUBLE), 0) AS deep_days FROM ep GROUP BY ALL),
  st AS (SELECT grp, period, s, product(1 + ret) - 1 AS total, pow(product(1 + ret), 52.0::DOUBLE / nullif(count(*) - 1, 0)) - 1 AS annual, min(dd) AS max_drawdown, stddev_samp(ret) * sqrt(52.0::DOUBLE) AS vol, avg(CASE WHEN NOT first_ THEN CAST(ret > 0 AS INTEGER) END) AS daily_win, avg(CASE WHEN NOT first_ THEN CAST(ret < -0.005::DOUBLE AS INTEGER) END) AS drop_share, median(fall) AS rolling_drawdown FROM d6 GROUP BY ALL),
  ys AS (SELECT grp, year(td) AS y, count(*) AS k, sum(turnover) AS t FROM tu WHERE turnover <> 0 GROUP BY ALL), yt AS (SELECT grp, CAST(y AS VARCHAR) AS period, t / k AS turnover_each, t / k * k AS turnover_year FROM ys UNION ALL SELECT grp, 'all', sum(t) / sum(k), sum(t) / sum(k) * median(k) FROM ys GROUP BY grp),

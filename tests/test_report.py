@@ -201,3 +201,14 @@ def test_net_performance_reads_the_line_items_twice_at_most(spark, sf_dir):
     for name in ("net_performance", "portfolio_turnover", "portfolio_return", "portfolio_return_vwap"):
         plan = QUERIES[name](spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
         assert sum("Relation" in line and "l_orderkey" in line for line in plan.splitlines()) <= 2, name
+
+
+def test_a_group_without_names_holds_nothing(spark):
+    days = joins.calendar(spark.createDataFrame([(d,) for d in DAYS[:8]], "td date"))
+    # four names, but only one of them with a factor at the second decision: two groups of half a name each
+    rows = [(DAYS[i], tk, i, 10.0 * 1.1**i, None if i == 3 and tk else float(tk)) for i in range(8) for tk in range(4)]
+    panel = spark.createDataFrame(rows, "td date, tk int, ix int, close double, f double")
+    out = report.test_factor(panel, "f", 2, days, days.filter(F.col("ix").isin([1, 3, 5])))
+    daily = {(r.grp, r.ix): r.ret for r in out["daily"].collect()}
+    assert daily == {(g, i): pytest.approx(0.1 if i in (2, 3, 6, 7) else 0.0) for g in (1, 2) for i in range(1, 8)}
+    assert {(r.grp, r.ix): r.turnover for r in out["turnover"].collect()} == {(g, i): 1.0 for g in (1, 2) for i in (4, 6)}

@@ -9,16 +9,23 @@ from pyspark.sql import functions as F
 
 from panelyx.operators import dataset, factors, joins, pit
 from panelyx.plans import QUERIES
+from panelyx.plans.more_queries import items
 from panelyx.plans.panel_queries import momentum
-from panelyx.plans.roles import facts, table, weekly
+from panelyx.plans.roles import table, weekly
 
 
 @pytest.mark.parametrize("name", ["bp", "ep_ttm", "ep_mrq", "np_mrq_yoy", "roe_ttm", "roe_mrq_yoy", "eps_ttm_qoq"])
 def test_factors_on_every_week(name, spark, sf_dir):
     """The chain's facts, held by a loop over the weeks."""
     recipe = factors.LIBRARY[name]
-    f = facts(spark, sf_dir)
-    chained = pit.chain(pit.combine(pit.trailing_year(f), pit.window_stat(f, "mean", 4)) if recipe.per else f, recipe.steps)
+    of = items(spark, sf_dir)
+    f = of(recipe.item)
+    if recipe.per:
+        per = of(recipe.per)
+        # profits count with the shares of their date of announcement alone
+        f = f.join(per.select("tk", "rid"), ["tk", "rid"], "left_semi") if recipe.per == "shares" else f
+        f = pit.combine(pit.trailing_year(f), pit.window_stat(per, "mean", 4))
+    chained = pit.chain(f, recipe.steps)
     days = sorted(r.td for r in joins.calendar(weekly(spark, sf_dir)).collect())
     cap = {r.c_custkey: abs(r.c_acctbal) + 1 for r in table(spark, sf_dir, "customer").collect()}
     want = {}
