@@ -123,14 +123,12 @@ query("pit_vol_adj", f"WITH {DENSE_FACTS}, {RATIO}, {_lists(8, 'cc')}, o AS (SEL
 
 @query("pit_divide", f"WITH {FACTS}, y AS (SELECT * FROM f WHERE rid % 2 = 0), o AS (SELECT tk, rid, v / nullif(abs((SELECT last(y.v ORDER BY y.q, y.ann, y.rid) FROM y WHERE y.tk = x.tk AND y.q <= x.q AND y.ann <= x.ann)), 0) AS v FROM f x WHERE rid % 2 = 1) " + sql_tidy("tk, rid", ["v"], "o WHERE v IS NOT NULL", 4))
 def pit_divide(spark, sf_dir):
-    f = facts(spark, sf_dir)
-    return tidy(pit.combine(f.filter("rid % 2 = 1"), f.filter("rid % 2 = 0")), KEYS, ["v"], 4)
+    return tidy(pit.combine_own(facts(spark, sf_dir), F.col("rid") % 2 == 1), KEYS, ["v"], 4)
 
 
 @query("pit_multiply", f"WITH {FACTS}, y AS (SELECT * FROM f WHERE rid % 2 = 0), o AS (SELECT tk, rid, v * (SELECT last(y.v ORDER BY y.q, y.ann, y.rid) FROM y WHERE y.tk = x.tk AND y.q <= x.q AND y.ann <= x.ann) AS v FROM f x WHERE rid % 2 = 1) " + sql_tidy("tk, rid", ["v"], "o WHERE v IS NOT NULL", 0))
 def pit_multiply(spark, sf_dir):
-    f = facts(spark, sf_dir)
-    return tidy(pit.combine(f.filter("rid % 2 = 1"), f.filter("rid % 2 = 0"), "multiply"), KEYS, ["v"], 0)
+    return tidy(pit.combine_own(facts(spark, sf_dir), F.col("rid") % 2 == 1, "multiply"), KEYS, ["v"], 0)
 
 
 @query("asof_fundamental", f"""WITH {WEEKLY}, {FACTS}, l AS ({LAST.replace('round(', '(').replace(', 4)', ')')}), e AS (SELECT *, coalesce((SELECT max(td) FROM cal WHERE td < l.ann), (SELECT min(td) FROM cal)) AS eff FROM l),
