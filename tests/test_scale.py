@@ -2,11 +2,12 @@
 
 import datetime as dt
 import random
+import statistics
 
 import pytest
 from pyspark.sql import functions as F
 
-from panelyx.operators import pit
+from panelyx.operators import dataset, pit, processing
 
 
 def laid_out(df) -> int:
@@ -97,3 +98,26 @@ def test_coverage_does_not_lay_estimates_out_over_dates(spark):
     days = [(DAY + dt.timedelta(days=k),) for k in range(400)]
     out = pit.coverage(spark.createDataFrame(rows, "tk string, inst int, est_dt date"), spark.createDataFrame(days, "td date"), window_days=300)
     assert laid_out(out) <= 2 * 3 * 10 + 100
+
+
+@pytest.mark.parametrize("gathered", [20_000, 3])
+def test_medians_are_exact_whatever_is_gathered(spark, monkeypatch, gathered):
+    monkeypatch.setattr(dataset, "_GATHERED", gathered)
+    r = random.Random(6)
+    columns = {
+        "even": [r.uniform(-5, 5) for _ in range(200)], "odd": [r.gauss(0, 1e6) for _ in range(199)], "two": [0.0] * 100 + [1.0] * 100, "most": [7.0] * 190 + [r.random() for _ in range(10)],
+        "one": [3.0], "none": [], "gaps": [float("nan"), None, 1.0, 2.0, 4.0, float("inf")],
+    }
+    rows = [tuple(c[i] if i < len(c) else None for c in columns.values()) for i in range(200)]
+    df = spark.createDataFrame(rows, ", ".join(f"{c} double" for c in columns))
+    want = {c: statistics.median(x for x in v if x is not None and x == x) if v else None for c, v in columns.items()}
+    assert dataset.medians(df, {c: F.col(c) for c in columns}) == want
+
+
+def test_fitting_sends_no_values_whole(spark, monkeypatch):
+    """The global median held every value in one task; no plan of a fit may ask for it."""
+    monkeypatch.setattr(F, "median", lambda *_: pytest.fail("a median over all rows in one task"))
+    df = spark.createDataFrame([(float(i), [float(i), float(2 * i)]) for i in range(101)], "x double, w array<double>")
+    assert dataset.fit_clip(df, ["x"], 1.0)["x"] == pytest.approx((50 - 1.483 * 25, 50 + 1.483 * 25))
+    found = processing.window_statistics(df, ["w"])["w"]
+    assert found["median"] == [50.0, 100.0] and found["mad"] == [25.0, 50.0] and found["mean"] == [50.0, 100.0]
