@@ -16,7 +16,7 @@ def prepared(df: DataFrame, features: list[str], label: str) -> DataFrame:
 
 
 def forecast(df: DataFrame, features: list[str], label: str, first_year: int, last_year: int, *, trees: int = 10, depth: int = 3, seed: int = 1) -> DataFrame:
-    """td, tk, label and prediction of every test year, each from a model of the years before it."""
+    """td, tk, label and prediction of every test year, each from a model of the years before it. df is read several times for each year."""
     from pyspark.ml.feature import VectorAssembler
     from pyspark.ml.regression import GBTRegressor
 
@@ -26,7 +26,10 @@ def forecast(df: DataFrame, features: list[str], label: str, first_year: int, la
         train = prepared(clip(parts["train"], ends), features, label).filter(F.abs(label) <= 3)
         test = prepared(clip(parts["test"], ends), features, label)
         assemble = VectorAssembler(inputCols=features, outputCol="__features")
-        model = GBTRegressor(featuresCol="__features", labelCol=label, maxIter=trees, maxDepth=depth, seed=seed).fit(assemble.transform(train))
+        # fitting reads its rows several times
+        kept = assemble.transform(train).select("__features", label).persist()
+        model = GBTRegressor(featuresCol="__features", labelCol=label, maxIter=trees, maxDepth=depth, seed=seed).fit(kept)
+        kept.unpersist()
         found.append(model.transform(assemble.transform(test)).select("td", "tk", F.col(label).alias("label"), "prediction"))
     # without test years the result is empty
     out = df.limit(0).select("td", "tk", F.col(label).alias("label"), F.lit(0.0).alias("prediction"))

@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from panelyx.operators import dataset, pit, processing
+from panelyx.plans import QUERIES
 
 
 def laid_out(df) -> int:
@@ -121,3 +122,7 @@ def test_fitting_sends_no_values_whole(spark, monkeypatch):
     assert dataset.fit_clip(df, ["x"], 1.0)["x"] == pytest.approx((50 - 1.483 * 25, 50 + 1.483 * 25))
     found = processing.window_statistics(df, ["w"])["w"]
     assert found["median"] == [50.0, 100.0] and found["mad"] == [25.0, 50.0] and found["mean"] == [50.0, 100.0]
+
+
+def test_tree_forecast_reads_the_kept_panel(spark, sf_dir):
+    assert not any("lineitem" in f for f in QUERIES["tree_forecast"](spark, sf_dir).inputFiles())
