@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -107,82 +108,121 @@ def orthogonalize_on(df: DataFrame, dates: DataFrame, y: str, xs: list[str], wei
     return out_of.withColumn(out, F.when(F.col("__on"), F.col(out))).drop("__on", "__kept")
 
 
+#: Pairs drawn to place the next pivots.
+_DRAWN = 4096
+
+
+def _kernel(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    return (x - y) / (x + y)
+
+
+def _places(x: np.ndarray, y: np.ndarray, pivot: float, or_equal: bool) -> np.ndarray:
+    """For each x, how many of the falling y give a kernel below the pivot (or equal to it).
+
+    The kernel is below the pivot where y is above x (1 - pivot) / (1 + pivot): one sorted search finds the place. Rows where
+    rounding puts it beside the place that the kernel itself has are halved.
+    """
+    n, every = len(y), np.arange(len(x))
+    with np.errstate(divide="ignore", invalid="ignore"):
+        a = n - np.searchsorted(y[::-1], x * ((1 - pivot) / (1 + pivot)), "left" if or_equal else "right")
+    below = lambda h: h <= pivot if or_equal else h < pivot
+    wrong = (a > 0) & ~below(_kernel(x, y[np.maximum(a - 1, 0)])) | (a < n) & below(_kernel(x, y[np.minimum(a, n - 1)]))
+    if wrong.any():
+        rows = every[wrong]
+        low, high = np.zeros(len(rows), np.int64), np.full(len(rows), n, np.int64)
+        while (open_ := low < high).any():
+            mid = (low + high) // 2
+            under = below(_kernel(x[rows], y[np.minimum(mid, n - 1)]))
+            low, high = np.where(open_ & under, mid + 1, low), np.where(open_ & ~under, mid, high)
+        a[rows] = low
+    return a
+
+
 def _select(x: np.ndarray, y: np.ndarray, k: int) -> float:
     """The k-th smallest (from 0) of (x - y) / (x + y) over all pairs of positive x and y, in memory of the order of both.
 
-    Rows of x, columns of y falling: values rise along each row, so that a row's part below a pivot ends at one place. The
-    pivot is the weighted median of the rows' middles, which removes a quarter of what is left, at least.
+    Rows of x, columns of y falling: values rise along each row, so that a row's part below a pivot ends at one place. Pairs
+    drawn from what is left give a pivot on each side of the rank, between which a few hundredths of it lie; a rank outside
+    them still makes less of it. What stays is taken as it is.
     """
     y = np.sort(y)[::-1]
-    n = len(y)
+    n, draw = len(y), np.random.default_rng(0)
     low, high = np.zeros(len(x), np.int64), np.full(len(x), n, np.int64)
-    value = lambda rows, cols: (x[rows] - y[cols]) / (x[rows] + y[cols])
-    every = np.arange(len(x))
-
-    def places(pivot: float, or_equal: bool) -> np.ndarray:
-        a, b = np.zeros(len(x), np.int64), np.full(len(x), n, np.int64)
-        while (open_ := a < b).any():
-            rows = every[open_]
-            mid = (a[open_] + b[open_]) // 2
-            h = value(rows, mid)
-            below = h <= pivot if or_equal else h < pivot
-            a[rows[below]] = mid[below] + 1
-            b[rows[~below]] = mid[~below]
-        return a
-
     while (left := int((high - low).sum())) > 4 * (len(x) + n):
-        rows = every[high > low]
-        middles, weights = value(rows, (low[rows] + high[rows]) // 2), (high - low)[rows]
-        order = np.argsort(middles, kind="stable")
-        at = np.searchsorted(np.cumsum(weights[order]), (left + 1) // 2)
-        pivot = float(middles[order[at]])
-        under, up_to = places(pivot, False), places(pivot, True)
-        if k < under.sum():
-            high = np.minimum(high, under)
-        elif k >= up_to.sum():
+        ends = np.cumsum(high - low)
+        at = np.sort(draw.integers(0, left, _DRAWN))
+        rows = np.searchsorted(ends, at, "right")
+        drawn = np.sort(_kernel(x[rows], y[high[rows] - ends[rows] + at]))
+        share = (k - int(low.sum())) / left
+        reach = 3 * (_DRAWN * share * (1 - share)) ** 0.5 + 1
+        for pivot in (drawn[int(max(share * _DRAWN - reach, 0))], drawn[int(min(share * _DRAWN + reach, _DRAWN - 1))]):
+            under = _places(x, y, pivot, False)
+            if k < under.sum():
+                high = np.minimum(high, under)
+                continue
+            up_to = _places(x, y, pivot, True)
+            if k < up_to.sum():
+                return float(pivot)
             low = np.maximum(low, up_to)
-        else:
-            return pivot
     counts = np.maximum(high - low, 0)
-    rows = np.repeat(every, counts)
+    rows = np.repeat(np.arange(len(x)), counts)
     cols = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts) + np.repeat(low, counts)
-    rest = value(rows, cols)
+    rest = _kernel(x[rows], y[cols])
     at = k - int(low.sum())
     return float(np.partition(rest, at)[at])
 
 
+def _next(x: np.ndarray, y: np.ndarray, k: int, before: float) -> float:
+    """_select of k, where ``before`` is that of k - 1."""
+    y = np.sort(y)[::-1]
+    up_to = _places(x, y, before, True)
+    if k < up_to.sum():
+        return before
+    more = up_to < len(y)
+    return float(_kernel(x[more], y[up_to[more]]).min())
+
+
 def medcouple(values: np.ndarray) -> float:
     """Robust skewness: the median of h(a, b) = (a + b - 2 m) / (a - b) over values a >= median m >= b.
 
     Among the p values equal to the median the kernel is -1, 0 or 1 by their order: p zeros, and as many of 1 as of -1. With x = a - m
     and y = m - b the kernel is (x - y) / (x + y), of which only the middle is looked for; no matrix of pairs is built.
     """
-    v = np.asarray(values, float)
+    v = np.sort(np.asarray(values, float))
     if not len(v):
         return float("nan")
-    m = float(np.median(v))
-    x, y, p = np.sort(v[v > m] - m), np.sort(m - v[v < m]), int((v == m).sum())
+    m = float((v[(len(v) - 1) // 2] + v[len(v) // 2]) / 2)
+    x, y, p = v[v > m] - m, (m - v[v < m])[::-1], int((v == m).sum())
     ties = p * (p - 1) // 2
     low, inner, high = p * len(y) + ties, len(x) * len(y), p * len(x) + ties
     negative, upto_zero = int((len(y) - np.searchsorted(y, x, "right")).sum()), int((len(y) - np.searchsorted(y, x, "left")).sum())
 
-    def ranked(k: int) -> float:
+    def place(k: int) -> float | int:
+        """The kernel's value at a rank, or (as an int) the rank among the pairs of x and y."""
         if k < low:
             return -1.0
         k -= low
         if k < negative:
-            return _select(x, y, k)
+            return k
         if k < upto_zero + p:
             return 0.0
-        return _select(x, y, k - p) if k - p < inner else 1.0
+        return k - p if k - p < inner else 1.0
 
     total = low + inner + high + p
-    return (ranked((total - 1) // 2) + ranked(total // 2)) / 2
+    first, second = place((total - 1) // 2), place(total // 2)
+    a = _select(x, y, first) if isinstance(first, int) else first
+    if not isinstance(second, int):
+        b = second
+    elif not isinstance(first, int):
+        b = _select(x, y, second)
+    else:
+        b = a if second == first else _next(x, y, second, a)
+    return (a + b) / 2
 
 
 def box_limits(values: np.ndarray) -> list[float] | None:
     """Lower and upper end of the skewness-adjusted box; None for ten values or fewer."""
-    v = values[~np.isnan(values)]
+    v = np.sort(values[~np.isnan(values)])
     if len(v) <= 10:
         return None
     q1, q3 = np.quantile(v, [0.25, 0.75])
@@ -197,9 +237,10 @@ def winsorize_boxes(df: DataFrame, cols: list[str], *, by: tuple[str, ...] = ("t
     One window over the date serves all columns, and df is not joined with itself.
     """
 
-    @F.pandas_udf("array<double>")
-    def limits(x: pd.Series) -> list:
-        return box_limits(x.to_numpy(float))
+    # an Arrow scalar, repeated as such: a list of Python would be converted once for each row
+    @F.arrow_udf("array<double>")
+    def limits(x: pa.Array) -> pa.Scalar:
+        return pa.scalar(box_limits(x.to_numpy(zero_copy_only=False).astype(float)), pa.list_(pa.float64()))
 
     df = df.withColumns({f"__box_{c}": limits(F.col(c).cast("double")).over(_by(*by)) for c in cols})
     ends = lambda c: (F.element_at(f"__box_{c}", 1), F.element_at(f"__box_{c}", 2))

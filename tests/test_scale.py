@@ -4,9 +4,11 @@ import datetime as dt
 import random
 import statistics
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from panelyx.functions import cross_section as xs
 from panelyx.operators import dataset, pit, processing
 from panelyx.plans import QUERIES
 
@@ -126,3 +128,17 @@ def test_fitting_sends_no_values_whole(spark, monkeypatch):
 
 def test_tree_forecast_reads_the_kept_panel(spark, sf_dir):
     assert not any("lineitem" in f for f in QUERIES["tree_forecast"](spark, sf_dir).inputFiles())
+
+
+def test_medcouple_looks_at_few_pairs(spark, monkeypatch):
+    """Kernels computed for each value: a pivot costs one sorted search, copies of values cost nothing more."""
+    seen, kernel = [], xs._kernel
+    monkeypatch.setattr(xs, "_kernel", lambda x, y: seen.append(len(x)) or kernel(x, y))
+    draw = np.random.default_rng(7)
+    for v in (draw.normal(size=20_000), np.exp(draw.normal(size=20_001) * 3), np.repeat(draw.normal(size=400), 50)):
+        seen.clear()
+        got = xs.medcouple(v)
+        assert sum(seen) <= 40 * len(v)
+        x, y = v[v > np.median(v)] - np.median(v), np.median(v) - v[v < np.median(v)]
+        below, upto = (sum(int((kernel(a, y) < got).sum()) for a in x), sum(int((kernel(a, y) <= got).sum()) for a in x))
+        assert below <= len(x) * len(y) // 2 + len(v) and upto >= len(x) * len(y) // 2 - len(v)
