@@ -115,30 +115,14 @@ def size(cap: str) -> Column:
     return risk.size(cap)
 
 
-def pair_sums(y: str, x: str, n: int) -> Column:
-    """Window sums of a regression of y on x as one column; each sum stands once in the plan."""
-    w, both = win.trailing(n), F.col(y).isNotNull() & F.col(x).isNotNull()
-    s = lambda v: F.sum(F.when(both, v)).over(w)
-    a, b = F.col(x), F.col(y)
-    return F.struct(s(F.lit(1.0)).alias("n"), s(a).alias("x"), s(b).alias("y"), s(a * a).alias("xx"), s(b * b).alias("yy"), s(a * b).alias("xy"))
-
-
-def slope_of(sums: str, min_periods: int) -> Column:
-    """slope and se2 (its squared standard error) of pair_sums, NULL under min_periods pairs."""
-    s = F.col(sums)
-    sxx, sxy, syy = s["xx"] - s["x"] * s["x"] / s["n"], s["xy"] - s["x"] * s["y"] / s["n"], s["yy"] - s["y"] * s["y"] / s["n"]
-    enough = (s["n"] >= min_periods) & (s["n"] > 2) & (sxx > 1e-12)
-    return F.struct(F.when(enough, sxy / sxx).alias("slope"), F.when(enough, (syy - sxy * sxy / sxx) / (s["n"] - 2) / sxx).alias("se2"))
-
-
 @formula
 def beta_sums(ret: str, market_return: str, *, window: int = 243) -> Column:
-    return pair_sums(ret, market_return, window)
+    return win.pair_sums(ret, market_return, window)
 
 
 @formula
 def beta_fit(beta_sums: str, *, min_periods: int = 122) -> Column:
-    return slope_of(beta_sums, min_periods)
+    return win.slope_of(beta_sums, min_periods)
 
 
 @formula
@@ -172,12 +156,12 @@ def turnover(daily_turnover: str, *, window: int = 243, min_periods: int = 122)
 
 @formula
 def turnover_sums(daily_turnover: str, market_turnover: str, *, window: int = 243) -> Column:
-    return pair_sums(daily_turnover, market_turnover, window)
+    return win.pair_sums(daily_turnover, market_turnover, window)
 
 
 @formula
 def liquidity_beta(turnover_sums: str, *, min_periods: int = 122) -> Column:
-    return slope_of(turnover_sums, min_periods)["slope"]
+    return win.slope_of(turnover_sums, min_periods)["slope"]
 
 
 @formula

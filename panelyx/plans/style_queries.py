@@ -46,8 +46,7 @@ def liquidity_beta(spark, sf_dir):
 
     p = returns(spark, sf_dir).withColumn("cap", F.sum("amount").over(win.trailing(13)))
     p = p.withColumns({"y": risk.liquidity("amount", "cap"), "x": F.log(F.sum("amount").over(Window.partitionBy("td")))})
-    beta, _ = win.rolling_regression("y", "x", 52, 26)
-    return tidy(p.withColumn("beta", beta).filter("beta is not null"), KEYS, ["beta"], 3)
+    return tidy(win.rolling_regression(p, "y", "x", 52, 26, "beta").filter("beta is not null"), KEYS, ["beta"], 3)
 
 
 _T = f"t0 AS MATERIALIZED (SELECT tk, ann, q, rid, {STEPS['ttm']('f')} AS v FROM f x), t AS MATERIALIZED (SELECT * FROM t0 WHERE v IS NOT NULL)"

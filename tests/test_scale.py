@@ -142,3 +142,14 @@ def test_medcouple_looks_at_few_pairs(spark, monkeypatch):
         x, y = v[v > np.median(v)] - np.median(v), np.median(v) - v[v < np.median(v)]
         below, upto = (sum(int((kernel(a, y) < got).sum()) for a in x), sum(int((kernel(a, y) <= got).sum()) for a in x))
         assert below <= len(x) * len(y) // 2 + len(v) and upto >= len(x) * len(y) // 2 - len(v)
+
+
+def window_functions(df) -> int:
+    """Aggregates of the windows of df's plan."""
+    return df._jdf.queryExecution().optimizedPlan().toString().count("windowspecdefinition(")
+
+
+@pytest.mark.parametrize(("name", "most"), [("rolling_beta", 9), ("beta_shrink", 12), ("liquidity_beta", 10)])
+def test_regressions_sum_each_product_once(spark, sf_dir, name, most):
+    """Six sums, and the windows around them; each mention in a formula was a sum of its own."""
+    assert window_functions(QUERIES[name](spark, sf_dir)) <= most
