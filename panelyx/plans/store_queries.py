@@ -14,24 +14,24 @@ from .roles import INTRADAY, WEEKLY, bars, intraday, trading_days
 DAILY = ["open", "close", "volume", "high5d", "vwap5d", "open5d", "activity"]
 
 
-def quote_store(spark, sf_dir, until: str | None = None) -> stores.DateStore:
-    """The weekly bars, kept by date, as far as until."""
+def quotes(spark, sf_dir):
+    """The weekly bars with a factor of adjustment."""
     days = joins.local(trading_days(spark, sf_dir))
-    p = bars(spark, sf_dir).join(F.broadcast(days.select("td", "ix")), "td").withColumn("adj", F.sqrt(2 + F.col("ix") * F.col("ix")))
-    store = stores.DateStore(spark, stores.scratch(spark, "quote"))
-    store.replace(p.filter(F.col("td") <= F.lit(until).cast("date")) if until else p)
-    return store
+    return bars(spark, sf_dir).join(F.broadcast(days.select("td", "ix")), "td").withColumn("adj", F.sqrt(2 + F.col("ix") * F.col("ix")))
 
 
 @query("feature_store_daily", f"""WITH {WEEKLY}, a AS (SELECT *, sqrt(2 + ix * ix) AS adj FROM wk), x AS (SELECT td, tk, ix, adj, open * adj AS open, high * adj AS high, close * adj AS close, ln(1 + volume) AS volume, volume AS v, amount AS a FROM a),
  o AS (SELECT td, tk, open, close, volume, CASE WHEN count(*) OVER t = 5 THEN max(high) OVER t END AS high5d, CASE WHEN count(*) OVER t = 5 THEN sum(a) OVER t / sum(v) OVER t * adj ELSE close END AS vwap5d, max(open) OVER {LAG(4)} AS open5d, CASE WHEN count(a) OVER u >= 10 THEN a / avg(a) OVER u END AS activity FROM x WINDOW t AS {TRAIL(5)}, u AS {TRAIL(20)}) """ + sql_tidy("td, tk", DAILY, "o", 3))
 def feature_store_daily(spark, sf_dir):
-    """A first run over the dates up to 1999, a second one over what came later; together they are one run over everything."""
-    functions = stores.registry([features])
-    folder = stores.scratch(spark, "features")
-    names = ["daily_bar", "weekly_bar", "activity"]
-    for until, since in (("1999-06-30", "0001-01-01"), (None, "1999-07-01")):
-        manager = stores.FeatureManager(spark, names, functions, {"quote": quote_store(spark, sf_dir, until)}, folder)
+    """A first run over the dates up to 1999, a second one over what came later; together they are one run over everything.
+
+    The quotes grow by their later dates too: what is stored is not written again.
+    """
+    p, day = quotes(spark, sf_dir), F.lit("1999-06-30").cast("date")
+    quote = stores.DateStore(spark, stores.scratch(spark, "quote"))
+    manager = stores.FeatureManager(spark, ["daily_bar", "weekly_bar", "activity"], stores.registry([features]), {"quote": quote}, stores.scratch(spark, "features"))
+    for part, since in ((p.filter(F.col("td") <= day), "0001-01-01"), (p.filter(F.col("td") > day), "1999-07-01")):
+        quote.replace(part)
         if failed := manager.run(since):
             raise RuntimeError(f"features failed: {failed}")
     return tidy(manager.read(), KEYS, DAILY, 3)

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from panelyx.functions import cross_section as xs
 from panelyx.operators import dataset, pit, processing
 from panelyx.plans import QUERIES
+from panelyx.sources import stores
 
 
 def laid_out(df) -> int:
@@ -153,3 +154,16 @@ def window_functions(df) -> int:
 def test_regressions_sum_each_product_once(spark, sf_dir, name, most):
     """Six sums, and the windows around them; each mention in a formula was a sum of its own."""
     assert window_functions(QUERIES[name](spark, sf_dir)) <= most
+
+
+def test_feature_store_daily_writes_each_quote_once(spark, sf_dir, monkeypatch):
+    written, replace = [], stores.DateStore.replace
+
+    def counted(store, df, since=None):
+        if "/quote-" in store.path:
+            written.extend(r.td for r in df.select("td").distinct().collect())
+        replace(store, df, since)
+
+    monkeypatch.setattr(stores.DateStore, "replace", counted)
+    QUERIES["feature_store_daily"](spark, sf_dir)
+    assert written and len(written) == len(set(written))
