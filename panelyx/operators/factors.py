@@ -49,18 +49,23 @@ LIBRARY: dict[str, Recipe] = {
 pit.CHAINS.setdefault("qoq", [(pit.change, {"n": 1})])
 
 
-def compute(name: str, items: Callable[[str], DataFrame], days: DataFrame, capital: DataFrame | None = None, **fill) -> DataFrame:
+def compute(name: str, items: Callable[[str], DataFrame], days: DataFrame, capital: DataFrame | None = None, *, pairs: Callable[[str, str], DataFrame] | None = None, **fill) -> DataFrame:
     """td, tk, v of a factor. items gives the facts of an item; capital has tk, cap and, if it changes, td.
 
+    pairs, where given, has the facts of two items side by side (see pit.paired), so that nothing is joined.
+
     Shares are known by date: their facts (see at_announcement) are statements whose date of announcement has any, and profits count with these alone.
     """
     recipe = LIBRARY[name]
-    facts = items(recipe.item)
-    if recipe.per:
-        per = items(recipe.per)
+    if recipe.per and pairs:
+        facts = pit.trailing_over_mean(pairs(recipe.item, recipe.per))
+    elif recipe.per:
+        facts, per = items(recipe.item), items(recipe.per)
         if recipe.per == "shares":
             facts = facts.join(per.select("tk", "rid"), ["tk", "rid"], "left_semi")
         facts = pit.combine(pit.trailing_year(facts), pit.window_stat(per, "mean", 4))
+    else:
+        facts = items(recipe.item)
     panel = pit.fill_to_dates(pit.chain(facts, recipe.steps), days, **fill)
     if not recipe.value:
         return panel

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from panelyx.functions import cross_section as xs
-from panelyx.operators import dataset, pit, processing
+from panelyx.operators import dataset, factors, pit, processing
 from panelyx.plans import QUERIES
 from panelyx.sources import stores
 
@@ -167,3 +167,34 @@ def test_feature_store_daily_writes_each_quote_once(spark, sf_dir, monkeypatch):
     monkeypatch.setattr(stores.DateStore, "replace", counted)
     QUERIES["feature_store_daily"](spark, sf_dir)
     assert written and len(written) == len(set(written))
+
+
+@pytest.mark.parametrize("name", ["eps_ttm", "eps_ttm_yoy", "eps_ttm_qoq", "roe_ttm_yoy"])
+def test_factors_of_two_items_shuffle_orders_once(spark, sf_dir, name):
+    """One exchange by customer; the others hold the calendar's ends, a row each."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = QUERIES[f"factor_{name}"](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("Exchange hashpartitioning") == 1
+
+
+@pytest.mark.parametrize("shared", [False, True])
+def test_trailing_over_mean_is_combine_of_both(spark, shared):
+    r = random.Random(8)
+    rows = [(r.randrange(4), DAY + dt.timedelta(days=40 * r.randrange(18)), float(r.randrange(1, 50)), r.choice([None, 0.0, 1.0, 2.0, 3.0])) for _ in range(150)]
+    rows = [(tk, ann, dt.date(2000, 3, 31) + dt.timedelta(days=91 * (max(0, (ann - DAY).days - r.randrange(200)) // 91)), v if shared or r.random() < 0.9 else None, w, i) for i, (tk, ann, v, w) in enumerate(rows)]
+    df = spark.createDataFrame([*rows, (None, DAY, DAY, 1.0, 1.0, 150), (1, None, DAY, 1.0, 1.0, 151)], "tk int, ann date, end date, v double, w double, i int")
+    whole = df.filter("tk is not null and ann is not null")
+    if shared:
+        f = pit.facts(whole, "tk", "ann", "end", "v", "i")
+        daily = whole.groupBy("tk", "ann").agg(F.max("w").alias("w")).withColumnRenamed("ann", "td")
+        per = factors.at_announcement(f, daily, "w")
+        f = f.join(per.select("tk", "rid"), ["tk", "rid"], "left_semi")
+    else:
+        # row numbers of all rows, so that both sides name them alike
+        f, per = (pit.facts(whole.withColumn("x", F.coalesce(c, F.lit(-1.0))), "tk", "ann", "end", "x", "i").filter("v <> -1") for c in ("v", "w"))
+    want = pit.combine(pit.trailing_year(f), pit.window_stat(per, "mean", 4))
+    got = pit.trailing_over_mean(pit.paired(df, "tk", "ann", "end", "v", "w", "i", by_date=shared))
+    assert got.count() > 20 and sorted(got.collect()) == sorted(want.collect())
