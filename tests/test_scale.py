@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from panelyx.functions import cross_section as xs
+from panelyx.functions import windows as win
 from panelyx.operators import dataset, factors, pit, processing
 from panelyx.plans import QUERIES
 from panelyx.sources import stores
@@ -198,3 +199,28 @@ def test_trailing_over_mean_is_combine_of_both(spark, shared):
     want = pit.combine(pit.trailing_year(f), pit.window_stat(per, "mean", 4))
     got = pit.trailing_over_mean(pit.paired(df, "tk", "ann", "end", "v", "w", "i", by_date=shared))
     assert got.count() > 20 and sorted(got.collect()) == sorted(want.collect())
+
+
+def test_regression_sums_take_no_nulls(spark):
+    """Rows without a pair add 0, an entity without any pair has no slope, and infinities stay out of the frames behind them."""
+    r = random.Random(9)
+    rows = [(tk, ix, None if tk == 2 or r.random() < 0.3 else r.uniform(-1, 1), None if r.random() < 0.2 else r.uniform(-1, 1)) for tk in range(3) for ix in range(40) if r.random() < 0.8]
+    rows.append((3, 0, None, float("inf")))
+    rows += [(3, ix, float(ix * ix), float(ix)) for ix in range(1, 20)]
+    rows.append((3, 20, float("inf"), 1.0))
+    rows += [(3, ix, float(ix * ix), float(ix)) for ix in range(21, 40)]
+    df = spark.createDataFrame(rows, "tk int, ix int, y double, x double")
+    sums = df.select("tk", win.pair_sums("y", "x", 8).alias("s"))
+    assert {tuple(s.s) for s in sums.filter("tk = 2").collect()} == {(0.0,) * 6}
+    seen = 0
+    for o in win.rolling_regression(df, "y", "x", 8, 4, "slope", "se2").collect():
+        pairs = [(y, x) for tk, ix, y, x in rows if tk == o.tk and o.ix - 8 < ix <= o.ix and y is not None and x is not None]
+        if len(pairs) < 4:
+            assert o.slope is None and o.se2 is None
+        elif all(map(np.isfinite, np.ravel(pairs))):
+            y, x = np.array(pairs).T
+            b = np.cov(x, y)[0, 1] / np.var(x, ddof=1)
+            e = y - y.mean() - b * (x - x.mean())
+            assert (o.slope, o.se2) == pytest.approx((b, e @ e / (len(y) - 2) / ((x - x.mean()) ** 2).sum()), rel=1e-6, abs=1e-9)
+            seen += 1
+    assert seen > 60
