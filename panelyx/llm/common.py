@@ -6,6 +6,7 @@ import tempfile
 import zlib
 
 import numpy as np
+import pyarrow.fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,6 +29,11 @@ def shared_checkpoints(spark: SparkSession) -> None:
         context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="checkpoints-"))
 
 
+def opened(address: str) -> tuple[pafs.FileSystem, str]:
+    """The store that an address names, and the path there."""
+    return pafs.FileSystem.from_uri(address if "://" in address else address.replace("file:", "file://", 1) if address.startswith("file:") else f"file://{address}")
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Write df to the shared checkpoint folder and go on from there."""
     shared_checkpoints(df.sparkSession)

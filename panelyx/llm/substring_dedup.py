@@ -5,8 +5,8 @@ id. Shards are cut by content, not by document: every window belongs to its smal
 equal windows always meet in one shard and no document has to be held against the whole corpus.
 
 1. Minimisers that two different texts hold are found by a combining aggregation; windows of all others are unique.
-   They are sent to the tasks as a Bloom filter of bounded size: what it holds too much only costs a few segments
-   that repeat nothing.
+   Tasks read them as a Bloom filter of bounded size from the shared folder, where tasks wrote it (the driver never
+   holds it): what it holds too much only costs a few segments that repeat nothing.
 2. Documents give their runs of windows with one such minimiser as segments. (Windows of a minimiser with very many
    holders are dealt one by one, by their own hash, so that no shard runs hot.) Equal segments combine before and in
    the shuffle, and keep the smallest id that holds them.
@@ -15,8 +15,9 @@ equal windows always meet in one shard and no document has to be held against th
    each: a window's matching statistic reaches the threshold just where its interval holds an earlier document.
 4. Every holder of a segment compares those ids with its own; what it loses comes back as ranges of windows.
 5. A document whose whole word sequence a smaller id has loses every word.
-6. A table of bits of fixed size marks the documents that lose words. All others are answered where they are read;
-   only marked ones are shuffled to their ranges. (A document marked in vain costs its shuffle and nothing else.)
+6. A table of bits of fixed size, broadcast in pages, marks the documents that lose words. All others are answered
+   where they are read; only marked ones are shuffled to their ranges. (A document marked in vain costs its shuffle and
+   nothing else.)
 
 Defined results: null and empty texts have no words; texts under 13 words keep all; rows that
 share an id are one document and never remove each other's words; rows with a null id
@@ -25,16 +26,20 @@ come after all others and are judged against them; an empty table gives an empty
 
 from __future__ import annotations
 
+import functools
 import hashlib
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.fs as pafs
+import pyarrow.parquet as pq
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, mix64, small_batches, words_of
+from .common import cut, mix64, opened, shared_checkpoints, small_batches, words_of
 
 WINDOW, GRAM = 13, 5
 #: Minimisers with more holders than this are dealt window by window.
@@ -43,8 +48,9 @@ HOT = 500
 SHARD = 256
 #: Bits of the filter: 64 for each document (a dozen for each minimiser that repeats), between these powers of two (the larger is 32 MB).
 FILTER_BITS = (16, 28)
-#: Bits of the table that marks documents which lose words (8 MB, as at most 2**20 rows), at every size of the input.
+#: Bits of the table that marks documents which lose words (8 MB), at every size of the input, and words of 64 bits in a page of it.
 TOUCHED_BITS = 26
+PAGE = 1024
 #: Stands for a null id: after all others.
 LAST = 2**63 - 1
 
@@ -196,14 +202,40 @@ def _copies(docs: DataFrame) -> DataFrame:
     return rows.join(firsts, "digest").filter("doc_id <> first").select("doc_id").distinct()
 
 
+@functools.lru_cache(maxsize=1)
+def _tables(folder: str, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """The two tables of a written filter; a Python worker reads them once."""
+    repeated, hot = (np.zeros(max(1, 1 << bits >> 6), np.uint64) for _ in range(2))
+    fs, path = opened(folder)
+    for info in fs.get_file_info(pafs.FileSelector(path)):
+        if info.type != pafs.FileType.File or info.base_name.startswith(("_", ".")):
+            continue
+        with fs.open_input_file(info.path) as file:
+            for batch in pq.ParquetFile(file).iter_batches(batch_size=1 << 16):
+                at = batch.column("w").to_numpy()
+                repeated[at] = batch.column("r").to_numpy().view(np.uint64)
+                hot[at] = batch.column("h").to_numpy().view(np.uint64)
+    return repeated, hot
+
+
 class Filter:
-    """Two Bloom filters over minimisers in one table of 64-bit words: those that repeat, and the hot ones among them."""
+    """Two Bloom filters over minimisers in tables of 64-bit words: those that repeat, and the hot ones among them.
+
+    The words lie in a folder of the shared store, and only tasks read them; this object is its address.
+    """
 
     shifts = (0, 15, 30)
 
-    def __init__(self, bits: int):
-        self.mask = (1 << bits) - 1
-        self.repeated, self.hot = (np.zeros(max(1, 1 << bits >> 6), np.uint64) for _ in range(2))
+    def __init__(self, bits: int, folder: str):
+        self.bits, self.mask, self.folder = bits, (1 << bits) - 1, folder
+
+    @property
+    def repeated(self) -> np.ndarray:
+        return _tables(self.folder, self.bits)[0]
+
+    @property
+    def hot(self) -> np.ndarray:
+        return _tables(self.folder, self.bits)[1]
 
     def holds(self, table: np.ndarray, values: np.ndarray) -> np.ndarray:
         out = np.ones(len(values), bool)
@@ -214,18 +246,20 @@ class Filter:
 
 
 def filter_of(least: DataFrame, n_docs: int, hot: int = HOT) -> Filter:
-    """least: doc_id, digest, least. Bits are set by aggregation; at most 2**bits / 64 words reach the driver."""
-    out = Filter(min(max((64 * max(n_docs, 1)).bit_length(), FILTER_BITS[0]), FILTER_BITS[1]))
+    """least: doc_id, digest, least. Bits are set by aggregation; at most 2**bits / 64 words are written, none reaches the driver."""
+    spark = least.sparkSession
+    shared_checkpoints(spark)
+    bits = min(max((64 * max(n_docs, 1)).bit_length(), FILTER_BITS[0]), FILTER_BITS[1])
+    out = Filter(bits, f"{spark.sparkContext.getCheckpointDir()}/filter-{uuid.uuid4().hex}")
     each = least.select("digest", F.explode("least").alias("m")).groupBy("m").agg(F.min("digest").alias("a"), F.max("digest").alias("b"), F.count("*").alias("n")).filter("a <> b")
     at = F.explode(F.array(*(F.shiftrightunsigned("m", s).bitwiseAND(F.lit(out.mask)) for s in Filter.shifts))).alias("at")
     bit = F.expr("shiftleft(1L, cast(at & 63 as int))")
-    words = each.select(at, (F.col("n") > hot).alias("is_hot")).groupBy(F.shiftright("at", 6).alias("w")).agg(F.bit_or(bit).alias("r"), F.bit_or(F.when(F.col("is_hot"), bit).otherwise(F.lit(0).cast("long"))).alias("h")).toPandas()
-    out.repeated[words["w"].to_numpy(np.int64)] = words["r"].to_numpy(np.int64).view(np.uint64)
-    out.hot[words["w"].to_numpy(np.int64)] = words["h"].to_numpy(np.int64).view(np.uint64)
+    words = each.select(at, (F.col("n") > hot).alias("is_hot")).groupBy(F.shiftright("at", 6).alias("w")).agg(F.bit_or(bit).alias("r"), F.bit_or(F.when(F.col("is_hot"), bit).otherwise(F.lit(0).cast("long"))).alias("h"))
+    words.write.parquet(out.folder)
     return out
 
 
-def _segments(docs: DataFrame, sent, words_too: bool) -> DataFrame:
+def _segments(docs: DataFrame, known: Filter, words_too: bool) -> DataFrame:
     """Segments of the documents: key (what deals them), doc_id, start, segment (a hash) and, if asked for, their words."""
     kinds = {"key": pa.int64(), "doc_id": pa.int64(), "start": pa.int32(), "segment": pa.int64(), "words": pa.binary()}
     if not words_too:
@@ -234,7 +268,7 @@ def _segments(docs: DataFrame, sent, words_too: bool) -> DataFrame:
     def segmented(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from xxhash import xxh3_64_intdigest
 
-        known: Filter = sent.value
+        repeated, hot = known.repeated, known.hot
         for batch in batches:
             out: dict[str, list] = {k: [] for k in kinds}
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
@@ -242,10 +276,10 @@ def _segments(docs: DataFrame, sent, words_too: bool) -> DataFrame:
                 if len(words) < WINDOW:
                     continue
                 least = minimisers(word_codes(words))
-                wanted = known.holds(known.repeated, least)
+                wanted = known.holds(repeated, least)
                 if not wanted.any():
                     continue
-                alone = known.holds(known.hot, least) & wanted
+                alone = known.holds(hot, least) & wanted
                 breaks = np.flatnonzero(np.concatenate([[True], (least[1:] != least[:-1]) | alone[1:] | alone[:-1]]))
                 ends = np.append(breaks[1:], len(least))
                 for a, b in zip(breaks[wanted[breaks]].tolist(), ends[wanted[breaks]].tolist(), strict=True):
@@ -287,14 +321,14 @@ def covered_windows(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     small_batches(spark)
     n_docs = docs.count()
-    sent = spark.sparkContext.broadcast(filter_of(_minimisers(docs), n_docs))
+    known = filter_of(_minimisers(docs), n_docs)
     shards = max(1, -(-n_docs // SHARD))
     distinct = (
-        _segments(docs, sent, True).groupBy("segment", "words").agg(F.min("doc_id").alias("doc_id"), F.min("key").alias("key"))
+        _segments(docs, known, True).groupBy("segment", "words").agg(F.min("doc_id").alias("doc_id"), F.min("key").alias("key"))
         .select(F.pmod(F.xxhash64("key"), F.lit(shards)).alias("shard"), "segment", "words", "doc_id")
     )
     answers = distinct.groupBy("shard").applyInPandas(_searched, "segment long, least array<long>")
-    places = _segments(docs, sent, False).select("segment", "doc_id", "start").join(answers, "segment")
+    places = _segments(docs, known, False).select("segment", "doc_id", "start").join(answers, "segment")
     found = places.select("doc_id", "start", "least").mapInArrow(_ranges, "doc_id long, first int, n int")
     return found.groupBy("doc_id").agg(F.collect_list(F.struct("first", "n")).alias("ranges"))
 
@@ -326,11 +360,16 @@ def _kept(texts: DataFrame) -> DataFrame:
 
 def _marked(docs: DataFrame, facts: DataFrame, bits: int) -> DataFrame:
     """docs plus touched: true for every document of facts, and for the few others whose bit is set as well."""
+    n_words = max(1, 1 << bits >> 6)
     slot = F.pmod(F.xxhash64("doc_id"), F.lit(1 << bits))
     with_bit = lambda df: df.withColumn("__word", F.shiftright(slot, 6)).withColumn("__bit", F.expr("shiftleft(1L, cast(pmod(xxhash64(doc_id), 64) as int))"))
-    table = cut(with_bit(facts.select("doc_id")).groupBy("__word").agg(F.bit_or("__bit").alias("__set")))
-    held = with_bit(docs).join(F.broadcast(table), "__word", "left")
-    return held.withColumn("touched", F.coalesce(F.col("__set").bitwiseAND(F.col("__bit")) != 0, F.lit(False)))
+    page = F.floor(F.col("__word") / PAGE).alias("__page")
+    # every word stands in its page, so that one is found by its place; a broadcast of single words takes several times the memory
+    each = with_bit(facts).select("__word", "__bit").unionByName(docs.sparkSession.range(n_words).select(F.col("id").alias("__word"), F.lit(0).cast("long").alias("__bit")))
+    each = each.groupBy("__word").agg(F.bit_or("__bit").alias("__set"))
+    table = cut(each.groupBy(page).agg(F.sort_array(F.collect_list(F.struct("__word", "__set")))["__set"].alias("__sets")))
+    held = with_bit(docs).withColumn("__page", page).join(F.broadcast(table), "__page", "left")
+    return held.withColumn("touched", F.coalesce(F.get("__sets", (F.col("__word") % PAGE).cast("int")).bitwiseAND(F.col("__bit")) != 0, F.lit(False))).drop("__sets")
 
 
 def deduplicate(docs: DataFrame, *, touched_bits: int = TOUCHED_BITS) -> DataFrame:

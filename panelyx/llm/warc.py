@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, InputPartition, WriterCommitMessage
 
-from .common import read, shared_checkpoints, shuffle_partitions, small_batches
+from .common import opened, read, shared_checkpoints, shuffle_partitions, small_batches
 
 LEAST_BYTES = 100
 PIECE = 1 << 18
@@ -222,10 +222,6 @@ def records(stream, name: str, *, payload: bool = True) -> Iterator[tuple]:
         yield _page_id(fields["warc-record-id"]), fields.get("warc-target-uri"), kind, refers, length, expected.hex(), b"".join(kept) if payload and kind == "response" else None
 
 
-def _opened(address: str) -> tuple[pafs.FileSystem, str]:
-    return pafs.FileSystem.from_uri(address if "://" in address else address.replace("file:", "file://", 1) if address.startswith("file:") else f"file://{address}")
-
-
 @dataclass
 class _Archive(InputPartition):
     path: str
@@ -242,7 +238,7 @@ class _Reader(DataSourceReader):
         self.folder, self.payload, self.schema = options["path"], options.get("payload", "true").lower() != "false", schema
 
     def partitions(self) -> list[InputPartition]:
-        fs, path = _opened(self.folder)
+        fs, path = opened(self.folder)
         found = fs.get_file_info(pafs.FileSelector(path, recursive=True)) if fs.get_file_info(path).type == pafs.FileType.Directory else [fs.get_file_info(path)]
         return [_Archive(f.path) for f in sorted(found, key=lambda f: -(f.size or 0)) if f.type == pafs.FileType.File and f.path.endswith(".warc.gz")]
 
@@ -252,7 +248,7 @@ class _Reader(DataSourceReader):
         from pyspark.sql.pandas.types import to_arrow_schema
 
         names, schema = [c.split()[0] for c in SCHEMA.split(", ")], to_arrow_schema(self.schema)
-        fs, _ = _opened(self.folder)
+        fs, _ = opened(self.folder)
         held: list[tuple] = []
         octets = 0
 
@@ -278,7 +274,7 @@ class _Writer(DataSourceArrowWriter):
         self.waiting = f"_waiting-{uuid.uuid4().hex}"  # this job's own
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> _Written:
-        fs, folder = _opened(self.folder)
+        fs, folder = opened(self.folder)
         waiting = posixpath.join(folder, self.waiting)
         fs.create_dir(waiting, recursive=True)
         path = posixpath.join(waiting, f"{uuid.uuid4().hex}.warc.gz")
@@ -294,7 +290,7 @@ class _Writer(DataSourceArrowWriter):
         return _Written(path, rows)
 
     def commit(self, messages: list) -> None:
-        fs, folder = _opened(self.folder)
+        fs, folder = opened(self.folder)
         waiting = posixpath.join(folder, self.waiting)
         fs.create_dir(folder, recursive=True)
         if self.overwrite:
@@ -308,7 +304,7 @@ class _Writer(DataSourceArrowWriter):
             fs.delete_dir(waiting)
 
     def abort(self, messages: list) -> None:
-        fs, folder = _opened(self.folder)
+        fs, folder = opened(self.folder)
         waiting = posixpath.join(folder, self.waiting)
         if fs.get_file_info(waiting).type == pafs.FileType.Directory:
             fs.delete_dir(waiting)

@@ -1,6 +1,7 @@
 """Exact, near and substring deduplication against brute force."""
 
 import hashlib
+import pickle
 import re
 from collections import Counter
 
@@ -169,6 +170,29 @@ def test_substrings_with_a_tiny_table_of_touched_documents_and_a_tiny_filter(spa
     assert got == brute_substrings(rows)
 
 
+def test_tables_of_substrings_do_not_grow_on_the_driver(spark, monkeypatch):
+    monkeypatch.setattr(substring_dedup, "FILTER_BITS", (18, 18))
+    docs = spark.range(8_000).selectExpr("id AS doc_id", "id AS digest", "array(xxhash64(id % 4000), xxhash64(id, 1)) AS least")
+    known = substring_dedup.filter_of(docs, 8_000, 500)
+    assert len(pickle.dumps(known)) < 1_000  # the two tables have 64 KB
+    repeated = np.array([r.m for r in spark.range(4_000).selectExpr("xxhash64(id) AS m").collect()], np.int64).view(np.uint64)
+    assert known.holds(known.repeated, repeated).all() and not known.holds(known.hot, repeated).any()
+    marked = substring_dedup._marked(docs.select("doc_id"), docs.select("doc_id").filter("doc_id % 3 = 0"), 18)
+    assert {r.doc_id for r in marked.filter("touched").collect()} >= set(range(0, 8_000, 3)) and marked.filter("not touched").count() > 5_000
+
+    def broadcast_rows(plan):
+        if plan.nodeName() == "AdaptiveSparkPlan":
+            return broadcast_rows(plan.executedPlan())
+        if plan.nodeName().endswith("QueryStage"):
+            return broadcast_rows(plan.plan())
+        own = plan.metrics().apply("numOutputRows").value() if plan.nodeName() == "BroadcastExchange" else 0
+        return own + sum(broadcast_rows(plan.children().apply(i)) for i in range(plan.children().size()))
+
+    plan = marked._jdf.queryExecution().executedPlan()
+    plan.execute().count()
+    assert broadcast_rows(plan) == 4  # pages of 1,024 words, not 4,096 words
+
+
 def test_substrings_of_an_empty_table(spark):
     assert substring_dedup.deduplicate(empty(spark)).count() == 0
 
