@@ -224,3 +224,38 @@ def test_regression_sums_take_no_nulls(spark):
             assert (o.slope, o.se2) == pytest.approx((b, e @ e / (len(y) - 2) / ((x - x.mean()) ** 2).sum()), rel=1e-6, abs=1e-9)
             seen += 1
     assert seen > 60
+
+
+def test_similar_labels_send_a_return_six_times(spark):
+    r = random.Random(5)
+    rows = [(tk, ix, None if r.random() < 0.2 else r.gauss(0, 1), None if r.random() < 0.2 else r.gauss(0, 1)) for tk in range(12) for ix in range(3, 70) if r.random() > 0.2]
+    p = spark.createDataFrame([*rows, (None, 30, 1.0, 1.0)], "tk int, ix int, r double, y double")
+    out = dataset.rolling_similar_labels(p, length=20, neighbours=5)
+    assert laid_out(out) <= 12 * 19 * 6  # arrays of four positions each, once for every stretch; it was 20 rows for each return
+    got = {(x.ix, x.tk): (x.similar_label, x.near_mean, x.near_std) for x in out.collect()}
+    for at in (21, 22, 47, 69):
+        one = dataset.similar_labels(p.filter(f"ix between {at - 19} and {at} and r is not null").select("tk", "ix", "r"), p.filter(f"ix = {at} and y is not null").select("tk", "y"), neighbours=5)
+        want = {(at, x.tk): (x.similar_label, x.near_mean, x.near_std) for x in one.collect()} if at >= 22 else {}
+        assert {k for k in got if k[0] == at} == want.keys() and (at < 22 or want)
+        assert all(got[k] == pytest.approx(want[k]) for k in want)
+
+
+def test_nearest_labels_in_tiles_with_ties(monkeypatch):
+    rng = np.random.default_rng(7)
+    m = (rng.random((40, 9)) > 0.4).astype(float)
+    x, y = rng.integers(-2, 3, (40, 9)) * m, np.where(rng.random(40) < 0.2, np.nan, rng.normal(size=40))
+    want = []
+    for i in range(40):
+        near = []
+        for j in range(40):
+            both = (m[i] * m[j]) > 0
+            if i != j and both.any():
+                a, b = x[i, both], x[j, both]
+                flat = np.ptp(a) == 0 or np.ptp(b) == 0
+                near.append((2.0 if flat else -round(float(np.corrcoef(a, b)[0, 1]), 9), j))
+        want.append(sorted(v for _, j in sorted(near)[:6] if not np.isnan(v := y[j])))
+    for tile, waiting in ((2**16, 2**22), (50, 130)):
+        monkeypatch.setattr(dataset, "TILE", tile)
+        monkeypatch.setattr(dataset, "WAITING", waiting)
+        got = dataset._nearest_labels(x, m, y, 6)
+        assert [[v for v in row.tolist() if not np.isnan(v)] for row in got] == want
