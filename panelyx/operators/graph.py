@@ -4,19 +4,21 @@ A formula is a function. Its positional arguments name what it reads; keyword-on
 the panel's columns, the given tables, the subfactors (as processed) and the formulas, in this order. A formula over
 columns gets their names and returns a Column, one over tables gets DataFrames and returns td, tk, v.
 
-Nodes that become ready together are computed together: one projection for all their formulas, then one for each step of
-all of them. So windows over a name share one shuffle and one sort, and windows over a date another, however many
-factors there are, and the panel is read once.
+The panel is read once and laid out by name and by date in turn, as seldom as the graph allows: every formula and every
+chain of steps has a phase, the last one in which it still can be computed, so that the panel is narrow while it goes back
+and forth. What only makes columns of columns is computed early where that sets its arguments free. Within a phase,
+formulas that become ready together share one projection, and steps go through one projection for all columns.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass, field
 from graphlib import CycleError, TopologicalSorter
 from inspect import Parameter, signature
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import cross_section as xs
@@ -87,6 +89,52 @@ def winsorize_mad(df: DataFrame, cols: list[str], weight: str) -> DataFrame:
 STEPS: dict[str, Callable[[DataFrame, list[str], str], DataFrame]] = {"winsorize_box": winsorize_box, "standardize": standardize, "compress": compress, "winsorize_mad": winsorize_mad}
 
 
+#: Industries that one column of bits holds.
+_BITS = 60
+#: Layouts in turn, by the first.
+_TURNS = {"tk": ("tk", "td"), "td": ("td", "tk")}
+
+
+def _layout(value: Column) -> str | None:
+    """tk or td where all windows of a column are over names, or over dates; of the layout only the cost depends."""
+    text = str(value)
+    firsts = set(re.findall(r"OVER \(PARTITION BY (\w+)", text))
+    return firsts.pop() if len(firsts) == 1 and firsts <= set(KEYS) and text.count("OVER (") == text.count("OVER (PARTITION BY ") else None
+
+
+def phases(layouts: Mapping[str, str | None], reads: Mapping[str, Iterable[str]], kept: Iterable[str] = ()) -> tuple[dict[str, int], list[str]]:
+    """The phase of every unit, and the layouts of the phases (tk and td in turn).
+
+    layouts: units in an order in which they can be computed; reads: what each reads; kept: units whose columns the result has.
+    There are as few phases as possible. A unit comes as late as it can; one without a layout comes as soon as it can if
+    nothing else reads its arguments later.
+    """
+    readers: dict[str, list[str]] = {u: [] for u in layouts}
+    for u in layouts:
+        for r in reads[u]:
+            readers[r].append(u)
+
+    def counted(first: str) -> tuple[dict[str, int], list[str]]:
+        early: dict[str, int] = {}
+        for u, layout in layouts.items():
+            early[u] = max((early[r] for r in reads[u]), default=0)
+            early[u] += layout is not None and _TURNS[first][early[u] % 2] != layout
+        return early, [_TURNS[first][i % 2] for i in range(max(early.values(), default=0) + 1)]
+
+    _, of = min((counted(first) for first in _TURNS), key=lambda x: len(x[1]))
+    late: dict[str, int] = {}
+    for u in reversed(layouts):
+        late[u] = min((late[x] for x in readers[u]), default=len(of) - 1)
+        late[u] -= layouts[u] is not None and of[late[u]] != layouts[u]
+    out: dict[str, int] = {}
+    for u, layout in layouts.items():
+        out[u] = late[u]
+        soonest = max((out[r] for r in reads[u]), default=late[u])
+        if layout is None and all(r not in kept and all(late[x] <= soonest for x in readers[r] if x != u) for r in reads[u]):
+            out[u] = soonest
+    return out, of
+
+
 class Graph:
     def __init__(self, nodes: Iterable[Node], formulas: Mapping[str, Callable], *, inputs: Iterable[Sub] = (), steps: Mapping[str, Callable] = STEPS) -> None:
         """inputs: named formulas with parameters that others read and that are no factors themselves."""
@@ -165,6 +213,49 @@ class Graph:
                 df = self.step_functions[step](df, cols, weight)
         return df
 
+    def _computed(self, df: DataFrame, subs: list[Sub], of_tables: list[str], weight: str, member: str | None) -> DataFrame:
+        """df with the columns of all subs (in an order in which they can be computed), masked and processed."""
+        by_name = {s.name: s for s in subs}
+        value, reads = {}, {}
+        for sub in subs:
+            names, params = self._arguments(sub)
+            value[sub.name] = F.col(sub.name) if sub.name in of_tables else self.formulas[sub.formula](*names, **params)
+            reads[sub.name] = [f"{a}.steps" if by_name[a].steps else a for a in names if a in by_name]
+        before: dict[str, set[str]] = {}
+        layouts: dict[str, str | None] = {}
+        for sub in subs:
+            before[sub.name] = {sub.name}.union(*(before[r.removesuffix(".steps")] for r in reads[sub.name]))
+        for sub in subs:
+            if sub.steps:
+                reads[f"{sub.name}.steps"] = [sub.name, *([weight] if weight in by_name and sub.name not in before[weight] else [])]
+        for unit in TopologicalSorter(reads).static_order():
+            layouts[unit] = "td" if unit not in by_name else _layout(value[unit])
+        weights = [weight] if weight in by_name and any(s.steps for s in (*subs, *(n for n in self.nodes if n.kind == "style"))) else []
+        phase, of = phases(layouts, reads, [*self.subs, *(f"{s}.steps" for s in self.subs), *weights])
+        done: set[str] = set()
+        for number, layout in enumerate(of):
+            left = [u for u in layouts if phase[u] == number]
+            if any(layouts[u] for u in left):
+                # before the windows, or what they sum would be computed below their shuffle and sent with the panel
+                df = df.repartition(layout)
+            while left:
+                ready = [u for u in left if done.issuperset(reads[u])]
+                now = [u for u in ready if u in by_name] or ready
+                if now[0] in by_name:
+                    df = df.withColumns({u: value[u] for u in now})
+                    masked = {}
+                    for sub in (by_name[u] for u in now if u in self.subs):
+                        masked[sub.name] = F.col(sub.name)
+                        for universe in {member, sub.universe}:
+                            if universe:
+                                masked[sub.name] = F.when(F.col(f"__in_{universe}"), masked[sub.name])
+                    df = df.withColumns(masked) if masked else df
+                else:
+                    df = self._processed(df, [(u.removesuffix(".steps"), by_name[u.removesuffix(".steps")].steps) for u in now], weight)
+                done.update(now)
+                left = [u for u in left if u not in done]
+        return df
+
     def exposures(
         self, panel: DataFrame, tables: Mapping[str, DataFrame], *, weight: str, member: str | None = None, universes: Mapping[str, DataFrame] | None = None,
         industries: str | None = None, start: str | None = None, with_subfactors: bool = False,
@@ -196,31 +287,18 @@ class Graph:
         if values:
             if industries not in tables:
                 raise GraphError("industry factors need a table of industries")
-            held = tables[industries].groupBy(*KEYS).agg(F.collect_set("industry").alias("__industries"))
-            df = df.join(held, KEYS, "left")
-        for generation in generations:
-            made = {}
-            for sub in generation:
-                names, params = self._arguments(sub)
-                value = F.col(sub.name) if sub.name in of_tables else self.formulas[sub.formula](*names, **params)
-                made[sub.name] = value
-            df = df.withColumns(made)
-            factors = [s for s in generation if s.name in self.subs]
-            inside = {s.name: [F.col(f"__in_{u}") for u in {member, s.universe} if u] for s in factors}
-            masked = {}
-            for name, flags in inside.items():
-                kept = F.col(name)
-                for flag in flags:
-                    kept = F.when(flag, kept)
-                masked[name] = kept
-            df = df.withColumns(masked) if masked else df
-            df = self._processed(df, [(s.name, s.steps) for s in generation], weight)
+            places = {v: (f"__industries{i // _BITS}", 1 << i % _BITS) for i, v in enumerate(dict.fromkeys(values))}
+            bits: dict[str, Column] = {}
+            for v, (column, bit) in places.items():
+                bits[column] = F.when(F.col("industry") == v, F.lit(bit).cast("long")).otherwise(bits.get(column, F.lit(0).cast("long")))
+            df = df.join(tables[industries].groupBy(*KEYS).agg(*(F.bit_or(b).alias(column) for column, b in bits.items())), KEYS, "left")
+        df = self._computed(df, [s for g in generations for s in g], of_tables, weight, member)
         out = {}
         for n in self.nodes:
             if n.kind == "market":
                 out[n.name] = F.lit(1.0)
             elif n.kind == "industry":
-                out |= {v: F.coalesce(F.array_contains("__industries", v), F.lit(False)).cast("double") for v in n.values}
+                out |= {v: F.coalesce(F.col(places[v][0]).bitwiseAND(places[v][1]) != 0, F.lit(False)).cast("double") for v in n.values}
             else:
                 parts = [F.col(s.name) for s in n.subfactors]
                 there = sum(p.isNotNull().cast("int") for p in parts)

@@ -2,6 +2,7 @@
 
 import datetime as dt
 import random
+import re
 
 import numpy as np
 import pytest
@@ -105,6 +106,36 @@ def test_the_models_plan_reads_the_panel_once(spark, sf_dir):
     assert len(exposure_queries.model().nodes) == 12
 
 
+def test_units_come_in_few_phases_and_late():
+    reads = {"ret": [], "market": ["ret"], "sums": ["ret", "market"], "slope": ["sums"], "trend": [], "root": [], "size.steps": ["root"], "slope.steps": ["slope", "root"]}
+    layouts = {"ret": "tk", "trend": "tk", "root": None, "market": "td", "size.steps": "td", "sums": "tk", "slope": None, "slope.steps": "td"}
+    phase, of = graph.phases(layouts, reads)
+    assert of == ["tk", "td", "tk", "td"]
+    assert phase == {"ret": 0, "market": 1, "trend": 2, "sums": 2, "slope": 2, "root": 3, "size.steps": 3, "slope.steps": 3}
+    assert graph.phases(layouts, reads, ["sums"])[0]["slope"] == 3  # its argument is sent anyway
+    assert graph.phases({"m": "td", "x": "tk"}, {"m": [], "x": ["m"]}) == ({"m": 0, "x": 1}, ["td", "tk"])
+    assert graph.phases({"a": None, "b": None}, {"a": [], "b": ["a"]}) == ({"a": 0, "b": 0}, ["tk"])
+
+
+def test_the_models_panel_is_laid_out_four_times(spark, sf_dir):
+    from panelyx.plans import exposure_queries
+
+    plan, shuffles = exposure_queries.exposures(spark, sf_dir)._jdf.queryExecution().executedPlan(), []
+    while True:
+        if plan.nodeName() == "AdaptiveSparkPlan":
+            plan = plan.executedPlan()
+        if plan.nodeName() == "Exchange":
+            shuffles.append(plan)
+        if not plan.children().size():
+            break
+        plan = plan.children().apply(0)  # the panel is the left side of every join
+    keys = [re.sub(r"#\d+", "", s.outputPartitioning().toString()) for s in shuffles]
+    assert [re.sub(r", \d+\)", ")", k) for k in keys] == [f"hashpartitioning({k})" for k in ("td", "tk", "td", "tk", "td, tk")]
+    sent = [{s.output().apply(i).name() for i in range(s.output().size())} for s in shuffles]
+    assert not any(c.startswith("_w") for columns in sent for c in columns)  # arguments of windows are computed behind their shuffle
+    assert not {"max_ret_6", "turnover_sub", "coverage_sub"} & (sent[1] | sent[2] | sent[3])
+
+
 def plain_medcouple(v):
     v = np.sort(np.asarray(v, float))
     m = np.median(v)
