@@ -360,14 +360,17 @@ def _kept(texts: DataFrame) -> DataFrame:
 
 def _marked(docs: DataFrame, facts: DataFrame, bits: int) -> DataFrame:
     """docs plus touched: true for every document of facts, and for the few others whose bit is set as well."""
-    n_words = max(1, 1 << bits >> 6)
     slot = F.pmod(F.xxhash64("doc_id"), F.lit(1 << bits))
     with_bit = lambda df: df.withColumn("__word", F.shiftright(slot, 6)).withColumn("__bit", F.expr("shiftleft(1L, cast(pmod(xxhash64(doc_id), 64) as int))"))
     page = F.floor(F.col("__word") / PAGE).alias("__page")
+
     # every word stands in its page, so that one is found by its place; a broadcast of single words takes several times the memory
-    each = with_bit(facts).select("__word", "__bit").unionByName(docs.sparkSession.range(n_words).select(F.col("id").alias("__word"), F.lit(0).cast("long").alias("__bit")))
-    each = each.groupBy("__word").agg(F.bit_or("__bit").alias("__set"))
-    table = cut(each.groupBy(page).agg(F.sort_array(F.collect_list(F.struct("__word", "__set")))["__set"].alias("__sets")))
+    def paged(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
+        words = np.zeros(PAGE, np.int64)
+        np.bitwise_or.at(words, rows.column("__word").to_numpy() % PAGE, rows.column("__bit").to_numpy())
+        return pa.table({"__page": pa.array([key[0].as_py()], pa.int64()), "__sets": pa.array([words], pa.list_(pa.int64()))})
+
+    table = cut(with_bit(facts).select(page, "__word", "__bit").groupBy("__page").applyInArrow(paged, "__page long, __sets array<long>"))
     held = with_bit(docs).withColumn("__page", page).join(F.broadcast(table), "__page", "left")
     return held.withColumn("touched", F.coalesce(F.get("__sets", (F.col("__word") % PAGE).cast("int")).bitwiseAND(F.col("__bit")) != 0, F.lit(False))).drop("__sets")
 
